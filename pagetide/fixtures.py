@@ -5,138 +5,107 @@ The same mapping is stated in SQL in ``FEEDS_SQL``, for checks on another engine
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from pagetide import schemas as S
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _items(backwards: bool) -> str:
+    """SQL for the item array: the first ``event_id % 5`` of four items."""
+    shift = "CASE WHEN k % 33 = 0 THEN 900L ELSE 0L END" if backwards else "0L"
+    duration = "CAST(floor(value) AS BIGINT) * ((event_id + {i}) % 3)"
+    item = (
+        "named_struct('id', grp * 8 + (event_id + {i}) % 8 + " + shift + ", "
+        "'type', IF(" + duration + " > 0, 'video', 'photo'), 'convertedToVideo', false, "
+        "'canView', true, 'hasError', false, 'createdAt', CAST(CAST(ts AS DATE) AS STRING), "
+        "'isReady', true, 'duration', " + duration + ", 'hasCustomPreview', false)"
+    )
+    four = ", ".join(item.format(i=i) for i in range(4))
+    return f"slice(array({four}), 1, CAST(event_id % 5 AS INT)) AS media"
+
+
+OWNER = "named_struct('id', author_id)"
+TEXT = "concat_ws(' ', event_type, k) AS text"
+PRICE = "CASE WHEN k % 2 = 0 THEN value END AS price"
+COUNT = "CAST(event_id % 5 AS INT) AS mediaCount"
+EXPIRED = "CASE WHEN k % 13 = 5 THEN ts + INTERVAL '1' DAY END AS expired_ts"
+
+
 def _events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
-    group = F.expr("event_id div 6")
     return (
         table(spark, sf_dir, "events")
         .filter(F.col("event_type").isin(*types))
-        .select(
+        .selectExpr(
             "event_id",
-            F.col("ts").cast("timestamp_ntz").alias("ts"),
+            "CAST(ts AS TIMESTAMP_NTZ) AS ts",
             "event_type",
             "value",
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-            group.alias("grp"),
-            (group % 7).alias("author_id"),
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+            "event_id div 6 AS grp",
+            "(event_id div 6) % 7 AS author_id",
         )
     )
 
 
-def _items(backwards: bool = False) -> Column:
-    base = F.col("grp") * 8
-    shift = F.when(F.col("k") % 33 == 0, F.lit(900)).otherwise(F.lit(0)) if backwards else F.lit(0)
-
-    def item(i: Column) -> Column:
-        n = F.col("event_id") + i
-        duration = F.floor("value").cast("bigint") * (n % 3)
-        return F.struct(
-            (base + n % 8 + shift).cast("bigint").alias("id"),
-            F.when(duration > 0, "video").otherwise("photo").alias("type"),
-            F.lit(False).alias("convertedToVideo"),
-            F.lit(True).alias("canView"),
-            F.lit(False).alias("hasError"),
-            F.date_format("ts", "yyyy-MM-dd").alias("createdAt"),
-            F.lit(True).alias("isReady"),
-            duration.alias("duration"),
-            F.lit(False).alias("hasCustomPreview"),
-        )
-
-    steps = F.slice(F.array(*[F.lit(i) for i in range(4)]), 1, (F.col("event_id") % 5).cast("int"))
-    return F.transform(steps, item)
-
-
-def _owner() -> Column:
-    return F.struct(F.col("author_id").cast("bigint").alias("id"))
-
-
-def _text() -> Column:
-    return F.concat_ws(" ", "event_type", F.col("k").cast("string"))
-
-
-def _price() -> Column:
-    return F.when(F.col("k") % 2 == 0, F.col("value"))
-
-
-def _expired() -> Column:
-    return F.when(F.col("k") % 13 == 5, F.col("ts") + F.expr("INTERVAL '1' DAY"))
-
-
-def _count() -> Column:
-    return (F.col("event_id") % 5).cast("int")
-
-
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, "click").select(
-        F.col("event_id").alias("id"),
-        _owner().alias("fromUser"),
-        _text().alias("text"),
-        _price().alias("price"),
-        _count().alias("mediaCount"),
-        _items().alias("media"),
-        F.col("ts").alias("createdAt"),
-        _expired().alias("expired_ts"),
+    return _events(spark, sf_dir, "click").selectExpr(
+        "event_id AS id",
+        f"{OWNER} AS fromUser",
+        TEXT,
+        PRICE,
+        COUNT,
+        _items(False),
+        "ts AS createdAt",
+        EXPIRED,
     )
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, "view").select(
-        F.col("event_id").alias("id"),
-        _owner().alias("author"),
-        _text().alias("text"),
-        _price().alias("price"),
-        _items(backwards=True).alias("media"),
-        F.col("ts").alias("postedAt"),
-        _expired().alias("expired_ts"),
+    return _events(spark, sf_dir, "view").selectExpr(
+        "event_id AS id",
+        f"{OWNER} AS author",
+        TEXT,
+        PRICE,
+        _items(True),
+        "ts AS postedAt",
+        EXPIRED,
     )
 
 
 def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as the feed gives them: post-shaped and message-shaped rows mixed."""
-    is_post = F.col("event_type") == "purchase"
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    owner = _owner()
-    return _events(spark, sf_dir, "purchase", "signup").select(
-        F.lit(None).cast("string").alias("responseType"),
-        F.col("event_id").alias("id"),
-        F.when(is_post, owner).alias("author"),
-        F.when(~is_post, owner).alias("fromUser"),
-        _text().alias("text"),
-        _price().alias("price"),
-        _count().alias("mediaCount"),
-        (F.col("k") % 2 == 0).alias("isOpened"),
-        F.lit(True).alias("isMediaReady"),
-        F.when(is_post, stamp).otherwise("").alias("postedAt"),
-        F.when(~is_post, stamp).alias("createdAt"),
-        _items().alias("media"),
+    stamp = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    return _events(spark, sf_dir, "purchase", "signup").selectExpr(
+        "CAST(NULL AS STRING) AS responseType",
+        "event_id AS id",
+        f"CASE WHEN event_type = 'purchase' THEN {OWNER} END AS author",
+        f"CASE WHEN event_type = 'signup' THEN {OWNER} END AS fromUser",
+        TEXT,
+        PRICE,
+        COUNT,
+        "k % 2 = 0 AS isOpened",
+        "true AS isMediaReady",
+        f"IF(event_type = 'purchase', {stamp}, '') AS postedAt",
+        f"CASE WHEN event_type = 'signup' THEN {stamp} END AS createdAt",
+        _items(False),
     )
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    is_post = F.col("event_type") == "purchase"
-    return (
-        _events(spark, sf_dir, "purchase", "signup")
-        .select(
-            F.when(is_post, "post").otherwise("message").alias("responseType"),
-            F.when(is_post, "wall").otherwise("chat").alias("unlockSource"),
-            F.col("event_id").alias("id"),
-            _owner().alias("author"),
-            _text().alias("text"),
-            _price().alias("price"),
-            _count().alias("mediaCount"),
-            (F.col("k") % 2 == 0).alias("isOpened"),
-            F.lit(True).alias("isMediaReady"),
-            F.col("ts").alias("unlockAt"),
-            _items().alias("media"),
-        )
+    return _events(spark, sf_dir, "purchase", "signup").selectExpr(
+        "IF(event_type = 'purchase', 'post', 'message') AS responseType",
+        "IF(event_type = 'purchase', 'wall', 'chat') AS unlockSource",
+        "event_id AS id",
+        f"{OWNER} AS author",
+        TEXT,
+        PRICE,
+        COUNT,
+        "k % 2 = 0 AS isOpened",
+        "true AS isMediaReady",
+        "ts AS unlockAt",
+        _items(False),
     )
 
 
@@ -174,17 +143,20 @@ feed_items as (
     e.grp * 8 + (e.event_id + i.pos) % 8
       + case when e.event_type = 'view' and e.k % 33 = 0 then 900 else 0 end as media_id,
     cast(floor(e.value) as bigint) * ((e.event_id + i.pos) % 3) as duration,
-    strftime(e.ts, '%Y-%m-%d') as item_created
+    strftime(e.ts, '%Y-%m-%d') as item_created,
+    '{"id":' || media_id || ',"type":"' || case when duration > 0 then 'video' else 'photo' end
+      || '","convertedToVideo":false,"canView":true,"hasError":false,"createdAt":"' || item_created
+      || '","isReady":true,"duration":' || duration || ',"hasCustomPreview":false}' as blob
   from ev e join (values (0), (1), (2), (3)) i(pos) on i.pos < e.n),
 messages as (select * from feed_rows where event_type = 'click'),
 message_items as (
   select r.id, r.author_id, r.txt, r.price, r.n_media, r.ts, r.expired_ts, i.media_id,
-    i.duration, i.pos, i.item_created
+    i.duration, i.pos, i.blob
   from messages r join feed_items i on i.id = r.id),
 posts as (select * from feed_rows where event_type = 'view'),
 post_items as (
   select r.id, r.author_id, r.txt, r.price, r.n_media, r.ts, r.expired_ts, i.media_id,
-    i.duration, i.pos, i.item_created
+    i.duration, i.pos, i.blob
   from posts r join feed_items i on i.id = r.id),
 purchases as (
   select *, case event_type when 'purchase' then 'post' else 'message' end as response_type,
@@ -192,6 +164,6 @@ purchases as (
   from feed_rows where event_type in ('purchase', 'signup')),
 purchase_items as (
   select r.id, r.author_id, r.txt, r.price, r.n_media, r.ts, r.source, i.media_id,
-    i.duration, i.pos
+    i.duration, i.pos, i.blob
   from purchases r join feed_items i on i.id = r.id)
 """

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagetide.functions.scalars import as_ts, date_lit, duration_ratio, item_kind, micros, owner_key
 from pagetide.operators import filters as flt
-from pagetide.plans.skew import prefix_max, skew_join
+from pagetide.plans.skew import following, parts_of, running_max, salted_join, skew_join
 
 OPEN_END = 99_999_999_999
 KEY = ["author_id", "media_id"]
@@ -50,14 +50,13 @@ def total_per_row(
         return own.withColumnRenamed("_own", "total_duration")
     shared = (
         own.groupBy(*key)
-        .agg(F.sum("_own").alias("_shared"), F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > 1)
-        .drop("_rows")
+        .agg(F.sum("_own").alias("_shared"), F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select(*key, "_shared", parts_of("_n").alias("_parts"))
     )
-    return (
-        skew_join(own, shared, key, "left")
-        .withColumn("total_duration", F.coalesce("_shared", "_own"))
-        .drop("_own", "_shared")
+    hot = shared.filter(F.col("_parts").isNotNull()).select(*key, "_parts")
+    return salted_join(own, shared, hot, key, "left").select(
+        *df.columns, F.coalesce("_shared", "_own").alias("total_duration")
     )
 
 
@@ -116,6 +115,41 @@ def explode_items(rows: DataFrame, keep: Iterable[str] | None = None) -> DataFra
     )
 
 
+# -- running ids, per item ---------------------------------------------------------------
+
+TIME_BITS = 28  # blocks of 2**28 microseconds, about four and a half minutes
+
+
+def post_items(posts: DataFrame) -> DataFrame:
+    """Items of the posts with the post's time as a number, for the ordered scans."""
+    items = explode_items(posts, ["author_id", "post_id", "posted_ts", "posted_date"])
+    return items.filter(F.col("media_id").isNotNull()).withColumn("_pos", micros("posted_ts"))
+
+
+def adjusted_ids(items: DataFrame) -> DataFrame:
+    """Add the highest id posted so far (``max_id_yet``) and ``adjusted_id``.
+
+    Posts of the same time share the maximum, so the adjusted id of an item, the greater of
+    its id and that maximum, always equals the maximum.
+    """
+    run = running_max(items, ["author_id"], "_pos", F.col("media_id"), "max_id_yet", bits=TIME_BITS)
+    return run.withColumn("adjusted_id", F.greatest("media_id", "max_id_yet"))
+
+
+def next_adjusted(items: DataFrame) -> DataFrame:
+    """Add the adjusted id of the author's next item; the last one gets the open end.
+
+    Adjusted ids never fall over time, so ordering by them is ordering by time.
+    """
+    led = following(
+        adjusted_ids(items), ["author_id"], "_pos", ["post_id", "media_id"], "adjusted_id",
+        "next_adjusted_id", bits=TIME_BITS,
+    )
+    return led.withColumn(
+        "next_adjusted_id", F.coalesce("next_adjusted_id", F.lit(OPEN_END).cast("bigint"))
+    )
+
+
 # -- bands -------------------------------------------------------------------------------
 
 
@@ -130,9 +164,12 @@ def day_bands(posts: DataFrame, per_author: bool = True) -> DataFrame:
     With ``per_author`` off the running maximum and the next id go over all authors, while
     the bands stay per author and day.
     """
-    ids = F.filter(F.transform("media", lambda m: m["id"].cast("bigint")), lambda i: i.isNotNull())
     tops = posts.select(
-        "author_id", "posted_ts", "posted_date", F.array_max(ids).alias("top"), F.size(ids).alias("n")
+        "author_id",
+        "posted_ts",
+        "posted_date",
+        F.array_max("media.id").alias("top"),
+        F.size(F.array_compact("media.id")).alias("n"),
     ).filter(F.col("top").isNotNull())
     if not per_author:
         return _day_bands_over_all(tops)
@@ -164,23 +201,25 @@ def day_bands(posts: DataFrame, per_author: bool = True) -> DataFrame:
 def _day_bands_over_all(tops: DataFrame) -> DataFrame:
     """Bands under one running maximum over all authors.
 
-    Per time point the running maximum comes from ``prefix_max``, and the id that follows is
-    the running maximum of the next time point, found by the same scan backwards.
+    The posts collapse to one row per time point. The id that follows a time point is the
+    running maximum of the next one, which is the same scan run backwards.
     """
-    points = tops.withColumn("pos", micros("posted_ts")).withColumn("all", F.lit(0))
-    running = prefix_max(points, ["all"], "pos", F.col("top"), "v2")
-    later = prefix_max(
-        running.withColumn("back", -F.col("pos")), ["all"], "back", -F.col("v2"), "neg", inclusive=False
-    ).select((-F.col("back")).alias("pos"), (-F.col("neg")).alias("later_id"))
-    here = points.groupBy("pos").agg(F.sum("n").alias("n_here"))
-    timeline = running.drop("all").join(later, "pos").join(here, "pos")
+    points = tops.withColumn("pos", micros("posted_ts"))
+    timeline = points.groupBy("pos").agg(F.max("top").alias("top"), F.sum("n").alias("n")).withColumn(
+        "whole", F.lit(0)
+    )
+    climbing = running_max(timeline, ["whole"], "pos", F.col("top"), "v2", bits=28)
+    back = climbing.withColumn("back", -F.col("pos"))
+    timed = running_max(
+        back, ["whole"], "back", -F.col("v2"), "neg_next", inclusive=False, bits=28
+    )
     open_end = F.lit(OPEN_END).cast("bigint")
     # Of the rows at one time, all but the last are followed by the same running maximum.
-    after = F.coalesce("later_id", F.when(F.col("n_here") > 1, F.greatest("v2", open_end)).otherwise(open_end))
-    timed = timeline.select("pos", "v2", after.alias("after"))
+    end = F.when(F.col("n") > 1, F.greatest("v2", open_end)).otherwise(open_end)
+    timed = timed.select("pos", "v2", F.coalesce(-F.col("neg_next"), end).alias("after"))
     return (
-        points.groupBy("author_id", "posted_date", "pos")
-        .agg(F.lit(1).alias("one"))
+        points.select("author_id", "posted_date", "pos")
+        .distinct()
         .join(timed, "pos")
         .groupBy("author_id", "posted_date")
         .agg(F.min("v2").alias("first_id"), F.max("after").alias("last_id"))
@@ -222,24 +261,22 @@ def band_lookup(keys: DataFrame, bands: DataFrame) -> DataFrame:
 
     The bands of an author are disjoint, so the only candidate is the band that starts last
     at or before the id: the running maximum of (start, end, day) by id over bands and keys
-    together. The scan's window groups are bounded whatever the author's share of the keys.
+    together. Ids and starts are distinct, so a block of the scan holds at most twice its
+    width, whatever the author's share of the keys.
     """
+    band = "struct<first_id: bigint, last_id: bigint, posted_date: date>"
     starts = bands.filter(F.col("first_id") < F.col("last_id")).select(
         "author_id",
         F.col("first_id").alias("media_id"),
-        F.struct("first_id", "last_id", "posted_date").alias("band"),
-        F.lit(False).alias("wanted"),
+        F.struct("first_id", "last_id", "posted_date").cast(band).alias("_band"),
+        F.lit(False).alias("_wanted"),
     )
-    points = keys.select(
-        "author_id",
-        "media_id",
-        F.lit(None).cast(starts.schema["band"].dataType).alias("band"),
-        F.lit(True).alias("wanted"),
-    ).unionByName(starts)
-    reached = prefix_max(points, ["author_id"], "media_id", F.col("band"), "band")
-    inside = F.col("media_id") < F.col("band.last_id")
-    return keys.join(reached, KEY, "left").select(
-        *keys.columns, F.when(inside, F.col("band.posted_date")).alias("origin_date")
+    points = keys.select("*", F.lit(None).cast(band).alias("_band"), F.lit(True).alias("_wanted"))
+    both = points.unionByName(starts, allowMissingColumns=True)
+    reached = running_max(both, ["author_id"], "media_id", F.col("_band"), "_last")
+    inside = F.col("media_id") < F.col("_last.last_id")
+    return reached.filter("_wanted").select(
+        *keys.columns, F.when(inside, F.col("_last.posted_date")).alias("origin_date")
     )
 
 
@@ -268,7 +305,7 @@ def exact_join(items: DataFrame, posts: DataFrame) -> DataFrame:
 
 def distinct_items(rows: DataFrame, media: str = "media") -> DataFrame:
     return (
-        rows.select(F.explode(F.transform(media, lambda m: m["id"].cast("bigint"))).alias("media_id"))
+        rows.select(F.explode(F.col(f"{media}.id").cast("array<bigint>")).alias("media_id"))
         .filter(F.col("media_id").isNotNull())
         .distinct()
     )
@@ -290,14 +327,15 @@ def dedup_latest(items: DataFrame, keys: Iterable[str], *order: Column) -> DataF
 
 def _origins(
     items: DataFrame, posts: DataFrame, purchases: DataFrame | None, lookup: str, wall: bool = True
-) -> DataFrame:
-    """Per distinct (author, item): origin day and latest post."""
-    keys = items.select(*KEY).distinct()
-    if purchases is not None:
-        keys = keys.join(distinct_items(purchases), "media_id", "left_anti").select(*KEY)
+) -> tuple[DataFrame, DataFrame]:
+    """Per distinct (author, item): origin day and latest post; and the hot keys of the items."""
+    keys = items.groupBy(*KEY).agg(parts_of(F.count(F.lit(1))).alias("_parts"))
+    hot = keys.filter(F.col("_parts").isNotNull())
     bands = day_bands(posts)
     found = band_lookup(keys, bands) if lookup == "asof" else band_join(keys, bands)
-    return found.join(latest_posts(posts), KEY, "left") if wall else found
+    if purchases is not None:
+        found = found.join(distinct_items(purchases), "media_id", "left_anti")
+    return (found.join(latest_posts(posts), KEY, "left") if wall else found), hot
 
 
 def report_order(df: DataFrame) -> DataFrame:
@@ -325,18 +363,24 @@ def _ratio() -> Column:
     return duration_ratio("duration", "total_duration").alias("duration_ratio")
 
 
-def _narrow(rows, authors, text_any, item_ids, unique_ids, key=("row_id",), include_images=False):
-    """Items of the wanted rows, one per (author, item, row).
+def _narrow(
+    rows: DataFrame, authors, text_any, item_ids, unique_ids: bool,
+    key: Iterable[str] = ("row_id",), include_images: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Items of the wanted rows with their row's total, and the same items' keys alone.
 
     The author filter goes in front of the totals by hand: they are keyed by row, so
-    Catalyst may not push it. The text filter must stay behind them when ids repeat.
+    Catalyst may not push it. The text filter must stay behind them, as rows that share an
+    id pool their durations.
     """
+
+    def wanted(rows: DataFrame, keep: Iterable[str] | None = None) -> DataFrame:
+        items = explode_items(flt.filter_text_any(rows, text_any), keep)
+        items = flt.only_video(items, include_images=include_images)
+        return flt.filter_item_ids(items, item_ids).filter(F.col("media_id").isNotNull())
+
     rows = flt.filter_authors(rows, authors)
-    rows = total_per_row(rows, key, unique=unique_ids)
-    items = explode_items(flt.filter_text_any(rows, text_any))
-    items = flt.only_video(items, include_images=include_images)
-    items = flt.filter_item_ids(items, item_ids)
-    return items
+    return wanted(total_per_row(rows, key, unique=unique_ids)), wanted(rows, ["author_id"])
 
 
 def origin_report_messages(
@@ -383,10 +427,10 @@ def _message_columns() -> list:
 
 
 def _messages_base(messages, posts, purchases, authors, text_any, item_ids, unique_ids, lookup, keep):
-    items = _narrow(message_rows(messages), authors, text_any, item_ids, unique_ids)
-    origins = keep(_origins(items, flt.filter_authors(post_rows(posts), authors), purchases, lookup))
+    items, keys = _narrow(message_rows(messages), authors, text_any, item_ids, unique_ids)
+    origins, hot = _origins(keys, flt.filter_authors(post_rows(posts), authors), purchases, lookup)
     items = dedup_latest(items, [*KEY, "row_id"], *_latest_first())
-    return skew_join(items, origins, KEY, "inner", spread=["row_id"])
+    return salted_join(items, keep(origins), hot, KEY, "inner", spread=["row_id"])
 
 
 def origin_by_windows(
@@ -426,13 +470,13 @@ def origin_by_windows(
 
 def _purchases_base(purchases, posts, authors, text_any, item_ids, unique_ids, lookup, keep, key, images):
     names = {"id": "row_id"}
-    items = _narrow(
+    items, keys = _narrow(
         purchase_rows(purchases), authors, text_any, item_ids, unique_ids,
         [names.get(k, k) for k in key], images,
-    ).filter(F.col("media_id").isNotNull())
-    origins = keep(_origins(items, flt.filter_authors(post_rows(posts), authors), None, lookup))
+    )
+    origins, hot = _origins(keys, flt.filter_authors(post_rows(posts), authors), None, lookup)
     items = dedup_latest(items, [*KEY, *[names.get(k, k) for k in key]], *_latest_first(), F.col("ulk_src"))
-    return skew_join(items, origins, KEY, "inner", spread=["row_id"])
+    return salted_join(items, keep(origins), hot, KEY, "inner", spread=["row_id"])
 
 
 def origin_report_purchases(
@@ -524,11 +568,12 @@ def origin_report_per_item(
     ordered: bool = True,
 ) -> DataFrame:
     """Retired form: expired rows count, one row per (author, item), no post details."""
-    items = _narrow(
+    items, keys = _narrow(
         message_rows(messages, include_expired=True), authors, text_any, item_ids, unique_ids
     )
     rows = flt.filter_authors(post_rows(posts, include_expired=True), authors)
-    origins = flt.filter_origin_min_year(_origins(items, rows, None, lookup, wall=False), min_year)
+    origins, _ = _origins(keys, rows, None, lookup, wall=False)
+    origins = flt.filter_origin_min_year(origins.drop("_parts"), min_year)
     items = dedup_latest(items, KEY, *_latest_first(), F.col("row_id").desc())
     # One row per key on both sides: no key is hot.
     out = items.join(origins, KEY).select(

@@ -26,6 +26,38 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFr
     )
 
 
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    hot: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
+    """Equi join with the rows of the ``hot`` keys (keys, ``_parts``) cut into parts.
+
+    ``right`` is repeated once per part for those keys. It may bring its own ``_parts``
+    column; otherwise it is looked up in ``hot``.
+    """
+    keys = list(keys)
+    parts = F.coalesce("_parts", F.lit(1))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    # Rows with a null key match nothing, so they may go anywhere.
+    left_parts = F.when(no_key, F.lit(NULL_SPREAD)).otherwise(parts)
+    placed = F.pmod(F.xxhash64(*(spread or left.columns)), left_parts.cast("bigint")).cast("int")
+    salted = left.join(F.broadcast(hot), keys, "left").select(
+        *left.columns, F.when(left_parts > 1, placed).otherwise(F.lit(0)).alias("_salt")
+    )
+    known = right if "_parts" in right.columns else right.join(F.broadcast(hot), keys, "left")
+    repeated = known.select(
+        *[c for c in right.columns if c != "_parts"],
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt"),
+    )
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -41,26 +73,13 @@ def skew_join(
     all). ``how`` is inner, left, left_semi or left_anti. Which side is broadcast, if any,
     is left to Catalyst's own size check.
     """
-    keys = list(keys)
-    hot = hot_keys(left, keys, rows)
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    # Rows with a null key match nothing, so they may go anywhere.
-    left_parts = F.when(any_null, F.lit(NULL_SPREAD)).otherwise(parts)
-    placed = F.pmod(F.xxhash64(*(spread or left.columns)), left_parts.cast("bigint"))
-    salted = (
-        left.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.when(left_parts == 1, F.lit(0)).otherwise(placed.cast("int")))
-        .drop("_parts")
-    )
-    repeated = (
-        right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_parts")
-    )
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return salted_join(left, right, hot_keys(left, keys, rows), keys, how, spread)
+
+
+def parts_of(count: Column | str, rows: int = HOT_ROWS) -> Column:
+    """Number of parts for a key with ``count`` rows; NULL unless it is hot."""
+    n = F.col(count) if isinstance(count, str) else count
+    return F.when(n > rows, F.ceil(n / F.lit(float(rows))).cast("int"))
 
 
 def time_slot(ts: Column | str) -> Column:
@@ -121,7 +140,7 @@ def number_versions(
     return out.drop("_slot", "_next", "_before", "_after", "_rows", "_first")
 
 
-def prefix_max(
+def running_max(
     df: DataFrame,
     part: Sequence[str],
     pos: str,
@@ -130,42 +149,63 @@ def prefix_max(
     inclusive: bool = True,
     bits: int = 21,
 ) -> DataFrame:
-    """Running maximum of ``value`` by ``pos`` per ``part``: one row per (part, pos).
+    """Add ``out``, the running maximum of ``value`` by the whole number ``pos`` per ``part``.
 
-    The positions are 63-bit whole numbers, cut in three digits of ``bits`` bits. Each
-    window group holds distinct positions with the same higher digits, so it has at most
-    2**bits rows however many rows one part has. Equal positions share one row, as under a
-    RANGE frame. ``value`` may be any orderable type, structs included.
+    Equal positions are peers, as under a RANGE frame. A part is cut into blocks of 2**bits
+    positions. Each block is scanned by itself and takes the maximum of the earlier blocks
+    from a table with one row per block, so no task holds a whole part. Choose ``bits`` so
+    that both a block and the list of blocks of a part fit a task. ``value`` may be any
+    orderable type, structs included.
     """
     part = list(part)
-    points = (
-        df.groupBy(*part, pos)
-        .agg(F.max(value).alias("_v"))
-        .withColumn("_mid", F.shiftright(pos, bits))
-        .withColumn("_top", F.shiftright(pos, 2 * bits))
+    blocked = df.withColumn("_v", value).withColumn("_block", F.shiftright(pos, bits))
+    before = Window.partitionBy(*part).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        blocked.groupBy(*part, "_block")
+        .agg(F.max("_v").alias("_m"))
+        .select(*part, "_block", F.max("_m").over(before).alias("_carry"))
     )
-    mids = points.groupBy(*part, "_top", "_mid").agg(F.max("_v").alias("_m"))
-    tops = mids.groupBy(*part, "_top").agg(F.max("_m").alias("_t"))
-    earlier = (Window.unboundedPreceding, -1)
-    tops = tops.select(
-        *part,
-        "_top",
-        F.max("_t").over(Window.partitionBy(*part).orderBy("_top").rowsBetween(*earlier)).alias("_t"),
+    within = (
+        Window.partitionBy(*part, "_block")
+        .orderBy(pos)
+        .rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
-    in_top = Window.partitionBy(*part, "_top").orderBy("_mid").rowsBetween(*earlier)
-    mids = (
-        mids.withColumn("_m", F.max("_m").over(in_top))
-        .join(tops, [*part, "_top"])
-        .select(*part, "_top", "_mid", F.greatest("_m", "_t").alias("_carry"))
+    return (
+        blocked.withColumn("_v", F.max("_v").over(within))
+        .join(carry, [*part, "_block"])
+        .select(*df.columns, F.greatest("_v", "_carry").alias(out))
     )
-    end = 0 if inclusive else -1
-    in_mid = (
-        Window.partitionBy(*part, "_top", "_mid")
-        .orderBy(pos)
-        .rowsBetween(Window.unboundedPreceding, end)
+
+
+def following(
+    df: DataFrame,
+    part: Sequence[str],
+    pos: str,
+    order: Sequence[str],
+    value: str,
+    out: str,
+    bits: int = 21,
+) -> DataFrame:
+    """Add ``out``, ``lead(value)`` per ``part`` in an order that starts with ``pos``.
+
+    Cut into blocks as in ``running_max``; the last row of a block is followed by the first
+    row of the next block, taken from a table with one row per block. ``value`` must not be
+    null.
+    """
+    part, order = list(part), list(order)
+    blocked = df.withColumn("_block", F.shiftright(pos, bits))
+    firsts = (
+        blocked.groupBy(*part, "_block")
+        .agg(F.min_by(value, F.struct(pos, *order)).alias("_first"))
+        .select(
+            *part,
+            "_block",
+            F.lead("_first").over(Window.partitionBy(*part).orderBy("_block")).alias("_after"),
+        )
     )
+    within = Window.partitionBy(*part, "_block").orderBy(pos, *order)
     return (
-        points.withColumn("_v", F.max("_v").over(in_mid))
-        .join(mids, [*part, "_top", "_mid"])
-        .select(*part, pos, F.greatest("_v", "_carry").alias(out))
+        blocked.withColumn("_next", F.lead(value).over(within))
+        .join(firsts, [*part, "_block"])
+        .select(*df.columns, F.coalesce("_next", "_after").alias(out))
     )

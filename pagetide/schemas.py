@@ -118,4 +118,5 @@ PAGES = struct(
     raw_max=TS,
     in_window_max=TS,
     inserted=LONG,
+    stop_reason=STRING,
 )
