@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetide.functions.scalars import as_ts, owner_key, run_stamp, ts_lit, wall_clock
-from pagetide.operators.load import append, replace_keys, restrict_to_batch_keys
-from pagetide.plans.skew import number_versions, skew_join
+from pagetide.operators.load import append, restrict_to_batch_keys
+from pagetide.plans.skew import HOT_ROWS, hot_keys, number_versions, salted_join, skew_join
 
 KEY = ["author_id", "media_id"]
 PAYLOAD = ["media_duration", "media_blob"]
@@ -79,6 +79,12 @@ def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b).distinct()
 
 
+DIM_COLUMNS = [
+    *KEY, *PAYLOAD, "seen_count", "valid_from_ts", "valid_to_ts", "is_current", "extract_ts"
+]
+BASE = [*KEY, *PAYLOAD, "valid_from_ts", "extract_ts"]
+
+
 def versioned(rows: DataFrame, **options) -> DataFrame:
     """Number the versions of each key by time and close each at the start of the next.
 
@@ -88,27 +94,43 @@ def versioned(rows: DataFrame, **options) -> DataFrame:
         rows, KEY, "valid_from_ts", ["extract_ts", "media_blob", "media_duration"],
         number="seen_count", following="valid_to_ts", **options,
     )
-    return numbered.withColumn("seen_count", F.col("seen_count").cast("int")).withColumn(
-        "is_current", F.col("valid_to_ts").isNull()
+    return numbered.select(
+        *KEY,
+        *PAYLOAD,
+        F.col("seen_count").cast("int").alias("seen_count"),
+        "valid_from_ts",
+        "valid_to_ts",
+        F.col("valid_to_ts").isNull().alias("is_current"),
+        "extract_ts",
     )
 
 
-def rebuilt_versions(dim: DataFrame, increment: DataFrame, **options) -> DataFrame:
-    """All versions, old and new, of the keys in the increment."""
-    base = [*KEY, *PAYLOAD, "valid_from_ts", "extract_ts"]
-    touched = restrict_to_batch_keys(dim.select(*base), increment, KEY)
-    both = union_distinct(touched, increment.select(*base))
-    return versioned(both, **options).select(*[c for c in dim.columns if c in DIM_COLUMNS])
+def _flagged(dim: DataFrame, increment: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Dimension rows with ``_touched`` for the increment's keys, and the hot keys of both."""
+    hot = hot_keys(dim.select(*KEY).unionByName(increment.select(*KEY)), KEY, rows)
+    keys = increment.select(*KEY).distinct().withColumn("_touched", F.lit(True))
+    return salted_join(dim, keys, hot, KEY, "left", spread=["valid_from_ts", "extract_ts"]), hot
 
 
-DIM_COLUMNS = [
-    *KEY, *PAYLOAD, "seen_count", "valid_from_ts", "valid_to_ts", "is_current", "extract_ts"
-]
+def rebuilt_versions(dim: DataFrame, increment: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """All versions, old and new, of the keys in the increment.
+
+    Give stored tables: the inputs are read several times.
+    """
+    flagged, hot = _flagged(dim.select(*BASE), increment, rows)
+    both = union_distinct(flagged.filter("_touched").select(*BASE), increment.select(*BASE))
+    return versioned(both, hot=hot)
 
 
-def scd2_rebuild(dim: DataFrame, increment: DataFrame, **options) -> DataFrame:
-    """Dimension with the increment's keys rebuilt and all other keys as they were."""
-    return replace_keys(dim, rebuilt_versions(dim, increment, **options), KEY)
+def scd2_rebuild(dim: DataFrame, increment: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """Dimension with the increment's keys rebuilt and all other keys as they were.
+
+    Give stored tables: the inputs are read several times.
+    """
+    flagged, hot = _flagged(dim, increment, rows)
+    both = union_distinct(flagged.filter("_touched").select(*BASE), increment.select(*BASE))
+    rest = flagged.filter(F.col("_touched").isNull()).select(*dim.columns)
+    return append(rest, versioned(both, hot=hot))
 
 
 def history_append(history: DataFrame, dim: DataFrame, increment: DataFrame) -> DataFrame:

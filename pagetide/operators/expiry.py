@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagetide.functions.scalars import as_ts, digits_id, owner_key, ts_lit
-from pagetide.plans.skew import skew_join
+from pagetide.plans.skew import hot_keys, skew_join
 
 
 
@@ -196,8 +196,10 @@ def progressive_expire(
         .groupBy(F.col("author_id").cast("bigint").alias("_owner"))
         .agg(F.collect_list(F.struct("frontier", "stamp")).alias("_stops"))
     )
-    flagged = _flagged(target, seen).withColumn("_owner", owner_key(target, owner_col))
-    with_stops = skew_join(flagged, stops, ["_owner"], "left", spread=["id"])
+    owned = target.withColumn("_owner", owner_key(target, owner_col))
+    with_stops = skew_join(
+        _flagged(owned, seen), stops, ["_owner"], "left", spread=["id"], hot=hot_keys(owned, ["_owner"])
+    )
     when = as_ts(target, ts)
     passed = F.array_max(F.filter("_stops", lambda s: s["frontier"] < when))["stamp"]
     gone = F.coalesce(

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetide.functions.scalars import as_ts, digits_id, owner_key, ts_lit
-from pagetide.plans.skew import skew_join
+from pagetide.plans.skew import hot_keys, skew_join
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -136,7 +136,7 @@ def new_rows(
         come = come.dropDuplicates(keys)
     # Without an owner the bounds are a single row.
     rows = (
-        skew_join(come, bounds, ["_owner"], "left")
+        skew_join(come, bounds, ["_owner"], "left", spread=keys)
         if owner
         else come.join(F.broadcast(bounds), "_owner", "left")
     )
@@ -147,7 +147,7 @@ def new_rows(
     )
     if dedup:
         known = existing_keys(have, come, keys).withColumn("_known", F.lit(True))
-        rows = skew_join(rows, known, keys, "left")
+        rows = skew_join(rows, known, keys, "left", hot=hot_keys(come, keys))
         take = F.coalesce(outside, F.lit(False)) | F.col("_known").isNull()
     else:
         take = outside

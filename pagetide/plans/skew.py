@@ -65,15 +65,18 @@ def skew_join(
     how: str = "inner",
     spread: Sequence[str] | None = None,
     rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join on ``keys`` with the hot keys of the left side salted.
 
     ``right`` must be the side with few rows per key: its rows for a hot key are repeated
     once per part. ``spread`` names the left columns that place a row in a part (default:
     all). ``how`` is inner, left, left_semi or left_anti. Which side is broadcast, if any,
-    is left to Catalyst's own size check.
+    is left to Catalyst's own size check. Pass ``hot`` where the left side is itself the
+    result of joins, counted on the table it comes from, so that those are not run again.
     """
-    return salted_join(left, right, hot_keys(left, keys, rows), keys, how, spread)
+    hot = hot_keys(left, keys, rows) if hot is None else hot
+    return salted_join(left, right, hot, keys, how, spread)
 
 
 def parts_of(count: Column | str, rows: int = HOT_ROWS) -> Column:
@@ -101,6 +104,7 @@ def number_versions(
     number: str = "version",
     following: str | None = None,
     rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number()`` and ``lead(ts)`` per key in the order of ``ts`` and ``ties``.
 
@@ -109,7 +113,7 @@ def number_versions(
     the slot after it from a table with one row per slot.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, rows)
+    hot = hot_keys(df, keys, rows) if hot is None else hot
     slotted = df.join(F.broadcast(hot), keys, "left").withColumn(
         "_slot",
         # Rows without a time come first, in a slot of their own.

@@ -8,6 +8,7 @@ change reads version N and writes N + 1.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,14 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
         raise FileNotFoundError(f"no complete version under {root}")
     version = known[-1] if version is None else version
     return spark.read.parquet(f"{root}/version={version:08d}")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Cuts the lineage where a result is read many times, survives the loss of executors, and
+    gives Catalyst the size of what was written.
+    """
+    path = f"{work_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
