@@ -29,11 +29,11 @@ def register(name: str, sql: str | None = None):
 def _run(spark, d):
     """A run over all authors: messages, their pages and the ids seen."""
     rows = fx.messages(spark, d)
-    paged = fx.feed_pages(rows, "createdAt")
+    paged = fx.feed_pages(rows)
     pages = paged.groupBy(F.col("fromUser.id").alias("author_id"), "batch_seq").agg(
         F.max("createdAt").alias("page_max")
     )
-    stamp = F.timestamp_add("MINUTE", F.col("batch_seq").cast("int"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    stamp = F.timestamp_add("MINUTE", (F.col("batch_seq") % 1000).cast("int"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
     return rows, pages.withColumn("processed_at", stamp), paged.select("batch_seq", "id")
 
 
@@ -118,15 +118,15 @@ def _(spark, d):
     return ex.change_summary(_sweep(spark, d)[1])
 
 
-FRONTIERS = """, day_pages as (
-  select author_id, cast(date '2024-01-30' - cast(ts as date) as bigint) as batch_seq, max(ts) as page_max
+FRONTIERS = f""", day_pages as (
+  select author_id, {fx.PAGE_SQL} as batch_seq, max(ts) as page_max
   from messages where id % 4 <> 0 group by 1, 2),
 lowest as (
   select *, min(page_max) over (partition by author_id order by batch_seq
     rows between unbounded preceding and 1 preceding) as so_far from day_pages),
 frontiers as (
   select author_id, batch_seq, page_max as frontier,
-    timestamp '2024-02-01 00:00:00' + to_minutes(batch_seq) as stamp
+    timestamp '2024-02-01 00:00:00' + to_minutes(batch_seq % 1000) as stamp
   from lowest where page_max < so_far)
 """
 
@@ -144,7 +144,7 @@ def _(spark, d):
     + COLUMNS.format(
         e="""case when id % 4 <> 0 then null when expired_ts is not null then expired_ts
     when ts >= timestamp '2024-01-05' then (
-      select min(f.stamp) from frontiers f where f.author_id = m.author_id and f.frontier < m.ts) end"""
+      select max_by(f.stamp, f.frontier) from frontiers f where f.author_id = m.author_id and f.frontier < m.ts) end"""
     ),
 )
 def _(spark, d):

@@ -67,10 +67,9 @@ def _(spark, d):
     return ld.watermark_bounds(fx.purchases(spark, d), "unlockAt", WINDOW, active=False)
 
 
-PAGED = """, paged as (
-  select *, cast(date '2024-01-30' - cast(ts as date) as bigint) as batch_seq
-  from {table} where id % 4 <> 0)
-"""
+PAGED = (
+    ", paged as (select *, " + fx.PAGE_SQL + " as batch_seq from {table} where id % 4 <> 0)\n"
+)
 
 
 @register(
@@ -78,7 +77,7 @@ PAGED = """, paged as (
     WITH + PAGED.format(table="messages") + "select batch_seq, min(ts) as min_ts, max(ts) as max_ts from paged group by 1",
 )
 def _(spark, d):
-    return ld.batch_bounds(fx.feed_pages(fx.messages(spark, d), "createdAt"), "createdAt")
+    return ld.batch_bounds(fx.feed_pages(fx.messages(spark, d)), "createdAt")
 
 
 @register(
@@ -90,7 +89,7 @@ def _(spark, d):
 from paged group by 1""",
 )
 def _(spark, d):
-    pages = fx.feed_pages(fx.purchases(spark, d), "unlockAt")
+    pages = fx.feed_pages(fx.purchases(spark, d))
     return ld.batch_counts(pages, "unlockAt", WINDOW, "unlockSource")
 
 
@@ -214,20 +213,20 @@ def _(spark, d):
     + "select id, min(batch_seq) as first_seq, max(batch_seq) as last_seq from paged group by id",
 )
 def _(spark, d):
-    return ld.seen_state(fx.feed_pages(fx.messages(spark, d), "createdAt"))
+    return ld.seen_state(fx.feed_pages(fx.messages(spark, d)))
 
 
 @register("in_seen", WITH + "select id, ts from messages where id in (select id from messages where id % 4 <> 0)")
 def _(spark, d):
     rows = fx.messages(spark, d)
-    seen = ld.seen_state(fx.feed_pages(rows, "createdAt"))
+    seen = ld.seen_state(fx.feed_pages(rows))
     return ld.in_seen(rows, seen).select("id", F.col("createdAt").alias("ts"))
 
 
 @register("not_in_seen", WITH + "select id, ts from messages where id % 4 = 0")
 def _(spark, d):
     rows = fx.messages(spark, d)
-    seen = ld.seen_state(fx.feed_pages(rows, "createdAt"))
+    seen = ld.seen_state(fx.feed_pages(rows))
     return ld.not_in_seen(rows, seen).select("id", F.col("createdAt").alias("ts"))
 
 

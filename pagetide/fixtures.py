@@ -118,11 +118,16 @@ def load_target(rows: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def feed_pages(rows: DataFrame, ts: str) -> DataFrame:
-    """Feed rows with their page: one page per day, newest first, a quarter of rows gone."""
-    last = F.lit("2024-01-30").cast("date")
+# Ids follow time, so counting them down from a fixed number gives newest-first pages of at
+# most this many rows, however long the feed.
+PAGE_ROWS, PAGE_BASE = 300, 2**40
+PAGE_SQL = f"cast(({PAGE_BASE} - id) // {PAGE_ROWS} as bigint)"
+
+
+def feed_pages(rows: DataFrame) -> DataFrame:
+    """Feed rows with the number of their page; a quarter of the rows is gone."""
     return rows.filter(F.col("id") % 4 != 0).withColumn(
-        "batch_seq", F.date_diff(last, F.to_date(ts)).cast("bigint")
+        "batch_seq", F.expr(f"({PAGE_BASE}L - id) div {PAGE_ROWS}")
     )
 
 

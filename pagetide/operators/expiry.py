@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pagetide.functions.scalars import as_ts, digits_id, owner_key, ts_lit
-from pagetide.plans.skew import hot_keys, skew_join
+from pagetide.functions.scalars import as_ts, digits_id, micros, owner_key, ts_lit
+from pagetide.plans.skew import running_max, skew_join
 
 
 
@@ -155,22 +155,17 @@ def frontiers(pages: DataFrame) -> DataFrame:
 
     A page advances when its newest row is older than the newest row of every page before
     it; the first page only sets the start. ``pages`` has author_id, batch_seq, page_max and
-    processed_at, one row per page of the author's run, of which there are at most as many
-    as the page cap of a run.
+    processed_at, one row per page of the author's run.
     """
-    before = (
-        Window.partitionBy("author_id").orderBy("batch_seq").rowsBetween(Window.unboundedPreceding, -1)
+    known = pages.filter(F.col("page_max").isNotNull()).withColumn("_max", micros("page_max"))
+    before = running_max(
+        known, ["author_id"], "batch_seq", -F.col("_max"), "_neg_lowest", inclusive=False
     )
-    return (
-        pages.filter(F.col("page_max").isNotNull())
-        .withColumn("_lowest", F.min("page_max").over(before))
-        .filter(F.col("page_max") < F.col("_lowest"))
-        .select(
-            "author_id",
-            "batch_seq",
-            F.col("page_max").alias("frontier"),
-            F.col("processed_at").alias("stamp"),
-        )
+    return before.filter(F.col("_max") < -F.col("_neg_lowest")).select(
+        "author_id",
+        "batch_seq",
+        F.col("page_max").alias("frontier"),
+        F.col("processed_at").alias("stamp"),
     )
 
 
@@ -188,33 +183,43 @@ def progressive_expire(
     Equals reviving and expiring page by page: a row seen on any page ends active; a row
     never seen that was active, in the window and newer than some frontier is stamped by the
     first page that passed it, which is the one with the highest frontier below its time;
-    all other rows stay as they were. An author's frontiers, one per page at most, travel as
-    one short array.
+    all other rows stay as they were. That frontier is a running maximum over the author's
+    frontiers and unseen rows by time.
     """
-    stops = (
-        frontiers(pages)
-        .groupBy(F.col("author_id").cast("bigint").alias("_owner"))
-        .agg(F.collect_list(F.struct("frontier", "stamp")).alias("_stops"))
-    )
-    owned = target.withColumn("_owner", owner_key(target, owner_col))
-    with_stops = skew_join(
-        _flagged(owned, seen), stops, ["_owner"], "left", spread=["id"], hot=hot_keys(owned, ["_owner"])
-    )
     when = as_ts(target, ts)
-    passed = F.array_max(F.filter("_stops", lambda s: s["frontier"] < when))["stamp"]
-    gone = F.coalesce(
+    owned = target.withColumn("_owner", owner_key(target, owner_col))
+    unseen = (
         ~F.col("_seen")
         & F.col("expired_ts").isNull()
         & F.col("id").isNotNull()
+        & F.col("_owner").isNotNull()
         & (when >= ts_lit(window_start))
-        & passed.isNotNull(),
-        F.lit(False),
     )
+    flagged = _flagged(owned, seen).withColumn("_open", F.coalesce(unseen, F.lit(False)))
+    stops = frontiers(pages).select(
+        F.col("author_id").cast("bigint").alias("_owner"),
+        micros("frontier").alias("_pos"),
+        F.struct("frontier", "stamp").alias("_stop"),
+    )
+    both = (
+        flagged.filter("_open")
+        .withColumn("_pos", micros(when))
+        .unionByName(stops, allowMissingColumns=True)
+    )
+    passed = running_max(
+        both, ["_owner"], "_pos", F.col("_stop"), "_last", inclusive=False, bits=28
+    ).filter(F.col("_open").isNotNull())
+    stamp = F.col("_last.stamp")
+    kept = [*target.columns, "_seen", "_open"]
+    rows = passed.select(*kept, stamp.alias("_stamp")).unionByName(
+        flagged.filter("NOT _open").select(*kept, _null_ts().alias("_stamp"))
+    )
+    gone = F.col("_stamp").isNotNull()
     back = F.col("_seen") & F.col("expired_ts").isNotNull()
-    marked = with_stops.select(
+    marked = rows.select(
         "*",
         F.when(gone, F.lit("expired")).when(back, F.lit("revived")).alias("_action"),
-        F.when(gone, passed)
+        F.when(gone, F.col("_stamp"))
         .when(F.col("_seen"), _null_ts())
         .otherwise(F.col("expired_ts"))
         .alias("_new"),

@@ -42,6 +42,13 @@ def write_feed_log(df: DataFrame, path: str, batch: str = "batch_seq", mode: str
     lines.select("value").write.mode(mode).text(path)
 
 
+def write_feed_arrays(df: DataFrame, path: str, batch: str = "batch_seq") -> None:
+    """One folder per page with a file that holds the page's rows as a JSON array."""
+    cols = [c for c in df.columns if c != batch]
+    pages = df.groupBy(batch).agg(F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
+    pages.write.partitionBy(batch).text(path)
+
+
 def read_pages(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
     """Page files as one row per page."""
     from pagetide.schemas import page_schema
