@@ -207,6 +207,22 @@ def _(spark, d):
     return out.select("id", F.col("author.id").alias("author_id"), "postedAt", "expired_ts")
 
 
+@register(
+    "stream_load_posts_backfill",
+    WITH
+    + STREAM.format(table="posts")
+    + """select id, author_id, ts as "postedAt", case when id % 4 <> 0 then null
+    when expired_ts is null and author_id = 5 and ts >= timestamp '2024-01-05' then timestamp '2024-02-01 10:00:00'
+    else expired_ts end as expired_ts
+from (select * from target union all select * from inserted)""",
+)
+def _(spark, d):
+    rows = fx.posts(spark, d)
+    paged = _post_feed(fx.feed_pages(rows))
+    run = _streamed(spark, pg.POSTS, rows, paged, "postedAt", author=5, force_backfill=True)
+    return pg.finish_run(run).select("id", F.col("author.id").alias("author_id"), "postedAt", "expired_ts")
+
+
 @register(
     "stream_load_purchases",
     WITH

@@ -354,3 +354,18 @@ def _(spark, d):
     return og.dedup_latest(items, og.KEY, F.col("row_ts").desc(), F.col("row_id").desc()).select(
         *og.KEY, "row_id", "row_date"
     )
+
+
+@register(
+    "band_join_unscoped",
+    "with "
+    + FEEDS_SQL
+    + ","
+    + BANDS_SQL
+    + """select k.author_id, k.media_id, b.d as origin_date
+from (select distinct author_id, media_id from message_items) k
+left join bands b on b.author_id = 3 and k.media_id >= b.first_id and k.media_id < b.last_id""",
+)
+def _(spark, d):
+    bands = og.day_bands(og.post_rows(fx.posts(spark, d))).filter("author_id = 3")
+    return og.band_join_unscoped(_keys(spark, d), bands)

@@ -41,7 +41,7 @@ def parse_ts(c: Column | str) -> Column:
 
 def as_ts(df: DataFrame, name: str) -> Column:
     """The column as UTC wall time; columns that already are stay bare for pushdown."""
-    kind = df.select(name).schema[0].dataType
+    kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         return F.col(name)
     if isinstance(kind, T.TimestampType):

@@ -161,21 +161,16 @@ def table_parity(a: DataFrame, b: DataFrame, exclude: Sequence[str] = (), bag: b
 
 
 def _exploded(messages: DataFrame) -> DataFrame:
+    pairs = F.arrays_zip("media.id", "media.duration").cast(
+        "array<struct<media_id: bigint, media_duration: bigint>>"
+    )
     return messages.select(
-        owner_key(messages, "fromUser").alias("author_id"),
         F.col("id").alias("chat_id"),
-        "text",
-        "price",
-        F.to_date(as_ts(messages, "createdAt")).alias("created_date"),
-        F.explode("media").alias("_item"),
-    ).select(
-        "chat_id",
-        "author_id",
-        F.col("_item.id").cast("bigint").alias("media_id"),
+        owner_key(messages, "fromUser").alias("author_id"),
         F.col("price").alias("msg_price"),
-        F.col("_item.duration").cast("bigint").alias("media_duration"),
-        "created_date",
+        F.to_date(as_ts(messages, "createdAt")).alias("created_date"),
         F.col("text").alias("msg_text"),
+        F.inline(pairs),
     )
 
 

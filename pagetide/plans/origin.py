@@ -27,12 +27,11 @@ KEY = ["author_id", "media_id"]
 # -- rows and items ----------------------------------------------------------------------
 
 
-def items_total(media: Column | str) -> Column:
-    """Total duration of a row's items, without exploding them."""
+def items_total(media: str = "media") -> Column:
+    """Total duration of a row's items, without exploding them and from that field alone."""
+    durations = F.coalesce(F.col(f"{media}.duration"), F.array()).cast("array<bigint>")
     return F.aggregate(
-        F.coalesce(F.col(media) if isinstance(media, str) else media, F.array()),
-        F.lit(0).cast("bigint"),
-        lambda acc, m: acc + F.coalesce(m["duration"], F.lit(0)).cast("bigint"),
+        durations, F.lit(0).cast("bigint"), lambda total, d: total + F.coalesce(d, F.lit(0).cast("bigint"))
     )
 
 
@@ -108,11 +107,11 @@ def post_rows(posts: DataFrame, include_expired: bool = False) -> DataFrame:
 def explode_items(rows: DataFrame, keep: Iterable[str] | None = None) -> DataFrame:
     """One row per item as ``media_id`` and ``duration``; rows without items vanish."""
     keep = [c for c in (keep or rows.columns) if c != "media"]
-    return rows.select(*keep, F.explode("media").alias("_item")).select(
-        *keep,
-        F.col("_item.id").cast("bigint").alias("media_id"),
-        F.col("_item.duration").cast("bigint").alias("duration"),
+    # Zipping the two fields first lets the scan skip the other item fields.
+    pairs = F.arrays_zip("media.id", "media.duration").cast(
+        "array<struct<media_id: bigint, duration: bigint>>"
     )
+    return rows.select(*keep, F.inline(pairs))
 
 
 # -- running ids, per item ---------------------------------------------------------------
@@ -245,24 +244,15 @@ def band_join(items: DataFrame, bands: DataFrame) -> DataFrame:
     )
 
 
-def band_join_unscoped(items: DataFrame, bands: DataFrame) -> DataFrame:
-    """LEFT range join that ignores authors, with the bands of all of them."""
-    merged = bands.filter(F.col("first_id") < F.col("last_id")).select(
-        F.col("posted_date"), "first_id", "last_id"
-    )
-    on = (F.col("media_id") >= F.col("first_id")) & (F.col("media_id") < F.col("last_id"))
-    return items.join(merged, on, "left").drop("first_id", "last_id").withColumnRenamed(
-        "posted_date", "origin_date"
-    )
-
-
-def band_lookup(keys: DataFrame, bands: DataFrame) -> DataFrame:
+def band_lookup(keys: DataFrame, bands: DataFrame, per_author: bool = True) -> DataFrame:
     """As-of form of ``band_join`` for distinct keys (author_id, media_id).
 
     The bands of an author are disjoint, so the only candidate is the band that starts last
     at or before the id: the running maximum of (start, end, day) by id over bands and keys
     together. Ids and starts are distinct, so a block of the scan holds at most twice its
     width, whatever the author's share of the keys.
+
+    With ``per_author`` off authors are ignored; the bands must then be those of one author.
     """
     band = "struct<first_id: bigint, last_id: bigint, posted_date: date>"
     starts = bands.filter(F.col("first_id") < F.col("last_id")).select(
@@ -273,13 +263,25 @@ def band_lookup(keys: DataFrame, bands: DataFrame) -> DataFrame:
     )
     points = keys.select("*", F.lit(None).cast(band).alias("_band"), F.lit(True).alias("_wanted"))
     both = points.unionByName(starts, allowMissingColumns=True)
-    reached = running_max(both, ["author_id"], "media_id", F.col("_band"), "_last")
+    part = ["author_id"]
+    if not per_author:
+        both, part = both.withColumn("_whole", F.lit(0)), ["_whole"]
+    reached = running_max(both, part, "media_id", F.col("_band"), "_last")
     inside = F.col("media_id") < F.col("_last.last_id")
     return reached.filter("_wanted").select(
         *keys.columns, F.when(inside, F.col("_last.posted_date")).alias("origin_date")
     )
 
 
+def band_join_unscoped(keys: DataFrame, bands: DataFrame) -> DataFrame:
+    """LEFT range join by id alone, for the bands of one author.
+
+    Bands of several authors overlap and would repeat rows, so they are not accepted by the
+    reports; as the bands here are disjoint, the as-of form gives the join's rows.
+    """
+    return band_lookup(keys, bands, per_author=False)
+
+
 def latest_posts(posts: DataFrame) -> DataFrame:
     """Latest post that holds each (author, item): wall_date, post_id, wall_text, wall_price.
 
@@ -289,8 +291,9 @@ def latest_posts(posts: DataFrame) -> DataFrame:
     newest = Window.partitionBy(*KEY).orderBy(
         F.col("posted_ts").desc_nulls_last(), F.col("post_id").desc_nulls_last()
     )
+    ids = F.col("media.id").cast("array<bigint>")
     return (
-        explode_items(posts)
+        posts.select(*[c for c in posts.columns if c != "media"], F.explode(ids).alias("media_id"))
         .filter(F.col("media_id").isNotNull())
         .withColumn("_rn", F.row_number().over(newest))
         .filter(F.col("_rn") == 1)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pagetide import schemas as S
 from pagetide.functions.scalars import as_ts, digits_id, parse_ts, ts_lit
 from pagetide.operators import dimension as dm, expiry as ex, load as ld, shape as sh
-from pagetide.sources import feeds, tables
+from pagetide.plans.skew import skew_join
+from pagetide.sources import feeds
 
 PAGE_CAP = 500
 NATURAL_STOPS = ("hasMore", "cutoff")
@@ -204,11 +205,9 @@ class Run:
     def target(self, before: int | None = None) -> DataFrame:
         return self._log("rows", before).drop("batch_id")
 
-    def dim(self, before: int | None = None) -> DataFrame:
+    def dim(self) -> DataFrame:
         """Current dimension: of each key, the rows its latest batch wrote."""
-        log = self._log("dim", before)
-        latest = log.groupBy(*dm.KEY).agg(F.max("batch_id").alias("batch_id"))
-        return log.join(latest, [*dm.KEY, "batch_id"], "left_semi").drop("batch_id")
+        return _latest(self._log("dim"))
 
     def pages(self) -> DataFrame:
         return self._log("pages").drop("batch_id")
@@ -229,17 +228,32 @@ class Run:
         seen = rows.select("batch_seq", digits_id("id").alias("id")).filter(F.col("id").isNotNull())
         self._write(seen, "seen", batch_id)
         if feed.has_dim:
-            dim = self.dim(batch_id)
-            # The increment reads all rows, not just the inserted ones.
-            everything = self.target(batch_id + 1).drop("batch_seq")
-            increment = dm.dim_increment(everything, dim, self.run_ts)
-            self._write(dm.rebuilt_versions(dim, increment), "dim", batch_id)
+            self._write_versions(batch_id)
         summary = batch_stop_reason(
             page_summary(pages, rows, inserted, feed.ts, self.min_window),
             self.high_watermark, self.min_window, self.force_backfill, self.cutoff_reason, self.jump_seq,
         )
         self._write(summary, "pages", batch_id)
 
+    def _write_versions(self, batch_id: int) -> None:
+        """Rebuild the versions of the keys with new items.
+
+        The increment reads all rows so far, not just the inserted ones. A rebuild keeps
+        every start, so the log gives the known range as it is; only the rows of the
+        increment's keys are cut to their latest state.
+        """
+        log = self._log("dim", batch_id)
+        rows = self.target(batch_id + 1).drop("batch_seq")
+        self._write(dm.dim_increment(rows, log, self.run_ts), "increment", batch_id)
+        increment = self._log("increment").filter(F.col("batch_id") == batch_id).drop("batch_id")
+        touched = _latest(ld.restrict_to_batch_keys(log, increment, dm.KEY))
+        self._write(dm.rebuilt_versions(touched, increment), "dim", batch_id)
+
+
+def _latest(log: DataFrame) -> DataFrame:
+    newest = log.groupBy(*dm.KEY).agg(F.max("batch_id").alias("batch_id"))
+    return skew_join(log, newest, [*dm.KEY, "batch_id"], "left_semi").drop("batch_id")
+
 
 def stream_load(run: Run, pages_path: str, per_trigger: int = 1) -> None:
     """Load all waiting page files, ``per_trigger`` at a time, and return when none is left."""
@@ -316,5 +330,5 @@ def write_pages(rows: DataFrame, path: str, processed_at: datetime) -> None:
 __all__ = [
     "Feed", "HistoricalWindow", "MESSAGES", "POSTS", "PURCHASES", "Run", "batch_stop_reason",
     "finish_run", "first_stop", "historical_window", "page_rows", "page_summary", "stream_load",
-    "sweep_gate", "tables", "write_pages",
+    "sweep_gate", "write_pages",
 ]
