@@ -1,12 +1,34 @@
 """Messages, posts and purchases derived from the ``events`` table.
 
-The same mapping is stated in SQL in ``FEEDS_SQL``, for checks on another engine.
+They are written to the shared folder once per application, as staging tables are in use,
+and read from there. The same mapping is stated in SQL in ``FEEDS_SQL``, for checks on
+another engine.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pagetide.sources.tables import stored
+
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def staged(derive: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Write the derived feed on first use, read it afterwards."""
+
+    @wraps(derive)
+    def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = spark.sparkContext.applicationId, sf_dir, derive.__name__
+        if key not in _STAGED:
+            _STAGED[key] = stored(derive(spark, sf_dir))
+        return _STAGED[key]
+
+    return feed
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,6 +71,7 @@ def _events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     )
 
 
+@staged
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "click").selectExpr(
         "event_id AS id",
@@ -62,6 +85,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@staged
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "view").selectExpr(
         "event_id AS id",
@@ -93,6 +117,7 @@ def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@staged
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "purchase", "signup").selectExpr(
         "IF(event_type = 'purchase', 'post', 'message') AS responseType",
