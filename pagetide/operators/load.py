@@ -87,9 +87,10 @@ def existing_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     """Distinct target keys that the batch holds too.
 
     The semi join comes first: for a small batch it is a broadcast filter on the target's
-    key columns, so the target is not shuffled.
+    key columns, so the target is not shuffled. For a large one both sides are plain
+    shuffles, which adaptive execution may split where a key of the target is hot.
     """
-    wanted = batch.select(*keys).distinct()
+    wanted = batch.select(*keys)
     return target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
 
 
@@ -189,7 +190,7 @@ def pending_increment_count(target: DataFrame, batch: DataFrame, ts: str, owner:
     """Number of batch rows newer than their owner's newest row."""
     bounds = watermark_lookup(target, ts, owner_key(target, owner))
     rows = batch.select(owner_key(batch, owner).alias("_owner"), as_ts(batch, ts).alias("_ts"))
-    per_owner = rows.join(bounds, "_owner", "left")
+    per_owner = skew_join(rows, bounds, ["_owner"], "left")
     newer = F.col("_high").isNull() | (F.col("_ts") > F.col("_high"))
     return per_owner.agg(F.count_if(newer & F.col("_ts").isNotNull()).alias("n_pending"))
 
