@@ -124,7 +124,7 @@ def test_scd2_with_hot_keys(spark):
             F.col("x").cast("timestamp_ntz").alias("extract_ts"),
         ).distinct()
 
-    empty = versions(0, "2024-02-01") if False else versions(1, "2024-02-01").limit(0)
+    empty = versions(1, "2024-02-01").limit(0)
     first = versions(40, "2024-02-01")
     dim = dm.scd2_rebuild(empty, first)
     second = versions(30, "2024-02-02").filter("media_id < 2")
