@@ -7,18 +7,36 @@ change reads version N and writes N + 1.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of a local run whose session names none.
+_local: dict[str, str] = {}
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is named."""
+
+def use_local_dir(spark: SparkSession, path: str | None = None) -> None:
+    """Name a work folder for a session on one machine that has no ``spark.checkpoint.dir``.
+
+    Does nothing where the session names a shared folder or runs on a cluster.
+    """
+    context = spark.sparkContext
+    if _shared_dir(spark) is None and context.master.startswith(("local[", "local")):
+        if not context.master.startswith("local-cluster"):
+            _local[context.applicationId] = path or f"/tmp/pagetide-{context.applicationId}"
+
+
+def _shared_dir(spark: SparkSession) -> str | None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return shared or tempfile.mkdtemp(prefix="pagetide-")
+    return shared or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names."""
+    found = _shared_dir(spark) or _local.get(spark.sparkContext.applicationId)
+    if found is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return found
 
 
 def _fs(spark: SparkSession, path: str):
@@ -60,12 +78,23 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(f"{root}/version={version:08d}")
 
 
+def scratch(spark: SparkSession, kind: str = "stored") -> str:
+    """A new path under this application's part of the shared folder."""
+    return f"{work_dir(spark)}/pagetide-{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     Cuts the lineage where a result is read many times, survives the loss of executors, and
-    gives Catalyst the size of what was written.
+    gives Catalyst the size of what was written. ``clean`` removes it.
     """
-    path = f"{work_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all that ``stored`` wrote in this application; frames that read it end here."""
+    path, fs = _fs(spark, f"{work_dir(spark)}/pagetide-{spark.sparkContext.applicationId}")
+    fs.delete(path, True)
