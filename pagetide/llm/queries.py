@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagetide.llm import exact, simhash
+from pagetide.llm import bpe, counts, exact, langid, licenses, packing, quality, secrets, simhash, urls
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,10 +17,34 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
     return fn
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file, which every machine has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.filter(~langid.held_out("doc_id")))
+    found = langid.identify(docs, model)
+    return found.select(
+        F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score"
+    )
+
+
+@register
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+    parts = parts.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(parts).withColumnRenamed("id", "doc_id")
+
+
 @register
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.verdicts(exact.dedup(documents(spark, sf_dir)))
@@ -36,7 +60,111 @@ from documents window w as (partition by coalesce(text, ''))
 """
 
 
+@register
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(documents(spark, sf_dir))
+    fixed = F.filter("spans", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.written(fixed), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 @register
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    found = bpe.decoded(bpe.encode(documents(spark, sf_dir), path), path)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    base = F.transform("places", lambda p: p["label"])
+    spans = F.transform("spans", lambda s: licenses.label_of(s["template"]))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.get("places", F.lit(0))["at"].cast("bigint").alias("first_word"),
+        F.get("places", F.size("places") - 1)["at"].cast("bigint").alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, spans)).alias("labels"),
+        F.coalesce(
+            F.when(F.size("places") > 0, F.lit(1.0)), F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)
+        ).alias("score"),
+    )
+
+
+@register
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = counts.count_tokens(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit")
+    )
+
+
+@register
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.assess(documents(spark, sf_dir), measures=True, first=quality.BASE)
+    return found.select(
+        F.col("id").alias("doc_id"), *quality.MEASURES, F.col("first_failed").alias("base_failed"), "kept"
+    )
+
+
+#: Names in hosts whose pages make up the list of the query.
+UNWANTED = "(^|[.-])(adult|ads|bets|casino|spam)([.-]|$)"
+
+
+@register
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    listed = pages.filter(urls.host_of(F.col("url")).rlike(UNWANTED))
+    return urls.judge(pages, listed).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+SQL["op10_url_filter"] = rf"""
+with a as (
+  select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages
+), b as (
+  select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw_host,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+         list_sort([q for q in string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&')
+                    if q <> '' and not regexp_matches(q, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)')]) as params
+  from a
+), c as (
+  select page_id, host, path,
+         case when host <> '' then regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '')
+              || case when len(params) > 0 then '?' || array_to_string(params, '&') else '' end end as canonical
+  from b
+), r(verdict, of, start) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fit as (
+  select page_id, arg_max(of || start, length(of || start)) as rule, arg_max(verdict, length(of || start)) as verdict
+  from c join r on (host = of or ends_with(host, '.' || of)) and starts_with(path, start)
+  group by page_id
+), listed as (
+  select distinct canonical from c where regexp_matches(host, '{UNWANTED}')
+)
+select c.page_id, host, path, rule,
+       coalesce(fit.verdict, case when canonical in (select canonical from listed) then 'block' else 'allow' end) as verdict
+from c left join fit on c.page_id = fit.page_id
+"""
