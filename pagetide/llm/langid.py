@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagetide.llm.common import text_of
+from pagetide.sources.tables import stored
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 20_000
@@ -35,6 +36,8 @@ MAX_GRAMS = 40_000
 ORDERS = (5, 4, 3, 2, 1)
 #: Weight of an n-gram's evidence, as its grams overlap and it says less than a word.
 BACKOFF = 0.5
+#: Share of a key's mean rate over all languages in its rate in each.
+MIXED = 0.01
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -46,13 +49,17 @@ class Model:
 
 
 def _log_rates(rows: list, langs: list[str]) -> dict[str, np.ndarray]:
-    """Log of the smoothed share of every key in each language."""
+    """Log of every key's share in each language, mixed with a little of its mean share.
+
+    Shares, unlike counts, do not favour the language with the most text where a key is
+    unknown to a language.
+    """
     place = {lang: i for i, lang in enumerate(langs)}
     counts: dict[str, np.ndarray] = {}
     for row in rows:
         counts.setdefault(row["key"], np.zeros(len(langs)))[place[row["lang"]]] += row["n"]
-    total = sum(counts.values(), np.zeros(len(langs)))
-    return {k: np.log((c + 0.5) / (total + 0.5 * len(counts))) for k, c in counts.items()}
+    total = np.maximum(sum(counts.values(), np.zeros(len(langs))), 1)
+    return {k: np.log(c / total + MIXED * (c / total).mean()) for k, c in counts.items()}
 
 
 def train(
@@ -78,6 +85,7 @@ def train(
         .groupBy("lang", "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    words = stored(words)  # read once for words and once per order
 
     def top(counts: DataFrame, most: int) -> list:
         return counts.orderBy(F.desc("n"), "key", "lang").limit(most).collect()
@@ -91,7 +99,7 @@ def train(
         cut = marked.filter(F.length("w") >= order).select(
             "lang", "n", F.explode(F.transform(spots, lambda i: F.substring("w", i, F.lit(order)))).alias("key")  # noqa: B023
         )
-        counts = cut.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+        counts = cut.filter(~F.col("key").isin("^", "$")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
         grams[order] = _log_rates([r for r in top(counts, max_grams) if r["lang"] in langs], langs)
     return Model(langs, _log_rates(known, langs), grams)
 
