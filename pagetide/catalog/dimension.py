@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagetide import fixtures as fx, schemas as S
 from pagetide.fixtures import FEEDS_SQL
-from pagetide.operators import dimension as dm, quality as ql
+from pagetide.operators import dimension as dm, load as ld, quality as ql
 from pagetide.plans.skew import number_versions
 from pagetide.sources.tables import stored
 
@@ -25,7 +25,7 @@ WITH = (
     + f""",
 versions_of as (
   select distinct author_id, media_id, duration as media_duration, blob as media_blob,
-    ts as valid_from_ts, ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' and id % 5 <> 0 as early
+    ts as valid_from_ts, ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' and id % 7 <> 0 as early
   from message_items),
 first_load as (
   select author_id, media_id, media_duration, media_blob, valid_from_ts, {EASTERN_1} as extract_ts
@@ -73,19 +73,13 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-_STORED: dict[tuple, tuple] = {}
-
-
 def _states(spark, d):
     """The dimension after a first load and the increment of a second, as stored tables."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STORED:
-        messages = fx.messages(spark, d)
-        empty = spark.createDataFrame([], S.dim_schema())
-        first = dm.dim_increment(fx.load_target(messages, "createdAt"), empty, RUN_1, include_gaps=True)
-        dim = stored(dm.scd2_rebuild(empty, stored(first)))
-        _STORED[key] = dim, stored(dm.dim_increment(messages, dim, RUN_2))
-    return _STORED[key]
+    messages = fx.messages(spark, d)
+    empty = spark.createDataFrame([], S.dim_schema())
+    first = dm.dim_increment(fx.load_target(messages, "createdAt"), empty, RUN_1, include_gaps=True)
+    dim = stored(dm.scd2_rebuild(empty, stored(first)))
+    return dim, stored(dm.dim_increment(messages, dim, RUN_2))
 
 
 def _first(spark, d):
@@ -221,10 +215,11 @@ def _(spark, d):
     "overlap_join",
     WITH
     + LINKS
-    + """select a.author_id, a.media_id, a.chat_id as chat_a, b.chat_id as chat_b
-from links a join links b on a.author_id = b.author_id and a.media_id = b.media_id and a.chat_id < b.chat_id
-where a.valid_from_ts < coalesce(b.valid_to_ts, timestamp '2024-02-15')
-  and b.valid_from_ts < coalesce(a.valid_to_ts, timestamp '2024-02-15')""",
+    + """select a.author_id, a.media_id, a.chat_id, count(b.chat_id) as n_open, count(b.chat_id) > 0 as overlaps
+from links a left join links b on a.author_id = b.author_id and a.media_id = b.media_id
+  and (b.valid_from_ts < a.valid_from_ts or (b.valid_from_ts = a.valid_from_ts and b.chat_id < a.chat_id))
+  and coalesce(b.valid_to_ts, timestamp '2024-02-15') > a.valid_from_ts
+group by 1, 2, 3""",
 )
 def _(spark, d):
     return dm.overlap_join(dm.item_message_link(fx.messages(spark, d), RUN_2), datetime(2024, 2, 15))
@@ -247,23 +242,20 @@ def _(spark, d):
 @register(
     "checksum_change",
     WITH
-    + """select a.author_id, a.media_id from dim a join new_dim b using (author_id, media_id)
-where a.is_current and b.is_current
-  and (a.media_duration <> b.media_duration or a.media_blob <> b.media_blob)""",
+    + """select author_id, media_id from dim a
+where is_current and valid_from_ts < timestamp '2024-01-15' and media_duration > 0""",
 )
 def _(spark, d):
-    dim, increment = _states(spark, d)
-    messages = fx.messages(spark, d)
-    old = dm.dim_delete_aware(dim, messages)
-    new = dm.dim_delete_aware(stored(dm.scd2_rebuild(dim, increment)), messages)
+    """The second table is the first with other durations in the older half."""
+    dim, messages = _first(spark, d), fx.messages(spark, d)
+    older = F.col("valid_from_ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    changed = dim.withColumn("media_duration", F.when(older, -F.col("media_duration")).otherwise(F.col("media_duration")))
+    old, new = dm.dim_delete_aware(dim, messages), dm.dim_delete_aware(changed, messages)
     return dm.checksum_change(old, new).select("author_id", "media_id")
 
 
-@register(
-    "scd2_merge_legacy",
-    WITH
-    + """, src as (
-  select * from increment qualify row_number() over (
+LEGACY = """, src as (
+  select * from increment where {known} qualify row_number() over (
     partition by author_id, media_id order by valid_from_ts desc, media_blob) = 1),
 merged as (
   select d.author_id, d.media_id, d.valid_from_ts,
@@ -285,11 +277,28 @@ added as (
   from src s join newest n using (author_id, media_id) where not exists (select 1 from fresh))
 select author_id, media_id, valid_from_ts, cast(seen_count as integer) as seen_count, valid_to_ts, is_current from merged
 union all select author_id, media_id, valid_from_ts, 1, null, true from fresh
-union all select author_id, media_id, valid_from_ts, cast(seen_count as integer), valid_to_ts, is_current from added""",
+union all select author_id, media_id, valid_from_ts, cast(seen_count as integer), valid_to_ts, is_current from added"""
+
+
+@register(
+    "scd2_merge_legacy",
+    WITH
+    + LEGACY.replace("{known}", "true"),
 )
 def _(spark, d):
     dim, increment = _states(spark, d)
-    source = stored(increment.transform(_newest_per_key))
+    return _merged(dim, stored(increment.transform(_newest_per_key)))
+
+
+@register("scd2_merge_legacy_known", WITH + LEGACY.replace("{known}", """exists (
+    select 1 from dim k where k.author_id = increment.author_id and k.media_id = increment.media_id)"""))
+def _(spark, d):
+    """Only keys that the dimension has: each source row is added as a version."""
+    dim, increment = _states(spark, d)
+    return _merged(dim, stored(ld.restrict_to_batch_keys(increment, dim, dm.KEY).transform(_newest_per_key)))
+
+
+def _merged(dim, source):
     return dm.scd2_merge_legacy(dim, source).select(
         "author_id", "media_id", "valid_from_ts", "seen_count", "valid_to_ts", "is_current"
     )

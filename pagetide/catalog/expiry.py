@@ -29,7 +29,7 @@ def register(name: str, sql: str | None = None):
 def _run(spark, d):
     """A run over all authors: messages, their pages and the ids seen."""
     rows = fx.messages(spark, d)
-    paged = fx.feed_pages(rows)
+    paged = fx.feed_pages(fx.shown(rows))
     pages = paged.groupBy(F.col("fromUser.id").alias("author_id"), "batch_seq").agg(
         F.max("createdAt").alias("page_max")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from pagetide import fixtures as fx, schemas as S
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.functions import scalars as sc
-from pagetide.operators import load as ld, shape as sh
+from pagetide.operators import dimension as dm, load as ld, shape as sh
 from pagetide.sources import feeds, tables
 from pagetide.streaming import pages as pg
 
@@ -18,7 +17,7 @@ Q: dict = {}
 SQL: dict[str, str] = {}
 WITH = "with " + FEEDS_SQL
 WINDOW, RUN = datetime(2024, 1, 5), datetime(2024, 2, 1, 10)
-ALL_PAGES = 1000  # page files per micro-batch, so that a check takes one
+PER_TRIGGER = 16  # page files per micro-batch; results do not depend on it
 
 
 def register(name: str, sql: str | None = None):
@@ -32,7 +31,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _folder(spark, name):
-    return f"{tables.work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return tables.scratch(spark, name)
 
 
 def _iso(c):
@@ -69,14 +68,14 @@ def _(spark, d):
     return _item_rows(spark.read.schema(S.MESSAGE_FEED).json(path))
 
 
-@register("read_feed_log", WITH + ITEM_ROWS + " where m.id % 4 <> 0")
+@register("read_feed_log", WITH + ITEM_ROWS)
 def _(spark, d):
     path = _folder(spark, "log")
     feeds.write_feed_log(_message_feed(fx.feed_pages(fx.messages(spark, d))), path)
     return _item_rows(feeds.read_feed_log(spark, path, S.MESSAGE_FEED))
 
 
-@register("read_feed_json", WITH + ITEM_ROWS + " where m.id % 4 <> 0")
+@register("read_feed_json", WITH + ITEM_ROWS)
 def _(spark, d):
     path = _folder(spark, "array")
     rows = _message_feed(fx.feed_pages(fx.messages(spark, d)))
@@ -84,78 +83,153 @@ def _(spark, d):
     return _item_rows(feeds.read_feed_json(spark, f"{path}/*", S.MESSAGE_FEED))
 
 
-def _streamed(spark, feed, rows, feed_rows, ts, **options):
-    """A finished stream over the pages of ``feed_rows``, into a table loaded earlier."""
+def _streamed(spark, feed, rows, feed_rows, ts, window=WINDOW, dim=None, **options):
+    """What a run over the pages of ``feed_rows`` makes of a table loaded earlier."""
     root, path = _folder(spark, "run"), _folder(spark, "pages")
-    pg.write_pages(feed_rows, path, RUN)
-    run = pg.Run(spark, feed, root, WINDOW, RUN, **options)
-    run.start(fx.load_target(rows, ts))
-    pg.stream_load(run, path, ALL_PAGES)
-    return run
+    pg.write_pages(feed_rows, path, RUN, minutes=True)
+    run = pg.Run(spark, feed, root, window, RUN, **options)
+    run.start(fx.load_target(rows, ts), dim, dim)
+    pg.stream_load(run, path, PER_TRIGGER)
+    return pg.finish_run(run)
 
 
 def _messages(spark, d, **options):
     rows = fx.messages(spark, d)
-    paged = _message_feed(fx.feed_pages(rows))
+    paged = _message_feed(fx.overlapping_pages(fx.shown(rows)))
     return _streamed(spark, pg.MESSAGES, rows, paged, "createdAt", **options)
 
 
-STREAM = """, target as (
-  select * from {table} where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' and id % 5 <> 0),
-arrived as (select * from {table} where id % 4 <> 0 and ts >= timestamp '2024-01-05'),
+def _posts(spark, d, **options):
+    rows = fx.posts(spark, d)
+    paged = _post_feed(fx.overlapping_pages(fx.shown(rows)))
+    return _streamed(spark, pg.POSTS, rows, paged, "postedAt", **options)
+
+
+# A row that two pages repeat is loaded once, by the first of them.
+STREAM = (
+    """, target as (
+  select * from {table} where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' and id % 7 <> 0),
 inserted as (
-  select a.* replace (cast(null as timestamp) as expired_ts) from arrived a
-  where not exists (select 1 from target t where t.id = a.id))
+  select a.* replace (cast(null as timestamp) as expired_ts), """
+    + fx.PAGE_SQL
+    + """ as seq from {table} a
+  where id % 4 <> 0 and ts >= timestamp '2024-01-05' and not exists (select 1 from target t where t.id = a.id)),
+loaded as (select * from target union all select * exclude (seq) from inserted),
+page_rows as (select *, """
+    + fx.OVERLAP_SQL
+    + """ as batch_seq from {table} where id % 4 <> 0),
+pages as (
+  select batch_seq, count(*) as n_rows,
+    count(*) filter (where ts >= timestamp '2024-01-05') as n_in_window, max(ts) as raw_max,
+    max(ts) filter (where ts >= timestamp '2024-01-05') as in_window_max,
+    (select count(*) from inserted i where i.seq = page_rows.batch_seq) as inserted
+  from page_rows group by 1)
 """
+)
+FLAT = 'id, author_id, ts as "{ts}", {e} as expired_ts from loaded'
+
+
+def _flat(out, owner, ts):
+    return out.target.select("id", F.col(f"{owner}.id").alias("author_id"), ts, "expired_ts")
 
 
 @register(
     "stream_load_messages",
-    WITH
-    + STREAM.format(table="messages")
-    + """select id, author_id, ts as "createdAt", case when id % 4 = 0 then expired_ts end as expired_ts
-from (select * from target union all select * from inserted)""",
+    WITH + STREAM.format(table="messages") + "select " + FLAT.format(ts="createdAt", e="case when id % 4 = 0 then expired_ts end"),
 )
 def _(spark, d):
-    out = pg.finish_run(_messages(spark, d))
-    return out.select("id", F.col("fromUser.id").alias("author_id"), "createdAt", "expired_ts")
+    return _flat(_messages(spark, d), "fromUser", "createdAt")
 
 
 @register(
     "stream_load_messages_backfill",
     WITH
     + STREAM.format(table="messages")
-    + """select id, author_id, ts as "createdAt", case when id % 4 <> 0 then null
+    + "select "
+    + FLAT.format(
+        ts="createdAt",
+        e="""case when id % 4 <> 0 then null
     when expired_ts is null and author_id = 3 and ts >= timestamp '2024-01-05' then timestamp '2024-02-01 10:00:00'
-    else expired_ts end as expired_ts
-from (select * from target union all select * from inserted)""",
+    else expired_ts end""",
+    ),
 )
 def _(spark, d):
-    out = pg.finish_run(_messages(spark, d, author=3, force_backfill=True))
-    return out.select("id", F.col("fromUser.id").alias("author_id"), "createdAt", "expired_ts")
+    return _flat(_messages(spark, d, author=3, force_backfill=True), "fromUser", "createdAt")
+
+
+# The dimension before the run has the table's items. A page looks at the rows it loaded, the
+# first also at the table's; what lies inside the range known by then stays out.
+DIM = """, items as (
+  select distinct id, author_id, media_id, duration as media_duration, blob as media_blob, ts as valid_from_ts
+  from message_items),
+dim0 as (
+  select distinct i.author_id, media_id, media_duration, media_blob, valid_from_ts,
+    timestamp '2024-01-20 07:30:15' as extract_ts
+  from items i join target t using (id)),
+looked_at as (
+  select id, author_id, ts, seq from inserted where n_media > 0
+  union all select id, author_id, ts, (select min(seq) from inserted) from target where n_media > 0),
+marks as (
+  select author_id, seq, min(ts) as lo, max(ts) as hi from looked_at group by 1, 2
+  union all select author_id, -1, min(valid_from_ts), max(valid_from_ts) from dim0 group by 1),
+ranges as (
+  select author_id, seq, min(lo) over w as lo, max(hi) over w as hi from marks
+  window w as (partition by author_id order by seq rows between unbounded preceding and 1 preceding)),
+increment as (
+  select distinct i.author_id, media_id, media_duration, media_blob, valid_from_ts,
+    timestamp '2024-02-01 05:00:00' as extract_ts, l.seq
+  from looked_at l join ranges r on r.author_id = l.author_id and r.seq = l.seq join items i on i.id = l.id
+  where lo is null or valid_from_ts < lo or valid_from_ts > hi),
+numbered as (
+  select *, cast(row_number() over k as integer) as seen_count, lead(valid_from_ts) over k as valid_to_ts
+  from (select * from dim0 union select * exclude (seq) from increment)
+  window k as (partition by author_id, media_id order by valid_from_ts, extract_ts, media_blob, media_duration)),
+by_page as (
+  select p.seq as page, v.* exclude (seq)
+  from (select distinct author_id, media_id, seq from increment) p
+  join (select *, -1 as seq from dim0 union select * from increment) v
+    on v.author_id = p.author_id and v.media_id = p.media_id and v.seq <= p.seq),
+added as (
+  select author_id, media_id, valid_from_ts, cast(row_number() over k as integer) as seen_count,
+    lead(valid_from_ts) over k as valid_to_ts
+  from by_page
+  window k as (partition by page, author_id, media_id order by valid_from_ts, extract_ts, media_blob, media_duration)),
+numbered0 as (
+  select author_id, media_id, valid_from_ts, cast(row_number() over k as integer) as seen_count,
+    lead(valid_from_ts) over k as valid_to_ts
+  from dim0
+  window k as (partition by author_id, media_id order by valid_from_ts, extract_ts, media_blob, media_duration))
+"""
+VERSIONS = ["author_id", "media_id", "valid_from_ts", "seen_count", "valid_to_ts"]
+
+
+def _with_dim(spark, d):
+    empty = spark.createDataFrame([], S.dim_schema())
+    target = fx.load_target(fx.messages(spark, d), "createdAt")
+    first = dm.dim_increment(target, empty, datetime(2024, 1, 20, 12, 30, 15))
+    return _messages(spark, d, dim=tables.stored(dm.scd2_rebuild(empty, tables.stored(first))))
 
 
 @register(
     "stream_load_dimension",
+    WITH + STREAM.format(table="messages") + DIM + f"select {', '.join(VERSIONS)} from numbered",
+)
+def _(spark, d):
+    return _with_dim(spark, d).dim.select(*VERSIONS)
+
+
+@register(
+    "stream_load_history",
     WITH
     + STREAM.format(table="messages")
-    + """select author_id, media_id, ts as valid_from_ts,
-  cast(row_number() over (partition by author_id, media_id order by ts, blob, duration) as integer) as seen_count
-from (
-  select distinct author_id, media_id, ts, blob, duration from message_items
-  where id in (select id from target union all select id from inserted))""",
+    + DIM
+    + f"select {', '.join(VERSIONS)} from added union all select {', '.join(VERSIONS)} from numbered0",
 )
 def _(spark, d):
-    return _messages(spark, d).dim().select("author_id", "media_id", "valid_from_ts", "seen_count")
+    return _with_dim(spark, d).history.select(*VERSIONS)
 
 
-PAGE_SQL = f""", pages as (
-  select {fx.PAGE_SQL} as batch_seq, count(*) as n_rows,
-    count(*) filter (where ts >= timestamp '2024-01-05') as n_in_window, max(ts) as raw_max,
-    max(ts) filter (where ts >= timestamp '2024-01-05') as in_window_max,
-    count(*) filter (where id in (select id from inserted)) as inserted
-  from messages where id % 4 <> 0 group by 1),
-judged as (
+JUDGED = """, judged as (
   select *, case when batch_seq = (select max(batch_seq) from pages) then 'hasMore'
     when raw_max < timestamp '2024-01-05' then 'cutoff'
     when coalesce(in_window_max, raw_max) < timestamp '2024-01-19' and inserted = 0 then 'high_watermark'
@@ -167,12 +241,11 @@ judged as (
     "batch_stop_reason",
     WITH
     + STREAM.format(table="messages")
-    + PAGE_SQL
+    + JUDGED
     + "select batch_seq, n_rows, n_in_window, raw_max, in_window_max, inserted, stop_reason from judged",
 )
 def _(spark, d):
-    run = _messages(spark, d, high_watermark=datetime(2024, 1, 19))
-    return run.pages().select(
+    return _messages(spark, d, high_watermark=datetime(2024, 1, 19)).pages.select(
         "batch_seq", "n_rows", "n_in_window", "raw_max", "in_window_max", "inserted", "stop_reason"
     )
 
@@ -181,60 +254,92 @@ def _(spark, d):
     "sweep_gate",
     WITH
     + STREAM.format(table="messages")
-    + PAGE_SQL
+    + JUDGED
     + """, stop as (
   select min(batch_seq) as stop_seq, min_by(stop_reason, batch_seq) as stop_reason
   from judged where stop_reason is not null)
 select stop_seq, stop_reason, coalesce(stop_reason in ('hasMore', 'cutoff'), false) as sweep from stop""",
 )
 def _(spark, d):
-    run = _messages(spark, d, high_watermark=datetime(2024, 1, 19))
-    stop = pg.first_stop(run.pages())
-    return stop.select("*", pg.sweep_gate(F.col("stop_reason"), forced=True).alias("sweep"))
+    out = _messages(spark, d, high_watermark=datetime(2024, 1, 19))
+    return out.stop.select("stop_seq", "stop_reason", pg.sweep_gate(F.col("stop_reason"), forced=True).alias("sweep"))
 
 
 @register(
     "stream_load_posts",
-    WITH
-    + STREAM.format(table="posts")
-    + """select id, author_id, ts as "postedAt", case when id % 4 = 0 then expired_ts end as expired_ts
-from (select * from target union all select * from inserted)""",
+    WITH + STREAM.format(table="posts") + "select " + FLAT.format(ts="postedAt", e="case when id % 4 = 0 then expired_ts end"),
 )
 def _(spark, d):
-    rows = fx.posts(spark, d)
-    paged = _post_feed(fx.feed_pages(rows))
-    out = pg.finish_run(_streamed(spark, pg.POSTS, rows, paged, "postedAt"))
-    return out.select("id", F.col("author.id").alias("author_id"), "postedAt", "expired_ts")
+    return _flat(_posts(spark, d), "author", "postedAt")
+
+
+# Posts are stamped by the clock of the page that passed them by, the rest by the run's.
+STAMPS = """, lowest as (
+  select *, min(raw_max) over (order by batch_seq rows between unbounded preceding and 1 preceding) as so_far
+  from pages),
+passing as (
+  select batch_seq, raw_max, timestamp '2024-02-01 10:00:00'
+      + to_minutes(batch_seq - (select min(batch_seq) from pages)) as stamp
+  from lowest where raw_max < so_far and batch_seq <= (
+    select min(batch_seq) from pages
+    where raw_max < timestamp '2024-01-05' or batch_seq = (select max(batch_seq) from pages)))
+"""
+STAMPED = """case when id % 4 <> 0 then null
+    when expired_ts is not null or author_id <> 5 or ts < timestamp '2024-01-05' then expired_ts
+    else coalesce((select min_by(stamp, batch_seq) from passing p where p.raw_max < loaded.ts),
+      timestamp '2024-02-01 10:00:00') end"""
 
 
 @register(
     "stream_load_posts_backfill",
+    WITH + STREAM.format(table="posts") + STAMPS + "select " + FLAT.format(ts="postedAt", e=STAMPED),
+)
+def _(spark, d):
+    return _flat(_posts(spark, d, author=5, force_backfill=True), "author", "postedAt")
+
+
+@register(
+    "expiry_stamp",
     WITH
     + STREAM.format(table="posts")
-    + """select id, author_id, ts as "postedAt", case when id % 4 <> 0 then null
-    when expired_ts is null and author_id = 5 and ts >= timestamp '2024-01-05' then timestamp '2024-02-01 10:00:00'
-    else expired_ts end as expired_ts
-from (select * from target union all select * from inserted)""",
+    + STAMPS
+    + f"""select expired_ts, count(*) as n_rows from (select {FLAT.format(ts="postedAt", e=STAMPED)})
+where expired_ts >= timestamp '2024-02-01 10:00:00' group by 1""",
 )
 def _(spark, d):
-    rows = fx.posts(spark, d)
-    paged = _post_feed(fx.feed_pages(rows))
-    run = _streamed(spark, pg.POSTS, rows, paged, "postedAt", author=5, force_backfill=True)
-    return pg.finish_run(run).select("id", F.col("author.id").alias("author_id"), "postedAt", "expired_ts")
+    out = _flat(_posts(spark, d, author=5, force_backfill=True), "author", "postedAt")
+    new = out.filter(F.col("expired_ts") >= F.lit("2024-02-01 10:00:00").cast("timestamp_ntz"))
+    return new.groupBy("expired_ts").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register(
+    "stream_load_historical",
+    WITH
+    + STREAM.format(table="posts").replace("2024-01-05", "2024-01-01")
+    + "select "
+    + FLAT.format(ts="postedAt", e="case when id % 4 = 0 then expired_ts end"),
+)
+def _(spark, d):
+    """A forced run over past years loads what it finds and never expires a row."""
+    past = pg.historical_window(2024, 2024)
+    out = _posts(
+        spark, d, window=past.load_from, author=5, force_backfill=True, historical=True,
+        cutoff_reason=past.cutoff_reason, jump_seq=0,
+    )
+    return _flat(out, "author", "postedAt")
 
 
 @register(
     "stream_load_purchases",
     WITH
-    + STREAM.format(table="purchases")
+    + STREAM.format(table="purchases").replace("id % 4 <> 0", "true")
     + """select id, author_id, response_type as "responseType", source as "unlockSource", ts as "unlockAt"
-from (select * from target union all select * from inserted)""",
+from loaded""",
 )
 def _(spark, d):
-    paged = fx.feed_pages(fx.raw_purchases(spark, d))
-    rows = fx.purchases(spark, d)
-    out = pg.finish_run(_streamed(spark, pg.PURCHASES, rows, paged, "unlockAt"))
-    return out.select(
+    paged = fx.overlapping_pages(fx.raw_purchases(spark, d))
+    out = _streamed(spark, pg.PURCHASES, fx.purchases(spark, d), paged, "unlockAt")
+    return out.target.select(
         "id", F.col("author.id").alias("author_id"), "responseType", "unlockSource", "unlockAt"
     )
 

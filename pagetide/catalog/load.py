@@ -68,7 +68,7 @@ def _(spark, d):
 
 
 PAGED = (
-    ", paged as (select *, " + fx.PAGE_SQL + " as batch_seq from {table} where id % 4 <> 0)\n"
+    ", paged as (select *, " + fx.PAGE_SQL + " as batch_seq from {table})\n"
 )
 
 
@@ -108,7 +108,7 @@ def _load_sql(table: str, owner: str, keys: str, dedup: bool = True, what: str =
     new_key = f"or not exists (select 1 from target t where {keys})" if dedup else ""
     union = "union all select * from target" if what == "all" else ""
     return f"""{WITH}, target as (
-  select * from {table} where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' and id % 5 <> 0),
+  select * from {table} where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' and id % 7 <> 0),
 bounds as ({bounds}),
 inserted as (
   select m.* from {table} m left join bounds b on b.o = {owner.replace('author_id', 'm.author_id')}
@@ -159,7 +159,7 @@ def _(spark, d):
 
 ANTI_SQL = WITH + """select id, author_id, txt as text, ts from messages m where not exists (
   select 1 from messages t where t.ts >= timestamp '2024-01-10' and t.ts < timestamp '2024-01-20'
-    and t.id % 5 <> 0 and t.id = m.id)"""
+    and t.id % 7 <> 0 and t.id = m.id)"""
 
 
 @register("anti_existing", ANTI_SQL)
@@ -180,7 +180,7 @@ def _(spark, d):
     + """select count(*) as n_pending from messages m
 where m.ts > (select coalesce(max(t.ts), timestamp '1900-01-01') from messages t
   where t.author_id = m.author_id and t.ts >= timestamp '2024-01-10' and t.ts < timestamp '2024-01-20'
-    and t.id % 5 <> 0)""",
+    and t.id % 7 <> 0)""",
 )
 def _(spark, d):
     target, batch = _pair(fx.messages(spark, d), "createdAt")
@@ -219,14 +219,14 @@ def _(spark, d):
 @register("in_seen", WITH + "select id, ts from messages where id in (select id from messages where id % 4 <> 0)")
 def _(spark, d):
     rows = fx.messages(spark, d)
-    seen = ld.seen_state(fx.feed_pages(rows))
+    seen = ld.seen_state(fx.feed_pages(fx.shown(rows)))
     return ld.in_seen(rows, seen).select("id", F.col("createdAt").alias("ts"))
 
 
 @register("not_in_seen", WITH + "select id, ts from messages where id % 4 = 0")
 def _(spark, d):
     rows = fx.messages(spark, d)
-    seen = ld.seen_state(fx.feed_pages(rows))
+    seen = ld.seen_state(fx.feed_pages(fx.shown(rows)))
     return ld.not_in_seen(rows, seen).select("id", F.col("createdAt").alias("ts"))
 
 

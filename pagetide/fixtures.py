@@ -1,34 +1,13 @@
 """Messages, posts and purchases derived from the ``events`` table.
 
-They are written to the shared folder once per application, as staging tables are in use,
-and read from there. The same mapping is stated in SQL in ``FEEDS_SQL``, for checks on
-another engine.
+Nothing is kept between queries: each derives what it reads. The same mapping is stated in
+SQL in ``FEEDS_SQL``, for checks on another engine.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagetide.sources.tables import stored
-
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def staged(derive: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Write the derived feed on first use, read it afterwards."""
-
-    @wraps(derive)
-    def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = spark.sparkContext.applicationId, sf_dir, derive.__name__
-        if key not in _STAGED:
-            _STAGED[key] = stored(derive(spark, sf_dir))
-        return _STAGED[key]
-
-    return feed
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -71,7 +50,6 @@ def _events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     )
 
 
-@staged
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "click").selectExpr(
         "event_id AS id",
@@ -85,7 +63,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@staged
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "view").selectExpr(
         "event_id AS id",
@@ -117,7 +94,6 @@ def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@staged
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "purchase", "signup").selectExpr(
         "IF(event_type = 'purchase', 'post', 'message') AS responseType",
@@ -135,11 +111,11 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_target(rows: DataFrame, ts: str) -> DataFrame:
-    """A table loaded earlier: ten days of the feed with every fifth row missing."""
+    """A table loaded earlier: ten days of the feed with every seventh row missing."""
     return rows.filter(
         (F.col(ts) >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
         & (F.col(ts) < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
-        & (F.col("id") % 5 != 0)
+        & (F.col("id") % 7 != 0)
     )
 
 
@@ -150,12 +126,34 @@ PAGE_SQL = f"cast(({PAGE_BASE} - id) // {PAGE_ROWS} as bigint)"
 
 
 def feed_pages(rows: DataFrame) -> DataFrame:
-    """Feed rows with the number of their page; a quarter of the rows is gone."""
-    return rows.filter(F.col("id") % 4 != 0).withColumn(
-        "batch_seq", F.expr(f"({PAGE_BASE}L - id) div {PAGE_ROWS}")
+    """Feed rows with the number of their page."""
+    return rows.withColumn("batch_seq", F.expr(f"({PAGE_BASE}L - id) div {PAGE_ROWS}"))
+
+
+def shown(rows: DataFrame) -> DataFrame:
+    """What the feed still shows: a quarter of the rows is gone."""
+    return rows.filter(F.col("id") % 4 != 0)
+
+
+#: Places at the end of a page whose rows the next page repeats.
+REPEATED = 30
+
+
+def overlapping_pages(rows: DataFrame) -> DataFrame:
+    """Feed pages of which each begins with the last rows of the page before it."""
+    last = F.expr(f"({PAGE_BASE}L - id) % {PAGE_ROWS}") >= PAGE_ROWS - REPEATED
+    seq = F.col("batch_seq")
+    return feed_pages(rows).withColumn(
+        "batch_seq", F.explode(F.when(last, F.array(seq, seq + 1)).otherwise(F.array(seq)))
     )
 
 
+OVERLAP_SQL = (
+    f"unnest(case when ({PAGE_BASE} - id) % {PAGE_ROWS} >= {PAGE_ROWS - REPEATED} "
+    f"then [{PAGE_SQL}, {PAGE_SQL} + 1] else [{PAGE_SQL}] end)"
+)
+
+
 FEEDS_SQL = """
 ev as (
   select event_id, ts, event_type, value,

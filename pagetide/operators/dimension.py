@@ -2,29 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagetide.functions.scalars import as_ts, owner_key, run_stamp, ts_lit, wall_clock
 from pagetide.operators.load import append, restrict_to_batch_keys
-from pagetide.plans.skew import HOT_ROWS, hot_keys, number_versions, salted_join, skew_join
+from pagetide.plans.skew import HOT_ROWS, number_versions, skew_join, time_slot
 
 KEY = ["author_id", "media_id"]
 PAYLOAD = ["media_duration", "media_blob"]
 RETAIN_RUNS = 5
 
 
-def message_item_rows(messages: DataFrame) -> DataFrame:
+def message_item_rows(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """author_id, media_id, media_duration, media_blob, valid_from_ts; expired rows count."""
     return (
         messages.select(
+            *keep,
             owner_key(messages, "fromUser").alias("author_id"),
             as_ts(messages, "createdAt").alias("valid_from_ts"),
             F.explode("media").alias("_item"),
         )
         .filter(F.col("author_id").isNotNull() & F.col("valid_from_ts").isNotNull())
         .select(
+            *keep,
             "author_id",
             F.col("_item.id").cast("bigint").alias("media_id"),
             F.col("_item.duration").cast("bigint").alias("media_duration"),
@@ -34,6 +37,25 @@ def message_item_rows(messages: DataFrame) -> DataFrame:
     )
 
 
+def _as_new(items: DataFrame, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
+    """Distinct items as open first versions of a run."""
+    return items.distinct().select(
+        *KEY,
+        *PAYLOAD,
+        F.lit(1).alias("seen_count"),
+        "valid_from_ts",
+        F.lit(None).cast("timestamp_ntz").alias("valid_to_ts"),
+        F.lit(True).alias("is_current"),
+        wall_clock(run_stamp(ts_lit(run_ts))).alias("extract_ts"),
+        *keep,
+    )
+
+
+def item_versions(messages: DataFrame, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
+    """The items of message rows as new versions, with the columns ``keep`` of their rows."""
+    return _as_new(message_item_rows(messages, keep), run_ts, keep)
+
+
 def dim_increment(
     messages: DataFrame, dim: DataFrame, run_ts: datetime, include_gaps: bool = False
 ) -> DataFrame:
@@ -42,33 +64,20 @@ def dim_increment(
     Rows dated more than a day after the run are left out. Late rows that fall inside the
     range are left out too, unless ``include_gaps`` asks for every version not yet known.
     """
-    run = ts_lit(run_ts)
-    rows = messages.filter(as_ts(messages, "createdAt") <= run + F.expr("INTERVAL '1' DAY"))
+    rows = messages.filter(as_ts(messages, "createdAt") <= ts_lit(run_ts) + F.expr("INTERVAL '1' DAY"))
     if include_gaps:
         items = message_item_rows(rows).distinct()
         known = dim.select(*KEY, "valid_from_ts").distinct()
-        fresh = items.join(known, [*KEY, "valid_from_ts"], "left_anti")
-    else:
-        bounds = dim.groupBy("author_id").agg(
-            F.min("valid_from_ts").alias("_low"), F.max("valid_from_ts").alias("_high")
-        )
-        keyed = rows.withColumn("author_id", owner_key(messages, "fromUser")).withColumn(
-            "_ts", as_ts(messages, "createdAt")
-        )
-        ranged = skew_join(keyed, bounds, ["author_id"], "left", spread=["id"])
-        outside = (
-            F.col("_low").isNull() | (F.col("_ts") < F.col("_low")) | (F.col("_ts") > F.col("_high"))
-        )
-        fresh = message_item_rows(ranged.filter(outside).select(*messages.columns)).distinct()
-    return fresh.select(
-        *KEY,
-        *PAYLOAD,
-        F.lit(1).alias("seen_count"),
-        "valid_from_ts",
-        F.lit(None).cast("timestamp_ntz").alias("valid_to_ts"),
-        F.lit(True).alias("is_current"),
-        wall_clock(run_stamp(run)).alias("extract_ts"),
+        return _as_new(items.join(known, [*KEY, "valid_from_ts"], "left_anti"), run_ts)
+    bounds = dim.groupBy("author_id").agg(
+        F.min("valid_from_ts").alias("_low"), F.max("valid_from_ts").alias("_high")
+    )
+    keyed = rows.withColumn("author_id", owner_key(messages, "fromUser")).withColumn(
+        "_ts", as_ts(messages, "createdAt")
     )
+    ranged = skew_join(keyed, bounds, ["author_id"], "left", spread=["id"])
+    outside = F.col("_low").isNull() | (F.col("_ts") < F.col("_low")) | (F.col("_ts") > F.col("_high"))
+    return item_versions(ranged.filter(outside).select(*messages.columns), run_ts)
 
 
 def src_distinct(increment: DataFrame) -> DataFrame:
@@ -85,14 +94,15 @@ DIM_COLUMNS = [
 BASE = [*KEY, *PAYLOAD, "valid_from_ts", "extract_ts"]
 
 
-def versioned(rows: DataFrame, **options) -> DataFrame:
+def versioned(rows: DataFrame, rows_per_task: int = HOT_ROWS, by: Sequence[str] = ()) -> DataFrame:
     """Number the versions of each key by time and close each at the start of the next.
 
-    Equal times are ordered by run, then by payload, NULLs first.
+    Equal times are ordered by run, then by payload, NULLs first. ``by`` adds columns to the
+    key that are not returned.
     """
     numbered = number_versions(
-        rows, KEY, "valid_from_ts", ["extract_ts", "media_blob", "media_duration"],
-        number="seen_count", following="valid_to_ts", **options,
+        rows, [*KEY, *by], "valid_from_ts", ["extract_ts", "media_blob", "media_duration"],
+        number="seen_count", following="valid_to_ts", rows=rows_per_task,
     )
     return numbered.select(
         *KEY,
@@ -105,32 +115,39 @@ def versioned(rows: DataFrame, **options) -> DataFrame:
     )
 
 
-def _flagged(dim: DataFrame, increment: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Dimension rows with ``_touched`` for the increment's keys, and the hot keys of both."""
-    hot = hot_keys(dim.select(*KEY).unionByName(increment.select(*KEY)), KEY, rows)
+def _touched(dim: DataFrame, increment: DataFrame, rows: int) -> DataFrame:
+    """Dimension rows with ``_touched`` set for the increment's keys."""
     keys = increment.select(*KEY).distinct().withColumn("_touched", F.lit(True))
-    return salted_join(dim, keys, hot, KEY, "left", spread=["valid_from_ts", "extract_ts"]), hot
+    return skew_join(dim, keys, KEY, "left", spread=["valid_from_ts", "extract_ts"], rows=rows)
 
 
 def rebuilt_versions(dim: DataFrame, increment: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
-    """All versions, old and new, of the keys in the increment.
-
-    Give stored tables: the inputs are read several times.
-    """
-    flagged, hot = _flagged(dim.select(*BASE), increment, rows)
-    both = union_distinct(flagged.filter("_touched").select(*BASE), increment.select(*BASE))
-    return versioned(both, hot=hot)
+    """All versions, old and new, of the keys in the increment."""
+    old = restrict_to_batch_keys(dim.select(*BASE), increment, KEY)
+    return versioned(union_distinct(old, increment.select(*BASE)), rows)
 
 
 def scd2_rebuild(dim: DataFrame, increment: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
     """Dimension with the increment's keys rebuilt and all other keys as they were.
 
-    Give stored tables: the inputs are read several times.
+    Give stored tables: the inputs are read twice.
     """
-    flagged, hot = _flagged(dim, increment, rows)
+    flagged = _touched(dim, increment, rows)
     both = union_distinct(flagged.filter("_touched").select(*BASE), increment.select(*BASE))
     rest = flagged.filter(F.col("_touched").isNull()).select(*dim.columns)
-    return append(rest, versioned(both, hot=hot))
+    return append(rest, versioned(both, rows))
+
+
+def versions_by_page(dim: DataFrame, increment: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """What a page-by-page run adds to the history: after each page, all versions of its keys.
+
+    ``increment`` has the page that brought each version in ``batch_seq``.
+    """
+    pages = increment.select(*KEY, F.col("batch_seq").alias("_page")).distinct()
+    old = restrict_to_batch_keys(dim.select(*BASE), increment, KEY)
+    known = old.withColumn("batch_seq", F.lit(-1).cast("bigint")).unionByName(increment.select(*BASE, "batch_seq"))
+    by_then = known.join(pages, KEY).filter(F.col("batch_seq") <= F.col("_page"))
+    return versioned(by_then.select(*BASE, "_page").distinct(), rows, by=["_page"])
 
 
 def history_append(history: DataFrame, dim: DataFrame, increment: DataFrame) -> DataFrame:
@@ -218,26 +235,39 @@ def item_message_link(messages: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def overlap_join(links: DataFrame, as_of: datetime, **options) -> DataFrame:
-    """Pairs of messages that held an item at the same time; open intervals end at ``as_of``.
+def overlap_join(links: DataFrame, as_of: datetime) -> DataFrame:
+    """Per link, the earlier links of its item that are still open when it starts.
+
+    Earlier is by start, then message; open links end at ``as_of``, and a link covers its
+    start, not its end. Gives ``n_open``, their number, and ``overlaps``. One row per link
+    comes out, however many an item has: the pairs, their square, are not listed.
 
-    The pairs are the result asked for, so a hot item yields many; its left rows are cut
-    into parts, each of which meets all its right rows in a task of its own.
+    Starts and ends of an item's links stand on one line, a start counting one up and an end
+    one down; the sum before a start is what is open there. The line is cut into time slots,
+    each summed by itself, so no task holds an item.
     """
-    spans = links.select(
+    spans = links.filter("valid_from_ts is not null").select(
         *KEY, "chat_id", "valid_from_ts", F.coalesce("valid_to_ts", ts_lit(as_of)).alias("_end")
     )
-    other = spans.select(
-        *KEY, F.col("chat_id").alias("_c2"), F.col("valid_from_ts").alias("_f2"), F.col("_end").alias("_e2")
+    covers = F.col("_end") > F.col("valid_from_ts")
+
+    def event(at: str, kind: int, step: Column) -> Column:
+        return F.struct(F.col(at).alias("at"), F.lit(kind).alias("kind"), step.alias("step"))
+
+    start = event("valid_from_ts", 1, F.when(covers, 1).otherwise(0))
+    end = F.when(covers, event("_end", 0, F.lit(-1)))
+    line = spans.select(*KEY, "chat_id", F.explode(F.array(start, end)).alias("_e")).filter("_e is not null")
+    line = line.select(*KEY, "chat_id", "_e.*").withColumn("_slot", time_slot("at"))
+    before = Window.partitionBy(*KEY).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = line.groupBy(*KEY, "_slot").agg(F.sum("step").alias("_sum"))
+    slots = slots.select(*KEY, "_slot", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    within = (
+        Window.partitionBy(*KEY, "_slot").orderBy("at", "kind", "chat_id").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        skew_join(spans, other, KEY, "inner", spread=["chat_id"], **options)
-        .filter(
-            (F.col("chat_id") < F.col("_c2"))
-            & (F.col("valid_from_ts") < F.col("_e2"))
-            & (F.col("_f2") < F.col("_end"))
-        )
-        .select(*KEY, F.col("chat_id").alias("chat_a"), F.col("_c2").alias("chat_b"))
+    opened = line.withColumn("_sum", F.coalesce(F.sum("step").over(within), F.lit(0))).filter("kind = 1")
+    n_open = F.col("_sum") + F.col("_before")
+    return opened.join(slots, [*KEY, "_slot"]).select(
+        *KEY, "chat_id", n_open.alias("n_open"), (n_open > 0).alias("overlaps")
     )
 
 

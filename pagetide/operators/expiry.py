@@ -11,8 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetide.functions.scalars import as_ts, digits_id, micros, owner_key, ts_lit
-from pagetide.plans.skew import running_max, skew_join
-
+from pagetide.plans.skew import running_max
+from pagetide.sources.tables import stored
 
 
 def _null_ts() -> Column:
@@ -41,8 +41,9 @@ def _flagged(target: DataFrame, seen: DataFrame, owner_col: str | None = None) -
         )
         keys = ["_id", "_owner"]
         rows = target.withColumn("_owner", owner_key(target, owner_col))
+    # Ids identify the target's rows and are distinct among the seen, so no key can be hot.
     rows = rows.withColumn("_id", F.col("id").cast("bigint"))
-    return skew_join(rows, ids, keys, "left").withColumn("_seen", F.col("_seen").isNotNull())
+    return rows.join(ids, keys, "left").withColumn("_seen", F.col("_seen").isNotNull())
 
 
 def _split(marked: DataFrame, target: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
@@ -177,50 +178,55 @@ def progressive_expire(
     owner_col: str,
     ts: str,
     window_start: datetime,
+    sweep: tuple[int, datetime] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """State of the target after a whole run of pages, in one pass.
 
     Equals reviving and expiring page by page: a row seen on any page ends active; a row
     never seen that was active, in the window and newer than some frontier is stamped by the
     first page that passed it, which is the one with the highest frontier below its time;
-    all other rows stay as they were. That frontier is a running maximum over the author's
-    frontiers and unseen rows by time.
+    all other rows stay as they were. ``sweep`` (author, time) is the final sweep: what the
+    author still has active, in the window and unseen is stamped with that time.
+
+    The target is read twice: once, in its narrow columns, for the open unseen rows of the
+    pages' authors, whose stamps come from a running maximum over frontiers and those rows
+    by time; once for the result.
     """
     when = as_ts(target, ts)
-    owned = target.withColumn("_owner", owner_key(target, owner_col))
-    unseen = (
-        ~F.col("_seen")
-        & F.col("expired_ts").isNull()
-        & F.col("id").isNotNull()
-        & F.col("_owner").isNotNull()
-        & (when >= ts_lit(window_start))
-    )
-    flagged = _flagged(owned, seen).withColumn("_open", F.coalesce(unseen, F.lit(False)))
+    owner = owner_key(target, owner_col)
+    is_open = F.col("expired_ts").isNull() & F.col("id").isNotNull() & owner.isNotNull() & (when >= ts_lit(window_start))
+    ids = seen_ids(seen).select(F.col("id").alias("_id"))
     stops = frontiers(pages).select(
         F.col("author_id").cast("bigint").alias("_owner"),
         micros("frontier").alias("_pos"),
         F.struct("frontier", "stamp").alias("_stop"),
     )
-    both = (
-        flagged.filter("_open")
-        .withColumn("_pos", micros(when))
-        .unionByName(stops, allowMissingColumns=True)
-    )
-    passed = running_max(
-        both, ["_owner"], "_pos", F.col("_stop"), "_last", inclusive=False, bits=28
-    ).filter(F.col("_open").isNotNull())
-    stamp = F.col("_last.stamp")
-    kept = [*target.columns, "_seen", "_open"]
-    rows = passed.select(*kept, stamp.alias("_stamp")).unionByName(
-        flagged.filter("NOT _open").select(*kept, _null_ts().alias("_stamp"))
+    unseen = (
+        target.filter(is_open)
+        .select(F.col("id").cast("bigint").alias("_id"), owner.alias("_owner"), micros(when).alias("_pos"))
+        .join(ids, "_id", "left_anti")
+        .distinct()
     )
-    gone = F.col("_stamp").isNotNull()
-    back = F.col("_seen") & F.col("expired_ts").isNotNull()
-    marked = rows.select(
+    both = stored(
+        unseen.join(stops.select("_owner").distinct(), "_owner", "left_semi").unionByName(stops, allowMissingColumns=True)
+    )
+    passed = running_max(both, ["_owner"], "_pos", F.col("_stop"), "_last", inclusive=False, bits=28)
+    stamps = passed.filter("_id is not null and _last is not null").select(
+        "_id", "_owner", "_pos", F.col("_last.stamp").alias("_stamp")
+    )
+    rows = target.withColumns({"_id": F.col("id").cast("bigint"), "_owner": owner, "_pos": micros(when)})
+    flagged = rows.join(ids.withColumn("_seen", F.lit(True)), "_id", "left").join(stamps, ["_id", "_owner", "_pos"], "left")
+    stamp = F.when(is_open, F.col("_stamp"))
+    if sweep is not None:
+        author, at = sweep
+        left_over = is_open & F.col("_seen").isNull() & (owner == int(author))
+        stamp = F.coalesce(stamp, F.when(left_over, ts_lit(at)))
+    back = F.col("_seen").isNotNull() & F.col("expired_ts").isNotNull()
+    marked = flagged.withColumn("_at", stamp).select(
         "*",
-        F.when(gone, F.lit("expired")).when(back, F.lit("revived")).alias("_action"),
-        F.when(gone, F.col("_stamp"))
-        .when(F.col("_seen"), _null_ts())
+        F.when(F.col("_at").isNotNull(), F.lit("expired")).when(back, F.lit("revived")).alias("_action"),
+        F.when(F.col("_at").isNotNull(), F.col("_at"))
+        .when(F.col("_seen").isNotNull(), _null_ts())
         .otherwise(F.col("expired_ts"))
         .alias("_new"),
     )

@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pagetide.sources.tables import stored
+
 HOT_ROWS = 5_000_000
-NULL_SPREAD = 64
 SLOT_MINUTES = 5
 
 
@@ -44,12 +45,13 @@ def salted_join(
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    # Rows with a null key match nothing, so they may go anywhere.
-    left_parts = F.when(no_key, F.lit(NULL_SPREAD)).otherwise(parts)
-    placed = F.pmod(F.xxhash64(*(spread or left.columns)), left_parts.cast("bigint")).cast("int")
-    salted = left.join(F.broadcast(hot), keys, "left").select(
-        *left.columns, F.when(left_parts > 1, placed).otherwise(F.lit(0)).alias("_salt")
+    # Rows with a null key match nothing, so they may go anywhere: to as many parts as the
+    # hash has values.
+    place = F.xxhash64(*(spread or left.columns))
+    salt = F.when(no_key, (place % F.lit(2**31 - 1)).cast("int")).otherwise(
+        F.when(parts > 1, F.pmod(place, parts.cast("bigint")).cast("int")).otherwise(F.lit(0))
     )
+    salted = left.join(F.broadcast(hot), keys, "left").select(*left.columns, salt.alias("_salt"))
     known = right if "_parts" in right.columns else right.join(F.broadcast(hot), keys, "left")
     repeated = known.select(
         *[c for c in right.columns if c != "_parts"],
@@ -104,25 +106,34 @@ def number_versions(
     number: str = "version",
     following: str | None = None,
     rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``row_number()`` and ``lead(ts)`` per key in the order of ``ts`` and ``ties``.
+    """``row_number()`` and ``lead(ts)`` per key in the order of ``ts`` and ``ties``, null times first.
 
-    A key with few rows is one window group. A hot key is cut into time slots; each slot is
-    numbered by itself and takes the row count of the slots before it and the first time of
-    the slot after it from a table with one row per slot.
+    The input is stored once and its keys are counted there. Without a hot key, which is
+    known then, the result is one window. Otherwise a hot key is cut into time slots; each
+    slot is numbered by itself and takes the row count of the slots before it and the first
+    time of the slot after it from a table with one row per slot. Rows of one time share a
+    slot: a key with more than ``rows`` of those is beyond this cut.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, rows) if hot is None else hot
-    slotted = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_slot",
-        # Rows without a time come first, in a slot of their own.
-        F.when(F.col("_parts").isNotNull(), F.coalesce(time_slot(ts), F.lit(-1))).otherwise(F.lit(0)),
-    )
+    df = stored(df)
+    hot = stored(hot_keys(df, keys, rows))
+
+    def plain(part: DataFrame) -> DataFrame:
+        by_key = Window.partitionBy(*keys).orderBy(ts, *ties)
+        out = part.withColumn(number, F.row_number().over(by_key).cast("bigint"))
+        return out.withColumn(following, F.lead(ts).over(by_key)) if following else out
+
+    if hot.isEmpty():
+        return plain(df)
+    marked = df.join(F.broadcast(hot), keys, "left")
+    cold = plain(marked.filter("_parts is null").drop("_parts"))
+    # Rows without a time come first, in a slot of their own.
+    slot = F.struct(F.col(ts).isNotNull().alias("known"), time_slot(ts).alias("slot"))
+    slotted = marked.filter("_parts is not null").drop("_parts").withColumn("_slot", slot)
     by_slot = Window.partitionBy(*keys).orderBy("_slot")
     carry = (
-        slotted.filter(F.col("_parts").isNotNull())
-        .groupBy(*keys, "_slot")
+        slotted.groupBy(*keys, "_slot")
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_first"))
         .select(
             *keys,
@@ -133,15 +144,17 @@ def number_versions(
     )
     within = Window.partitionBy(*keys, "_slot").orderBy(ts, *ties)
     numbered = (
-        slotted.drop("_parts")
-        .withColumn(number, F.row_number().over(within).cast("bigint"))
+        slotted.withColumn(number, F.row_number().over(within).cast("bigint"))
         .withColumn("_next", F.lead(ts).over(within))
-        .join(carry, [*keys, "_slot"], "left")
+        .alias("l")
+    )
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_slot"]]
+    joined = numbered.join(carry.alias("c"), same).select(
+        *[F.col(f"l.{c}").alias(c) for c in df.columns],
+        (F.col(f"l.{number}") + F.coalesce("_before", F.lit(0))).alias(number),
+        *([F.coalesce("_next", "_after").alias(following)] if following else []),
     )
-    out = numbered.withColumn(number, F.col(number) + F.coalesce(F.col("_before"), F.lit(0)))
-    if following:
-        out = out.withColumn(following, F.coalesce("_next", "_after"))
-    return out.drop("_slot", "_next", "_before", "_after", "_rows", "_first")
+    return cold.unionByName(joined)
 
 
 def running_max(

@@ -1,10 +1,19 @@
 """Loading a feed page by page with Structured Streaming.
 
-Each micro-batch appends what it found to small logs under the run's folder, one directory
-per batch, written with overwrite: a batch that is replayed writes the same directories
-again. The batch reads only directories of earlier batches. When the run ends,
-``finish_run`` folds the logs into the next version of the tables in one pass, in the order
-of ``batch_seq`` whatever the order of arrival.
+Pages are numbered in the order of the feed, newest rows first, and are judged in that order:
+a page sees what the pages before it loaded, never what comes after it. Micro-batches may
+group and deliver them in any way. Each appends the rows and the facts of its pages to two
+logs in the run's folder, one directory per batch, written with overwrite, so that a batch
+that is replayed writes the same again; it reads nothing but its own pages. ``finish_run``
+works out the whole run from the logs at once, in the order of ``batch_seq``:
+
+* A row is loaded if its key is new, i.e. neither in the table before the run nor on an
+  earlier page, or if its time lies outside its owner's range. That range is the table's,
+  widened by all rows of earlier pages: those that were not loaded lie inside it anyway.
+* Pages after the first that ends the run count for nothing: not for rows, seen ids,
+  dimension or history.
+* The dimension is refreshed by each page that loaded rows, with the items of those rows (and,
+  the first time, of the table's rows) that lie outside their author's range, widened likewise.
 """
 
 from __future__ import annotations
@@ -15,12 +24,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pagetide import schemas as S
-from pagetide.functions.scalars import as_ts, digits_id, parse_ts, ts_lit
+from pagetide.functions.scalars import as_ts, digits_id, micros, owner_key, parse_ts, ts_lit
 from pagetide.operators import dimension as dm, expiry as ex, load as ld, shape as sh
-from pagetide.plans.skew import skew_join
+from pagetide.plans.skew import running_max
 from pagetide.sources import feeds
+from pagetide.sources.tables import stored
 
-PAGE_CAP = 500
 NATURAL_STOPS = ("hasMore", "cutoff")
 
 
@@ -115,12 +124,7 @@ def page_summary(
     added = inserted.groupBy("batch_seq").agg(F.count(F.lit(1)).alias("inserted"))
     zero = F.lit(0).cast("bigint")
     return (
-        pages.select(
-            "batch_seq",
-            parse_ts("processed_at").alias("processed_at"),
-            F.col("hasMore").alias("has_more"),
-        )
-        .join(per_page, "batch_seq", "left")
+        pages.join(per_page, "batch_seq", "left")
         .join(added, "batch_seq", "left")
         .select(
             "batch_seq",
@@ -172,7 +176,10 @@ PURCHASES = Feed(
 
 @dataclass
 class Run:
-    """One run over a feed's pages; ``root`` is a folder of its own on shared storage."""
+    """One run over a feed's pages; ``root`` is a folder of its own on shared storage.
+
+    The tables before the run are only referred to: give stored versions.
+    """
 
     spark: SparkSession
     feed: Feed
@@ -185,78 +192,62 @@ class Run:
     cutoff_reason: str = "cutoff"
     historical: bool = False
     jump_seq: int | None = None
+    retain_runs: int = dm.RETAIN_RUNS
 
-    def _log(self, name: str, before: int | None = None) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        return df if before is None else df.filter(F.col("batch_id") < before)
+    def start(
+        self, target: DataFrame, dim: DataFrame | None = None, history: DataFrame | None = None
+    ) -> None:
+        """Name the tables as they are before the run; the dimension defaults to an empty one."""
+        empty = self.spark.createDataFrame
+        self.target = target
+        self.dim = dim if dim is not None else empty([], S.dim_schema())
+        self.history = history if history is not None else empty([], S.dim_schema())
+        rows = T.StructType([*self.feed.table.fields, T.StructField("batch_seq", S.LONG)])
+        self._write(empty([], rows), "rows", -1)
+        self._write(empty([], FACTS), "facts", -1)
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
 
-    def start(self, target: DataFrame, dim: DataFrame | None = None) -> None:
-        """Put the tables as they are before the run under batch -1, and empty logs."""
-        empty = self.spark.createDataFrame
-        self._write(target.withColumn("batch_seq", F.lit(None).cast("bigint")), "rows", -1)
-        self._write(empty([], S.SEEN), "seen", -1)
-        self._write(empty([], S.PAGES), "pages", -1)
-        if self.feed.has_dim:
-            self._write(dim if dim is not None else empty([], S.dim_schema()), "dim", -1)
-
-    def target(self, before: int | None = None) -> DataFrame:
-        return self._log("rows", before).drop("batch_id")
-
-    def dim(self) -> DataFrame:
-        """Current dimension: of each key, the rows its latest batch wrote."""
-        return _latest(self._log("dim"))
-
-    def pages(self) -> DataFrame:
-        return self._log("pages").drop("batch_id")
-
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Load the pages of one micro-batch."""
-        feed = self.feed
-        stop = first_stop(self._log("pages", batch_id)).first()["stop_seq"]
-        pages = batch if stop is None else batch.filter(F.col("batch_seq") < stop)
-        rows = feed.shape(page_rows(pages))
-        target = self.target(batch_id)
-        fresh = ld.new_rows(
-            target, sh.in_window(rows, feed.ts, self.min_window), feed.ts,
-            {k: k for k in feed.keys}, feed.owner,
+        """Log the pages of one micro-batch."""
+        self._write(self.feed.shape(page_rows(batch)), "rows", batch_id)
+        facts = batch.select(
+            "batch_seq", parse_ts("processed_at").alias("processed_at"), F.col("hasMore").alias("has_more")
         )
-        self._write(fresh, "rows", batch_id)
-        inserted = self._log("rows").filter(F.col("batch_id") == batch_id).drop("batch_id")
-        seen = rows.select("batch_seq", digits_id("id").alias("id")).filter(F.col("id").isNotNull())
-        self._write(seen, "seen", batch_id)
-        if feed.has_dim:
-            self._write_versions(batch_id)
-        summary = batch_stop_reason(
-            page_summary(pages, rows, inserted, feed.ts, self.min_window),
-            self.high_watermark, self.min_window, self.force_backfill, self.cutoff_reason, self.jump_seq,
+        self._write(facts, "facts", batch_id)
+
+    def logged(self) -> tuple[DataFrame, DataFrame]:
+        """Facts and rows of all pages; of a page that was delivered again, the first delivery."""
+        facts = self.spark.read.parquet(f"{self.root}/facts")
+        first = facts.groupBy("batch_seq").agg(
+            F.min("batch_id").alias("batch_id"),
+            F.min_by("processed_at", "batch_id").alias("processed_at"),
+            F.min_by("has_more", "batch_id").alias("has_more"),
         )
-        self._write(summary, "pages", batch_id)
+        rows = self.spark.read.parquet(f"{self.root}/rows")
+        rows = rows.join(first.select("batch_seq", "batch_id"), ["batch_seq", "batch_id"], "left_semi")
+        return first.drop("batch_id"), rows.drop("batch_id")
 
-    def _write_versions(self, batch_id: int) -> None:
-        """Rebuild the versions of the keys with new items.
 
-        The increment reads all rows so far, not just the inserted ones. A rebuild keeps
-        every start, so the log gives the known range as it is; only the rows of the
-        increment's keys are cut to their latest state.
-        """
-        log = self._log("dim", batch_id)
-        rows = self.target(batch_id + 1).drop("batch_seq")
-        self._write(dm.dim_increment(rows, log, self.run_ts), "increment", batch_id)
-        increment = self._log("increment").filter(F.col("batch_id") == batch_id).drop("batch_id")
-        touched = _latest(ld.restrict_to_batch_keys(log, increment, dm.KEY))
-        self._write(dm.rebuilt_versions(touched, increment), "dim", batch_id)
+FACTS = S.struct(batch_seq=S.LONG, processed_at=S.TS, has_more=S.BOOL)
 
 
-def _latest(log: DataFrame) -> DataFrame:
-    newest = log.groupBy(*dm.KEY).agg(F.max("batch_id").alias("batch_id"))
-    return skew_join(log, newest, [*dm.KEY, "batch_id"], "left_semi").drop("batch_id")
+@dataclass
+class Outcome:
+    """The tables after a run, and what the run did. The parts are lazy, on stored logs."""
+
+    target: DataFrame
+    loaded: DataFrame  # rows loaded, with their page
+    pages: DataFrame  # summary and stop reason of each page, those after the stop included
+    stop: DataFrame  # stop_seq, stop_reason, sweep: one row
+    increment: DataFrame | None = None  # new versions, with the page that brought them
+    dim: DataFrame | None = None
+    history: DataFrame | None = None
 
 
 def stream_load(run: Run, pages_path: str, per_trigger: int = 1) -> None:
-    """Load all waiting page files, ``per_trigger`` at a time, and return when none is left."""
+    """Log all waiting page files, ``per_trigger`` at a time, and return when none is left."""
     source = feeds.stream_pages(run.spark, pages_path, run.feed.row, per_trigger)
     query = (
         source.writeStream.foreachBatch(run.on_batch)
@@ -267,68 +258,158 @@ def stream_load(run: Run, pages_path: str, per_trigger: int = 1) -> None:
     query.awaitTermination()
 
 
-def finish_run(run: Run) -> DataFrame:
-    """The table after the run: loaded rows, with expiry applied in page order.
+def _earlier_range(marks: DataFrame, part: list[str]) -> DataFrame:
+    """Smallest and largest time of a part before each page: part, batch_seq, _low, _high.
 
-    Pages after the first stop are left out. A forced run expires what the pages passed by;
-    the final sweep follows only if the run reached its natural end.
+    ``marks`` has the part, ``batch_seq``, ``_min`` and ``_max`` (micros), any number of rows per page;
+    page -1 stands for the tables before the run.
     """
-    feed = run.feed
-    stop = first_stop(run.pages()).first()
-    pages, seen, target = run.pages(), run._log("seen").drop("batch_id"), run.target()
-    if stop["stop_seq"] is not None:
-        pages = pages.filter(F.col("batch_seq") <= stop["stop_seq"])
-        seen = seen.filter(F.col("batch_seq") <= stop["stop_seq"])
-        target = target.filter(F.col("batch_seq").isNull() | (F.col("batch_seq") <= stop["stop_seq"]))
-    target = target.drop("batch_seq")
-    if not feed.expires:
-        return target
-    if not run.force_backfill or run.historical or run.author is None:
-        return ex.revive_seen(target, seen, feed.ts)[0]
-    stamp = ts_lit(run.run_ts) if feed.has_dim else F.col("processed_at")
-    passed = pages.select(
-        F.lit(run.author).alias("author_id"),
-        "batch_seq",
-        F.col("raw_max").alias("page_max"),
-        stamp.alias("processed_at"),
+    pages = marks.groupBy(*part, "batch_seq").agg(F.min("_min").alias("_min"), F.max("_max").alias("_max"))
+    high = running_max(pages, part, "batch_seq", F.col("_max"), "_high", inclusive=False)
+    low = running_max(pages, part, "batch_seq", -F.col("_min"), "_low", inclusive=False)
+    return high.join(low, [*part, "batch_seq"]).select(*part, "batch_seq", (-F.col("_low")).alias("_low"), "_high")
+
+
+def _outside(at: Column) -> Column:
+    """Whether a time lies outside the known range; with nothing known, any time does."""
+    return F.coalesce(
+        (F.col("_high").isNull() & at.isNotNull()) | (at < F.col("_low")) | (at > F.col("_high")), F.lit(False)
     )
-    expired, _ = ex.progressive_expire(
-        target, passed, seen, owner_col=feed.owner, ts=feed.ts, window_start=run.min_window
+
+
+def accepted(target: DataFrame, rows: DataFrame, feed: Feed) -> DataFrame:
+    """Rows of the pages that a page-by-page load inserts, with their page.
+
+    Rows that repeat within one page are all inserted, as a page is loaded at once. A null
+    key is always new; a null owner has no range.
+    """
+    owner = (lambda df: owner_key(df, feed.owner)) if feed.owner else (lambda df: F.lit(0).cast("bigint"))
+    keys = [f"_k{i}" for i in range(len(feed.keys))]
+
+    def keyed(df: DataFrame) -> DataFrame:
+        named = {k: owner_key(df, c) if c == feed.owner else F.col(c) for k, c in zip(keys, feed.keys)}
+        return df.withColumns({**named, "_owner": owner(df), "_at": micros(as_ts(df, feed.ts))})
+
+    come, have = keyed(rows), keyed(target)
+    marks = [F.col("_owner"), F.col("_at").alias("_min"), F.col("_at").alias("_max")]
+    known = have.groupBy("_owner").agg(F.min("_at").alias("_min"), F.max("_at").alias("_max"))
+    ranges = _earlier_range(
+        known.withColumn("batch_seq", F.lit(-1).cast("bigint"))
+        .unionByName(come.select(*marks, "batch_seq"))
+        .filter("_owner is not null"),
+        ["_owner"],
+    )
+    # First page of each key; -1 if the table had it before the run.
+    before = ld.existing_keys(have, come, keys).withColumn("batch_seq", F.lit(-1).cast("bigint"))
+    first = before.unionByName(come.select(*keys, "batch_seq")).groupBy(*keys).agg(F.min("batch_seq").alias("_first"))
+    judged = come.join(ranges, ["_owner", "batch_seq"], "left")
+    judged = judged.join(first, keys, "left")
+    fresh = F.coalesce(F.col("_first") == F.col("batch_seq"), F.lit(True))
+    return judged.filter(_outside(F.col("_at")) | fresh).select(*rows.columns)
+
+
+def _with_items(rows: DataFrame, run: Run) -> DataFrame:
+    """Message rows that the dimension looks at: author, time and items, not from the future."""
+    return rows.filter(
+        (as_ts(rows, run.feed.ts) <= ts_lit(run.run_ts) + F.expr("INTERVAL '1' DAY"))
+        & owner_key(rows, run.feed.owner).isNotNull()
+        & (F.size("media") > 0)
+    )
+
+
+def page_increments(run: Run, loaded: DataFrame) -> DataFrame:
+    """New versions for the dimension, each with the page that brings it.
+
+    The table's own rows are looked at by the first page that loads anything.
+    """
+    refresh = loaded.agg(F.min("batch_seq").alias("_refresh"))
+    old = _with_items(run.target, run).join(F.broadcast(refresh.filter("_refresh is not null")))
+    rows = _with_items(loaded, run).unionByName(old.withColumnRenamed("_refresh", "batch_seq"))
+    keyed = rows.withColumns({"author_id": owner_key(rows, run.feed.owner), "_at": micros(as_ts(rows, run.feed.ts))})
+    known = run.dim.groupBy("author_id").agg(
+        micros(F.min("valid_from_ts")).alias("_min"), micros(F.max("valid_from_ts")).alias("_max")
     )
-    if stop["stop_reason"] not in NATURAL_STOPS:
-        return expired
-    swept, _ = ex.expire_unseen(
-        expired, seen, author=run.author, owner_col=feed.owner, ts=feed.ts,
-        window_start=run.min_window, run_ts=run.run_ts,
+    marks = keyed.select("author_id", F.col("_at").alias("_min"), F.col("_at").alias("_max"), "batch_seq")
+    ranges = _earlier_range(known.withColumn("batch_seq", F.lit(-1).cast("bigint")).unionByName(marks), ["author_id"])
+    new = keyed.join(ranges, ["author_id", "batch_seq"], "left").filter(_outside(F.col("_at")))
+    return dm.item_versions(new.select(*rows.columns), run.run_ts, keep=["batch_seq"])
+
+
+def finish_run(run: Run) -> Outcome:
+    """The tables after the run. A forced run that is not historical also expires rows.
+
+    Rows that any page showed are revived; the author's rows that pages passed by without
+    showing them are stamped; if the gate for the final sweep is open, so are all the author's
+    rows in the window that were not shown. All of it is one pass over the table.
+    """
+    feed, (facts, rows) = run.feed, run.logged()
+    rows = stored(rows)
+    inside = sh.in_window(rows, feed.ts, run.min_window)
+    loaded = stored(accepted(run.target, inside, feed))
+    summary = batch_stop_reason(
+        page_summary(facts, rows, loaded, feed.ts, run.min_window),
+        run.high_watermark, run.min_window, run.force_backfill, run.cutoff_reason, run.jump_seq,
     )
-    return swept
+    summary = stored(summary)
+    gate = sweep_gate(F.col("stop_reason"), run.force_backfill, historical=run.historical)
+    stop = first_stop(summary).withColumn("sweep", gate)
+    end = stop.first()
+    pages = summary
+    if end["stop_seq"] is not None:
+        until = F.col("batch_seq") <= end["stop_seq"]
+        pages, rows, loaded = summary.filter(until), rows.filter(until), loaded.filter(until)
+    out = Outcome(run.target.unionByName(loaded.drop("batch_seq")), loaded, summary, stop)
+    if feed.has_dim:
+        out.increment = stored(page_increments(run, loaded))
+        merged = out.increment.drop("batch_seq").distinct()
+        out.dim = dm.scd2_rebuild(run.dim, merged)
+        added = dm.versions_by_page(run.dim, out.increment)
+        out.history = dm.history_prune(run.history.unionByName(added), run.retain_runs)
+    if feed.expires:
+        seen = rows.select("batch_seq", digits_id("id").alias("id")).filter("id is not null")
+        if not run.force_backfill or run.historical or run.author is None:
+            out.target = ex.revive_seen(out.target, seen, feed.ts)[0]
+        else:
+            stamp = ts_lit(run.run_ts) if feed.has_dim else F.col("processed_at")
+            passed = pages.select(
+                F.lit(run.author).cast("bigint").alias("author_id"), "batch_seq", F.col("raw_max").alias("page_max"),
+                stamp.alias("processed_at"),
+            )
+            out.target, _ = ex.progressive_expire(
+                out.target, passed, seen, owner_col=feed.owner, ts=feed.ts, window_start=run.min_window,
+                sweep=(run.author, run.run_ts) if end["sweep"] else None,
+            )
+    return out
 
 
-def write_pages(rows: DataFrame, path: str, processed_at: datetime) -> None:
-    """Page files from rows with a ``batch_seq``: one line per page, for replays and tests.
+def write_pages(rows: DataFrame, path: str, processed_at: datetime, minutes: bool = False) -> None:
+    """Page files from rows with a ``batch_seq``: one file of one line per page.
 
     A page is one response of the feed, so its rows fit one line; the last page by number
-    has ``hasMore`` false.
+    has ``hasMore`` false. With ``minutes`` page n is stamped n minutes after ``processed_at``.
     """
     cols = [c for c in rows.columns if c != "batch_seq"]
-    last = rows.agg(F.max("batch_seq").alias("_last")).withColumn("_one", F.lit(1))
+    last = rows.agg(F.max("batch_seq").alias("_last"), F.min("batch_seq").alias("_from"))
+    after = F.col("batch_seq") - F.col("_from") if minutes else F.lit(0)
+    at = F.timestamp_add("MINUTE", after.cast("int"), F.lit(processed_at).cast("timestamp_ntz"))
     (
         rows.groupBy("batch_seq")
         .agg(F.collect_list(F.struct(*cols)).alias("list"))
-        .withColumn("_one", F.lit(1))
-        .join(F.broadcast(last), "_one")
+        .join(F.broadcast(last))
         .select(
+            F.col("batch_seq").alias("page"),
             "batch_seq",
-            F.lit(processed_at.isoformat()).alias("processed_at"),
+            F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss").alias("processed_at"),
             (F.col("batch_seq") < F.col("_last")).alias("hasMore"),
             "list",
         )
-        .write.json(path)
+        .write.partitionBy("page")
+        .json(path)
     )
 
 
 __all__ = [
-    "Feed", "HistoricalWindow", "MESSAGES", "POSTS", "PURCHASES", "Run", "batch_stop_reason",
-    "finish_run", "first_stop", "historical_window", "page_rows", "page_summary", "stream_load",
-    "sweep_gate", "write_pages",
+    "Feed", "HistoricalWindow", "MESSAGES", "Outcome", "POSTS", "PURCHASES", "Run", "accepted",
+    "batch_stop_reason", "finish_run", "first_stop", "historical_window", "page_increments", "page_rows",
+    "page_summary", "stream_load", "sweep_gate", "write_pages",
 ]

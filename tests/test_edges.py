@@ -308,37 +308,105 @@ def test_stop_rules(spark):
     assert sh.rolling_cutoff(-1, datetime(2024, 1, 1)) == sh.rolling_cutoff(None, datetime(2024, 1, 1)) == datetime(2022, 1, 1)
 
 
-def test_stream_page_by_page_out_of_order(spark, tmp_path):
-    """One page per trigger, pages arriving out of order, and a replayed batch."""
+GROUPINGS = {
+    "at once": [[0, 1, 2, 3]],
+    "one by one": [[0], [1], [2], [3]],
+    "reversed": [[3], [2], [1], [0]],
+    "shuffled": [[2], [0, 3], [1]],
+    "again": [[0, 1], [1], [2, 3], [0]],
+}
+
+
+@pytest.mark.parametrize("name", GROUPINGS)
+def test_run_does_not_depend_on_grouping(spark, tmp_path, name):
+    """Pages that overlap and one after the end, in any order and grouping: one result."""
+
     def row(i, day):
         return {"id": i, "fromUser": {"id": 1}, "text": f"m{i}", "price": 1.0, "mediaCount": 1,
                 "media": [{"id": 10 + i, "duration": 5, "extra": 1}], "createdAt": f"2024-01-{day:02d}T00:00:00Z"}
 
-    import json
-    import os
-
-    src = tmp_path / "in"
-    src.mkdir()
-    pages = {0: [row(9, 20), row(8, 19)], 1: [row(7, 18)], 2: [row(5, 12), row(4, 11)]}
-    for order, seq in enumerate([0, 2, 1]):
-        page = {"batch_seq": seq, "processed_at": "2024-02-01T00:00:00Z", "hasMore": seq < 2, "list": pages[seq]}
-        path = src / f"p{order}.json"
-        path.write_text(json.dumps(page))
-        os.utime(path, (1_700_000_000 + order, 1_700_000_000 + order))
+    listed = {0: [row(9, 20), row(8, 19)], 1: [row(8, 19), row(7, 18)], 2: [row(6, 17), row(5, 12), row(5, 12)],
+              3: [row(4, 11)]}
+    pages = {
+        s: {"batch_seq": s, "processed_at": "2024-02-01T00:00:00Z", "hasMore": s != 2, "list": rows}
+        for s, rows in listed.items()
+    }
     target = messages(spark, [(7, 1, "m7", [item(17)], "2024-01-18 00:00:00", "2024-01-25 00:00:00"),
-                              (6, 1, "unseen", [item(16)], "2024-01-15 00:00:00", None),
-                              (3, 1, "too old", [item(13)], "2023-01-15 00:00:00", None)])
+                              (3, 1, "unseen", [item(13)], "2024-01-15 00:00:00", None),
+                              (2, 1, "too old", [item(12)], "2023-01-15 00:00:00", None)])
     run = pg.Run(spark, pg.MESSAGES, str(tmp_path / "run"), datetime(2024, 1, 1), datetime(2024, 2, 1, 9),
                  author=1, force_backfill=True)
     run.start(target)
-    pg.stream_load(run, str(src))
-    out = {r.id: r.expired_ts for r in pg.finish_run(run).collect()}
+    schema = S.page_schema(S.MESSAGE_FEED)
+    for k, group in enumerate(GROUPINGS[name]):
+        import json
+
+        lines = spark.createDataFrame([(json.dumps(pages[s]),) for s in group], "value string")
+        batch = lines.select(F.from_json("value", schema).alias("p")).select("p.*")
+        run.on_batch(batch, k)
+        run.on_batch(batch, k)  # a replay
+    out = pg.finish_run(run)
     gone = datetime(2024, 2, 1, 9)
-    assert out == {9: None, 8: None, 7: None, 6: gone, 5: None, 4: None, 3: None}
-    before = sorted(map(str, run.target().collect()))
-    last = spark.read.schema(S.page_schema(S.MESSAGE_FEED)).json(str(src / "p2.json"))
-    run.on_batch(last, 2)
-    assert sorted(map(str, run.target().collect())) == before
+    rows = sorted((r.id, r.expired_ts) for r in out.target.collect())
+    # Id 5 stands twice on one page and is loaded twice; page 3 comes after the end.
+    assert rows == [(2, None), (3, gone), (5, None), (5, None), (6, None), (7, None), (8, None), (9, None)]
+    # The first page takes in the table's items too; 16 lies inside the range by then, 15 too.
+    assert sorted(r.media_id for r in out.dim.collect()) == [12, 13, 17, 18, 19]
+    assert sorted((r.media_id, r.seen_count) for r in out.history.collect()) == [(i, 1) for i in (12, 13, 17, 18, 19)]
+    assert tuple(out.stop.first()) == (2, "hasMore", True)
+    assert [r.inserted for r in out.pages.orderBy("batch_seq").collect()] == [2, 0, 3, 1]
+
+
+def test_run_grows_an_empty_dimension_page_by_page(spark, tmp_path):
+    """Each page that loads rows refreshes the dimension and adds to the history."""
+    def page(seq, rows):
+        return (seq, "2024-02-01T00:00:00Z", seq < 2,
+                [(i, (1,), "t", 1.0, 1, [item(m)], f"2024-01-{day:02d}T00:00:00Z") for i, m, day in rows])
+
+    pages = [page(0, [(9, 1, 20)]), page(1, [(8, 1, 19), (7, 2, 19)]), page(2, [(6, 2, 10)])]
+    run = pg.Run(spark, pg.MESSAGES, str(tmp_path / "run"), datetime(2024, 1, 1), datetime(2024, 2, 1))
+    run.start(messages(spark, []))
+    run.on_batch(spark.createDataFrame(pages, S.page_schema(S.MESSAGE_FEED)), 0)
+    out = pg.finish_run(run)
+    assert sorted((r.media_id, r.seen_count, r.valid_from_ts.day) for r in out.dim.collect()) == [
+        (1, 1, 19), (1, 2, 20), (2, 1, 10), (2, 2, 19)]
+    history = sorted((r.media_id, r.seen_count, r.valid_from_ts.day) for r in out.history.collect())
+    assert history == [(1, 1, 19), (1, 1, 20), (1, 2, 20), (2, 1, 10), (2, 1, 19), (2, 2, 19)]
+
+
+def test_stream_reads_one_page_per_trigger(spark, tmp_path):
+    rows = spark.range(1, 40).select(
+        "id", F.struct(F.lit(1).cast("bigint").alias("id")).alias("fromUser"), F.lit("t").alias("text"), F.lit(1.0).alias("price"),
+        F.lit(0).alias("mediaCount"), F.array().cast(S.ITEMS).alias("media"),
+        F.lit("2024-01-10T00:00:00Z").alias("createdAt"), F.expr("(40 - id) div 10").alias("batch_seq"),
+    )
+    pg.write_pages(rows, str(tmp_path / "pages"), datetime(2024, 2, 1))
+    run = pg.Run(spark, pg.MESSAGES, str(tmp_path / "run"), datetime(2024, 1, 1), datetime(2024, 2, 1))
+    run.start(messages(spark, []))
+    pg.stream_load(run, str(tmp_path / "pages"))
+    batches = spark.read.parquet(f"{run.root}/facts").groupBy("batch_id").count().collect()
+    assert sorted(r["count"] for r in batches) == [1, 1, 1, 1]
+    assert pg.finish_run(run).target.count() == 39
+
+
+def test_overlaps_without_pairs(spark):
+    def at(day):
+        return None if day is None else datetime(2024, 1, day)
+
+    links = [(1, 5, 1, 1, None), (1, 5, 2, 3, 5), (1, 5, 3, 5, 6), (1, 5, 4, 5, 5), (1, 5, 5, 5, None), (1, 6, 6, 2, 3),
+             (1, 6, 7, 3, 4), (2, 5, 8, 1, None)]
+    df = spark.createDataFrame(
+        [(a, m, c, at(f), at(t)) for a, m, c, f, t in links],
+        S.struct(author_id=S.LONG, media_id=S.LONG, chat_id=S.LONG, valid_from_ts=S.TS, valid_to_ts=S.TS),
+    )
+    out = {r.chat_id: r.n_open for r in dm.overlap_join(df, datetime(2024, 2, 1)).collect()}
+    assert out == {1: 0, 2: 1, 3: 1, 4: 2, 5: 2, 6: 0, 7: 0, 8: 0}
+
+
+def test_report_is_ordered(spark):
+    rows = [(1, 0.5, 3, 1), (2, None, 9, 1), (3, 0.5, 7, 1), (4, 0.9, 1, 1)]
+    df = spark.createDataFrame(rows, "media_id int, duration_ratio double, duration int, x int")
+    assert [r.media_id for r in og.report_order(df).collect()] == [4, 3, 1, 2]
 
 
 def test_schema_growth_and_dry_run(spark):

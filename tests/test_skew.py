@@ -31,13 +31,20 @@ def test_skew_join(spark, skewed, how):
     assert rows_of(salted) == rows_of(plain)
 
 
+def test_many_null_keys_spread(spark):
+    left = spark.range(100_000).select(F.lit(None).cast("bigint").alias("k"), "id")
+    right = spark.createDataFrame([(1, "a")], "k bigint, name string")
+    out = skew_join(left, right, ["k"], "left", spread=["id"], rows=3)
+    assert out.count() == 100_000 and out.filter("name is not null").count() == 0
+
+
 @pytest.mark.parametrize("rows", [2, 50, 10**6])
 def test_number_versions(spark, rows):
     rng = random.Random(3)
     data = [
         (rng.randrange(3), f"2024-01-{1 + rng.randrange(3):02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}:00", i)
         for i in range(300)
-    ] + [(0, None, 999)]
+    ] + [(0, None, 999), (0, "1969-12-31 23:57:00", 1000), (0, "1950-01-01 00:00:00", 1001)]
     df = spark.createDataFrame(data, "k int, t string, i int").select(
         "k", F.col("t").cast("timestamp_ntz").alias("t"), "i"
     )
