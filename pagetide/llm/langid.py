@@ -104,27 +104,46 @@ def train(
     return Model(langs, _log_rates(known, langs), grams)
 
 
+class Table:
+    """Keys with a row of log rates each."""
+
+    def __init__(self, rates: dict[str, np.ndarray], langs: int):
+        self.place = {key: i for i, key in enumerate(rates)}
+        self.rows = np.array(list(rates.values())).reshape(-1, langs)
+
+
 class Scorer:
     """Scores texts with a model; keeps the scores of the pieces of text it has met."""
 
-    def __init__(self, model: Model, keep: int = 200_000):
+    def __init__(self, model: Model, keep: int = 250_000):
         self.model, self.keep = model, keep
+        n = len(model.langs)
+        self.words, self.grams = Table(model.words, n), {o: Table(model.grams[o], n) for o in ORDERS}
         self.clear()
 
+    @classmethod
+    def of(cls, model: Model) -> Scorer:
+        """One scorer per Python worker and model, for all tasks that the worker runs."""
+        known = getattr(model, "_scorer", None)
+        if known is None:
+            known = model._scorer = cls(model)
+        return known
+
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.model.langs) + 1))
 
     def word(self, word: str) -> np.ndarray:
-        known = self.model.words.get(word)
+        known = self.words.place.get(word)
         if known is not None:
-            return known
+            return self.words.rows[known]
         marked = f"^{word}$"
         for order in ORDERS:
-            table = self.model.grams[order]
-            found = [g for i in range(len(marked) - order + 1) if (g := table.get(marked[i : i + order])) is not None]
+            place = self.grams[order].place
+            spots = [marked[i : i + order] for i in range(len(marked) - order + 1)]
+            found = [place[g] for g in spots if g in place]
             if found:
-                return BACKOFF * np.mean(found, axis=0)
+                return self.grams[order].rows[found].sum(0) * (BACKOFF / len(found))
         return np.zeros(len(self.model.langs))
 
     def _add(self, piece: str) -> None:
@@ -137,7 +156,8 @@ class Scorer:
         row[:] = 0
         for w in words:
             row[:-1] += self.word(w)
-        row[-1] = any(c.isalpha() for c in piece)
+        # Of what the pattern takes for letters, some outside ASCII are numbers.
+        row[-1] = bool(words) and (piece.isascii() or any(map(str.isalpha, piece)))
         self.place[piece] = n
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -164,7 +184,7 @@ def predict(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer.of(shared.value)
         for texts in batches:
             yield pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang", "score"])
 
