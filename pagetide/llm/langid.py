@@ -21,6 +21,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -109,7 +110,7 @@ class Table:
 
     def __init__(self, rates: dict[str, np.ndarray], langs: int):
         self.place = {key: i for i, key in enumerate(rates)}
-        self.rows = np.array(list(rates.values())).reshape(-1, langs)
+        self.rows = np.array([*rates.values()]).reshape(len(rates), langs)
 
 
 class Scorer:
@@ -131,47 +132,61 @@ class Scorer:
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.model.langs) + 1))
-
-    def word(self, word: str) -> np.ndarray:
-        known = self.words.place.get(word)
-        if known is not None:
-            return self.words.rows[known]
-        marked = f"^{word}$"
+        self.rows = np.zeros((0, len(self.model.langs) + 1))
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """A row of scores per word: known words first, then the longest known n-grams."""
+        out = np.zeros((len(words), len(self.model.langs)))
+        known = [(i, at) for i, w in enumerate(words) if (at := self.words.place.get(w)) is not None]
+        if known:
+            spots, at = np.array(known).T
+            out[spots] = self.words.rows[at]
+        done = {i for i, _ in known}
+        left = [(i, f"^{w}$") for i, w in enumerate(words) if i not in done]
         for order in ORDERS:
-            place = self.grams[order].place
-            spots = [marked[i : i + order] for i in range(len(marked) - order + 1)]
-            found = [place[g] for g in spots if g in place]
+            place = self.grams[order].place.get
+            found = [
+                (i, g) for i, w in left for k in range(len(w) - order + 1) if (g := place(w[k : k + order])) is not None
+            ]
             if found:
-                return self.grams[order].rows[found].sum(0) * (BACKOFF / len(found))
-        return np.zeros(len(self.model.langs))
-
-    def _add(self, piece: str) -> None:
-        """Last column: 1 if the piece has a letter."""
-        n = len(self.place)
-        if n == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        words = LETTERS.findall(piece.lower())
-        row = self.rows[n]
-        row[:] = 0
-        for w in words:
-            row[:-1] += self.word(w)
+                spots, at = np.array(found).T
+                rows = self.grams[order].rows[at]
+                starts = np.flatnonzero(np.r_[True, spots[1:] != spots[:-1]])
+                counts = np.diff(np.r_[starts, len(spots)])
+                out[spots[starts]] = np.add.reduceat(rows, starts) * (BACKOFF / counts)[:, None]
+                done = set(spots.tolist())
+                left = [x for x in left if x[0] not in done]
+        return out
+
+    def _add(self, pieces: list[str]) -> None:
+        """Rows of new pieces of text; the last column is 1 where a piece has a letter."""
+        split = [LETTERS.findall(p.lower()) for p in pieces]
+        place: dict[str, int] = {}
+        flat = [place.setdefault(w, len(place)) for words in split for w in words]
+        scores = self.score_words(list(place))
+        rows = np.zeros((len(pieces), len(self.model.langs) + 1))
+        owner = np.repeat(np.arange(len(pieces)), [len(words) for words in split])
+        np.add.at(rows[:, :-1], owner, scores[np.array(flat, np.int64)])
         # Of what the pattern takes for letters, some outside ASCII are numbers.
-        row[-1] = bool(words) and (piece.isascii() or any(map(str.isalpha, piece)))
-        self.place[piece] = n
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        pieces = text.split() if text else []
+        rows[:, -1] = [
+            bool(words) and (p.isascii() or any(map(str.isalpha, p))) for p, words in zip(pieces, split)
+        ]
+        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces))))
+        self.rows = np.concatenate([self.rows, rows])
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        split = [t.split() if t else [] for t in texts]
         if len(self.place) > self.keep:
             self.clear()
-        place = self.place
-        for piece in pieces:
-            if piece not in place:
-                self._add(piece)
-        if not pieces or not self.model.langs:
-            return UNKNOWN, 0.0
-        total = self.rows[np.fromiter(map(place.__getitem__, pieces), np.int64, len(pieces))].sum(0)
-        if not total[-1]:
+        new = list(set(chain.from_iterable(split)) - self.place.keys())
+        if new:
+            self._add(new)
+        look = self.place.__getitem__
+        return [self._judge(np.fromiter(map(look, pieces), np.int64, len(pieces))) for pieces in split]
+
+    def _judge(self, at: np.ndarray) -> tuple[str, float]:
+        total = self.rows[at].sum(0)
+        if not total[-1] or not self.model.langs:
             return UNKNOWN, 0.0
         scores = total[:-1]
         best = int(scores.argmax())
@@ -186,7 +201,10 @@ def predict(spark: SparkSession, model: Model, text: Column) -> Column:
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer.of(shared.value)
         for texts in batches:
-            yield pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang", "score"])
+            found = [
+                x for at in range(0, len(texts), 512) for x in scorer.predict(texts.iloc[at : at + 512].tolist())
+            ]
+            yield pd.DataFrame(found, columns=["lang", "score"])
 
     return label(text)
 

@@ -96,8 +96,8 @@ def test_language_backs_off(spark, docs):
     seen = set(scorer.model.words)
     assert "unda" in seen and "undxq" not in seen
     de = scorer.model.langs.index("de")
-    assert scorer.word("werdenxq").argmax() == de
-    assert (scorer.word("中") == 0).all()
+    backed, nothing = scorer.score_words(["werdenxq", "中"])
+    assert backed.argmax() == de and (nothing == 0).all()
 
 
 def test_packing(spark, docs, empty):
