@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pagetide.functions.scalars import as_ts, date_lit, duration_ratio, item_kind, micros, owner_key
 from pagetide.operators import filters as flt
 from pagetide.plans.skew import following, parts_of, running_max, salted_join, skew_join
+from pagetide.sources.tables import stored
 
 OPEN_END = 99_999_999_999
 KEY = ["author_id", "media_id"]
@@ -41,20 +42,20 @@ def total_per_row(
     """Add ``total_duration``: the durations of all items of the rows that share ``key``.
 
     With ``unique`` keys this is a sum over the row's own array, with no shuffle. Otherwise
-    only the keys held by several rows are joined back.
+    only the keys held by several rows are joined back. Rows with a null key are not pooled.
     """
     key = list(key)
     own = df.withColumn("_own", items_total(media))
     if unique:
         return own.withColumnRenamed("_own", "total_duration")
+    # Few ids are held by several rows, and each of those gives one row here.
     shared = (
         own.groupBy(*key)
         .agg(F.sum("_own").alias("_shared"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
-        .select(*key, "_shared", parts_of("_n").alias("_parts"))
+        .select(*key, "_shared")
     )
-    hot = shared.filter(F.col("_parts").isNotNull()).select(*key, "_parts")
-    return salted_join(own, shared, hot, key, "left").select(
+    return own.join(shared, key, "left").select(
         *df.columns, F.coalesce("_shared", "_own").alias("total_duration")
     )
 
@@ -331,16 +332,26 @@ def dedup_latest(items: DataFrame, keys: Iterable[str], *order: Column) -> DataF
 def _origins(
     items: DataFrame, posts: DataFrame, purchases: DataFrame | None, lookup: str, wall: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Per distinct (author, item): origin day and latest post; and the hot keys of the items."""
-    keys = items.groupBy(*KEY).agg(parts_of(F.count(F.lit(1))).alias("_parts"))
+    """Per distinct (author, item): origin day and latest post; and the hot keys of the items.
+
+    The keys are stored: the scan over bands, the hot keys and the join read them.
+    """
+    keys = stored(items.groupBy(*KEY).agg(parts_of(F.count(F.lit(1))).alias("_parts")))
     hot = keys.filter(F.col("_parts").isNotNull())
     bands = day_bands(posts)
-    found = band_lookup(keys, bands) if lookup == "asof" else band_join(keys, bands)
+    found = band_lookup(keys, stored(bands)) if lookup == "asof" else band_join(keys, bands)
     if purchases is not None:
         found = found.join(distinct_items(purchases), "media_id", "left_anti")
     return (found.join(latest_posts(posts), KEY, "left") if wall else found), hot
 
 
+def _with_origins(items: DataFrame, origins: DataFrame, hot: DataFrame) -> DataFrame:
+    """Items with the origins of their keys. Without a hot key this is a plain join."""
+    if hot.isEmpty():
+        return items.join(origins.drop("_parts"), KEY)
+    return salted_join(items, origins, hot, KEY, "inner", spread=["row_id"])
+
+
 def report_order(df: DataFrame) -> DataFrame:
     """Ratio, then duration, then (where present) unlock date, all descending, NULLs last."""
     order = [F.col("duration_ratio").desc_nulls_last(), F.col("duration").desc_nulls_last()]
@@ -433,7 +444,7 @@ def _messages_base(messages, posts, purchases, authors, text_any, item_ids, uniq
     items, keys = _narrow(message_rows(messages), authors, text_any, item_ids, unique_ids)
     origins, hot = _origins(keys, flt.filter_authors(post_rows(posts), authors), purchases, lookup)
     items = dedup_latest(items, [*KEY, "row_id"], *_latest_first())
-    return salted_join(items, keep(origins), hot, KEY, "inner", spread=["row_id"])
+    return _with_origins(items, keep(origins), hot)
 
 
 def origin_by_windows(
@@ -479,7 +490,7 @@ def _purchases_base(purchases, posts, authors, text_any, item_ids, unique_ids, l
     )
     origins, hot = _origins(keys, flt.filter_authors(post_rows(posts), authors), None, lookup)
     items = dedup_latest(items, [*KEY, *[names.get(k, k) for k in key]], *_latest_first(), F.col("ulk_src"))
-    return salted_join(items, keep(origins), hot, KEY, "inner", spread=["row_id"])
+    return _with_origins(items, keep(origins), hot)
 
 
 def origin_report_purchases(
