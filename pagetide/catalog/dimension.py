@@ -11,9 +11,9 @@ from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import dimension as dm, load as ld, quality as ql
 from pagetide.plans.skew import number_versions
 from pagetide.sources.tables import stored
+from pagetide.registry import registry
 
-Q: dict = {}
-SQL: dict[str, str] = {}
+Q, SQL, register = registry()
 
 RUN_1, RUN_2 = datetime(2024, 1, 20, 12, 30, 15), datetime(2024, 1, 31, 3, 4, 5)
 # Eastern wall clock of the two runs.
@@ -63,16 +63,6 @@ COLUMNS = (
 )
 
 
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def _states(spark, d):
     """The dimension after a first load and the increment of a second, as stored tables."""
     messages = fx.messages(spark, d)

@@ -9,23 +9,13 @@ from pyspark.sql import functions as F
 from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import expiry as ex
+from pagetide.registry import registry
 
-Q: dict = {}
-SQL: dict[str, str] = {}
+Q, SQL, register = registry()
 WINDOW, RUN = datetime(2024, 1, 5), datetime(2024, 2, 1, 10)
 WITH = "with " + FEEDS_SQL
 
 
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def _run(spark, d):
     """A run over all authors: messages, their pages and the ids seen."""
     rows = fx.messages(spark, d)

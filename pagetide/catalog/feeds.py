@@ -12,24 +12,14 @@ from pagetide.functions import scalars as sc
 from pagetide.operators import dimension as dm, load as ld, shape as sh
 from pagetide.sources import feeds, tables
 from pagetide.streaming import pages as pg
+from pagetide.registry import registry
 
-Q: dict = {}
-SQL: dict[str, str] = {}
+Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
 WINDOW, RUN = datetime(2024, 1, 5), datetime(2024, 2, 1, 10)
 PER_TRIGGER = 16  # page files per micro-batch; results do not depend on it
 
 
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def _folder(spark, name):
     return tables.scratch(spark, name)
 

@@ -9,23 +9,13 @@ from pyspark.sql import functions as F
 from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import load as ld
+from pagetide.registry import registry
 
-Q: dict = {}
-SQL: dict[str, str] = {}
+Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
 WINDOW = datetime(2024, 1, 12, 6)
 
 
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def flat(df, owner, ts):
     return df.select("id", F.col(f"{owner}.id").alias("author_id"), "text", F.col(ts).alias("ts"))
 

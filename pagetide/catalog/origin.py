@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.plans import origin as og
+from pagetide.registry import registry
 
 AS_OF = date(2024, 1, 31)
 
@@ -77,18 +78,7 @@ report as (
 """
 )
 
-Q: dict = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
+Q, SQL, register = registry()
 
 
 def _feeds(spark: SparkSession, d: str):

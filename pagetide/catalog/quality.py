@@ -8,22 +8,12 @@ from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import quality as ql
 from pagetide.plans import origin as og
+from pagetide.registry import registry
 
-Q: dict = {}
-SQL: dict[str, str] = {}
+Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
 
 
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def _items(df, owner, ts):
     return df.select(
         "id", F.col(f"{owner}.id").alias("author_id"), F.explode("media.id").alias("media_id"),

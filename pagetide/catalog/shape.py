@@ -11,22 +11,12 @@ from pagetide.fixtures import FEEDS_SQL
 from pagetide.functions import scalars as sc
 from pagetide.operators import filters as flt, quality as ql, shape as sh
 from pagetide.plans import origin as og
+from pagetide.registry import registry
 
-Q: dict = {}
-SQL: dict[str, str] = {}
+Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
 
 
-def register(name: str, sql: str | None = None):
-    def add(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def _flat(df, *keep):
     """Item fields next to the row's columns, one row per item."""
     return df.select(*keep, F.inline("media"))
@@ -208,6 +198,16 @@ def _(spark, d):
     return flt.filter_text_any(rows, ["CK 3", "k_9", "none"], "text")
 
 
+@register(
+    "filter_text_any_table",
+    WITH + "select id, txt as text from messages where txt ilike '%CK 3%' or txt ilike '%k_9%'",
+)
+def _(spark, d):
+    rows = fx.messages(spark, d).select("id", "text")
+    parts = spark.createDataFrame([("CK 3",), ("k_9",), (None,)], "part string")
+    return flt.filter_text_any(rows, parts, "text")
+
+
 @register(
     "filter_item_ids",
     WITH + "select id as row_id, media_id from message_items where media_id in (select media_id from purchase_items)",
@@ -267,10 +267,10 @@ def _(spark, d):
     WITH
     + """select id as chat_id, author_id, media_id, price as msg_price, duration as media_duration,
   cast(ts as date) as created_date, txt as msg_text
-from message_items where author_id = 0 and media_id = 2""",
+from message_items where author_id = 0 and media_id = 342""",
 )
 def _(spark, d):
-    return ql.item_lookup(fx.messages(spark, d), 0, 2)
+    return ql.item_lookup(fx.messages(spark, d), 0, 342)
 
 
 @register(

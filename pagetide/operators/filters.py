@@ -50,7 +50,20 @@ def text_matches(text: Column, substrings: Iterable[str]) -> Column:
     return hit
 
 
-def filter_text_any(df: DataFrame, substrings: Iterable[str] | None, name: str = "msg_text") -> DataFrame:
+def filter_text_any(
+    df: DataFrame, substrings: Iterable[str] | DataFrame | None, name: str = "msg_text"
+) -> DataFrame:
+    """Rows whose text holds any of the substrings, a list or a table of one column.
+
+    An empty list or table keeps all rows. A table is compared row by row, so it should be a
+    short one; a row is kept once however many of its substrings match.
+    """
+    if isinstance(substrings, DataFrame):
+        parts = substrings.select(F.col(substrings.columns[0]).alias("_part")).filter("_part is not null").distinct()
+        if parts.isEmpty():
+            return df
+        hit = F.ilike(F.coalesce(F.col(name), F.lit("")), F.concat(F.lit("%"), F.col("_part"), F.lit("%")))
+        return df.join(parts, hit, "left_semi")
     substrings = list(substrings or [])
     return df.filter(text_matches(F.col(name), substrings)) if substrings else df
 
@@ -68,8 +81,10 @@ def filter_origin_years(
     df: DataFrame, start_year: int | None, end_year: int | None, origin: str = "origin_date"
 ) -> DataFrame:
     """Origin year from ``end_year`` (older) to ``start_year`` (newer); rows without one fail."""
-    if start_year is None:
+    if start_year is None and end_year is None:
         return df
+    if start_year is None or end_year is None:
+        raise ValueError(f"both years of the range are needed: {start_year}, {end_year}")
     year = F.year(F.coalesce(F.col(origin), date_lit(UNKNOWN_ORIGIN)))
     return df.filter(year.between(end_year, start_year))
 

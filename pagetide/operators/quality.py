@@ -40,27 +40,29 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     Columns a table lacks give NULL.
     """
     times = ("createdAt", "postedAt", "unlockAt", "valid_from_ts")
+    none = F.lit(None).cast("bigint")
     out = []
     for name, df in tables.items():
         have = set(df.columns)
-
-        def distinct(c: str) -> Column:
-            return (F.count_distinct(F.col(c)) if c in have else F.lit(None).cast("bigint"))
-
         stamp = next((as_ts(df, t) for t in times if t in have), F.lit(None).cast("timestamp_ntz"))
-        current = (
-            F.count_if(F.col("is_current")) if "is_current" in have else F.lit(None).cast("bigint")
+        totals = df.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.min(stamp).alias("min_ts"),
+            F.max(stamp).alias("max_ts"),
+            (F.count_if(F.col("is_current")) if "is_current" in have else none).alias("n_current"),
         )
+        # Each column's values are made distinct by themselves: counting several kinds in one
+        # aggregate would repeat every row once per column.
+        for column, label in (("id", "n_ids"), ("media_id", "n_items"), ("extract_ts", "n_runs")):
+            if column in have:
+                one = df.select(column).distinct().agg(F.count(column).alias(label))
+                totals = totals.join(F.broadcast(one))
+            else:
+                totals = totals.withColumn(label, none)
         out.append(
-            df.agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                distinct("id").alias("n_ids"),
-                F.min(stamp).alias("min_ts"),
-                F.max(stamp).alias("max_ts"),
-                current.alias("n_current"),
-                distinct("media_id").alias("n_items"),
-                distinct("extract_ts").alias("n_runs"),
-            ).select(F.lit(name).alias("table_name"), "*")
+            totals.select(
+                F.lit(name).alias("table_name"), "n_rows", "n_ids", "min_ts", "max_ts", "n_current", "n_items", "n_runs"
+            )
         )
     return _stack(out)
 
