@@ -1,14 +1,15 @@
 """Tables kept as one parquet directory per version.
 
-A version directory is complete once Spark's committer has written its ``_SUCCESS`` file;
-the newest complete one is current. A version is never overwritten while it is read: a
-change reads version N and writes N + 1.
+A version is written to a directory of its own, which no other writer knows. Only when it is
+complete is a small pointer file created that gives it a number, and a number can be created
+once: of two writers, the second takes the next. The highest number is current.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folder of a local run whose session names none.
@@ -45,28 +46,43 @@ def _fs(spark: SparkSession, path: str):
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions, oldest first."""
-    path, fs = _fs(spark, root)
+    """Numbers of the complete versions, oldest first."""
+    path, fs = _fs(spark, f"{root}/_versions")
     if not fs.exists(path):
         return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        done = _fs(spark, f"{root}/{name}/_SUCCESS")[0]
-        if name.startswith("version=") and fs.exists(done):
-            found.append(int(name.split("=")[1]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def _point(spark: SparkSession, root: str, version: int, folder: str, again: bool) -> bool:
+    """Create the pointer of a version; False if the number is taken."""
+    path, fs = _fs(spark, f"{root}/_versions/{version:08d}")
+    try:
+        out = fs.create(path, again)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception) or "already exists" in str(error.java_exception):
+            return False
+        raise
+    out.write(folder.encode())
+    out.close()
+    return True
 
 
 def write_version(df: DataFrame, root: str, version: int | None = None, by: str | None = None) -> int:
-    """Write the next version, or a given one again after a replay; returns its number."""
-    if version is None:
-        known = versions(df.sparkSession, root)
-        version = known[-1] + 1 if known else 1
-    writer = df.write.mode("overwrite")
-    if by:
-        writer = writer.partitionBy(by)
-    writer.parquet(f"{root}/version={version:08d}")
+    """Write the next version, or a given one again after a replay; returns its number.
+
+    A replay points its number at the new directory; readers of the old one are not disturbed.
+    """
+    spark, folder = df.sparkSession, f"data-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(f"{root}/{folder}")
+    if version is not None:
+        _point(spark, root, version, folder, again=True)
+        return version
+    known = versions(spark, root)
+    version = known[-1] + 1 if known else 1
+    while not _point(spark, root, version, folder, again=False):
+        version += 1
     return version
 
 
@@ -75,7 +91,8 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     if not known:
         raise FileNotFoundError(f"no complete version under {root}")
     version = known[-1] if version is None else version
-    return spark.read.parquet(f"{root}/version={version:08d}")
+    folder = spark.read.text(f"{root}/_versions/{version:08d}").first()[0]
+    return spark.read.parquet(f"{root}/{folder}")
 
 
 def scratch(spark: SparkSession, kind: str = "stored") -> str:
