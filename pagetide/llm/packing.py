@@ -11,8 +11,8 @@ histogram of lengths, which has at most ``capacity`` rows whatever the input (``
    sequences kept as one entry and a count.
 
 The plan is a list of runs: pieces number s to s + n of a length go to these sequences at
-this offset. It has fewer than ``capacity ** 2`` rows in any case (see ``plan``), which
-bounds the broadcast. Pieces get their number within their length on Spark, with frequent
+this offset. Its size has a bound that does not depend on the input (see ``plan``), so it may
+be broadcast. Pieces get their number within their length on Spark, with frequent
 lengths cut into parts, and find their run (``assign``).
 
 Defined cases: a null text is an empty one and still has its end token; an empty table gives
@@ -181,11 +181,12 @@ def dominating(open_: Lengths, longest: int, capacity: int) -> tuple[int, ...] |
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[tuple[int, ...], int]], int]:
     """Forms of sequences and how many of each; and how many of them the reduction fixed.
 
-    Size: a step of the reduction uses up a length (or all but one piece of it), hence there
-    are at most 2 * capacity such forms. Best fit opens or splits at most three entries per
-    length and free space it meets last, so at most 3 * capacity more. A form has fewer than
-    65 different lengths of up to 2048 tokens in total, and a run is kept per different
-    length, hence at most 5 * 2048 * 64 runs of 40 bytes for the default capacity, 26 MB.
+    Size: a step of the reduction uses up a length, or all but one piece of it, hence there
+    are at most 2 * capacity such forms. Best fit adds at most four entries per length: parts
+    of the one it fills last, and new ones; entries it fills whole stay one entry. A form has
+    fewer than 65 different lengths of up to 2048 tokens in total, and a run is kept per
+    different length, hence at most 6 * 2048 * 64 runs of 48 bytes for the default capacity,
+    38 MB; a few thousand in practice.
     """
     open_ = Lengths(counts, capacity)
     fixed: list[tuple[tuple[int, ...], int]] = []
