@@ -42,14 +42,22 @@ MIXED = 0.01
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class Table:
+    """Keys with a row of log rates each, one per language."""
+
+    def __init__(self, rates: dict[str, np.ndarray], langs: int):
+        self.place = {key: i for i, key in enumerate(rates)}
+        self.rows = np.array([*rates.values()]).reshape(len(rates), langs)
+
+
 @dataclass
 class Model:
     langs: list[str]
-    words: dict[str, np.ndarray]  # log frequency per language
-    grams: dict[int, dict[str, np.ndarray]]  # by order
+    words: Table
+    grams: dict[int, Table]  # by order
 
 
-def _log_rates(rows: list, langs: list[str]) -> dict[str, np.ndarray]:
+def _log_rates(rows: list, langs: list[str]) -> Table:
     """Log of every key's share in each language, mixed with a little of its mean share.
 
     Shares, unlike counts, do not favour the language with the most text where a key is
@@ -60,7 +68,7 @@ def _log_rates(rows: list, langs: list[str]) -> dict[str, np.ndarray]:
     for row in rows:
         counts.setdefault(row["key"], np.zeros(len(langs)))[place[row["lang"]]] += row["n"]
     total = np.maximum(sum(counts.values(), np.zeros(len(langs))), 1)
-    return {k: np.log(c / total + MIXED * (c / total).mean()) for k, c in counts.items()}
+    return Table({k: np.log(c / total + MIXED * (c / total).mean()) for k, c in counts.items()}, len(langs))
 
 
 def train(
@@ -105,31 +113,14 @@ def train(
     return Model(langs, _log_rates(known, langs), grams)
 
 
-class Table:
-    """Keys with a row of log rates each."""
-
-    def __init__(self, rates: dict[str, np.ndarray], langs: int):
-        self.place = {key: i for i, key in enumerate(rates)}
-        self.rows = np.array([*rates.values()]).reshape(len(rates), langs)
-
-
 class Scorer:
     """Scores texts with a model; keeps the scores of the pieces of text it has met."""
 
-    def __init__(self, model: Model, keep: int = 250_000):
+    def __init__(self, model: Model, keep: int = 120_000):
         self.model, self.keep = model, keep
-        n = len(model.langs)
-        self.words, self.grams = Table(model.words, n), {o: Table(model.grams[o], n) for o in ORDERS}
+        self.words, self.grams = model.words, model.grams
         self.clear()
 
-    @classmethod
-    def of(cls, model: Model) -> Scorer:
-        """One scorer per Python worker and model, for all tasks that the worker runs."""
-        known = getattr(model, "_scorer", None)
-        if known is None:
-            known = model._scorer = cls(model)
-        return known
-
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.rows = np.zeros((0, len(self.model.langs) + 1))
@@ -193,13 +184,23 @@ class Scorer:
         return self.model.langs[best], float(1 / np.exp(scores - scores[best]).sum())
 
 
+_latest: list[Scorer] = []
+
+
+def scorer_of(model: Model) -> Scorer:
+    """The scorer of this Python worker, for all its tasks with the model; a new model ends it."""
+    if not _latest or _latest[0].model is not model:
+        _latest[:] = [Scorer(model)]
+    return _latest[0]
+
+
 def predict(spark: SparkSession, model: Model, text: Column) -> Column:
     """struct(lang, score) of each text."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer.of(shared.value)
+        scorer = scorer_of(shared.value)
         for texts in batches:
             found = [
                 x for at in range(0, len(texts), 512) for x in scorer.predict(texts.iloc[at : at + 512].tolist())
