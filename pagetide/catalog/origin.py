@@ -97,7 +97,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     "with " + MESSAGE_REPORT_SQL + "select * exclude (author_id) from report",
 )
 def _(spark, d):
-    return og.origin_report_messages(*_feeds(spark, d), as_of=AS_OF, unique_ids=True, lookup="join")
+    return og.origin_report_messages(*_feeds(spark, d), as_of=AS_OF, lookup="join")
 
 
 @register(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
@@ -229,15 +229,14 @@ from orders join lineitem on l_orderkey = o_orderkey""",
 def _(spark, d):
     """Items of an order with their share of the order's total, from flat tables."""
     from pagetide.functions.scalars import duration_ratio
-    from pagetide.plans.skew import skew_join
 
     lines = fx.table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity"
     )
     orders = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    totals = lines.groupBy("o_orderkey").agg(F.sum("l_quantity").alias("total_quantity"))
-    known = orders.join(totals, "o_orderkey")
-    return skew_join(lines, known, ["o_orderkey"], spread=["l_partkey", "l_quantity"]).select(
+    # An order's lines are few: one window, whose partitioning the join uses again.
+    total = F.sum("l_quantity").over(Window.partitionBy("o_orderkey"))
+    return lines.withColumn("total_quantity", total).join(orders, "o_orderkey").select(
         "o_orderkey", "o_custkey", "l_partkey", "l_quantity", "total_quantity",
         duration_ratio("l_quantity", "total_quantity").alias("quantity_ratio"),
     )
