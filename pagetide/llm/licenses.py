@@ -4,8 +4,8 @@ Every text's words are hashed in rolling groups of ``k``. All these hashes are j
 positions of the same groups in the license templates. A hit votes for a diagonal, its
 position in the text minus its position in the template: an unchanged copy puts all its hits
 on one diagonal, an inserted or dropped word moves the rest to the next. Hits are counted per
-diagonal, neighbouring diagonals are merged, and spans with enough votes are verified by
-comparing the words themselves with the template's.
+diagonal, neighbouring diagonals are merged, and spans that hold enough of the template
+count. Every hit is verified by comparing its words with the template's.
 
 The templates are a parameter with a size bound (``MAX_GRAMS`` positions in all), so the
 table that is broadcast cannot grow with the input. Only hits are shuffled, after equal ones
@@ -58,7 +58,7 @@ K = 4
 MAX_GRAMS = 100_000
 #: Diagonals up to so far apart belong to one span.
 DRIFT = 3
-#: A span is verified if it holds this share of its template's groups of words, in order.
+#: A span counts if it holds this share of its template's groups of words.
 SHARE = 0.6
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -84,14 +84,15 @@ def _hash_at(hashes: Column, i: Column, k: int) -> Column:
 
 
 def template_grams(spark: SparkSession, templates: dict[str, str], k: int) -> DataFrame:
-    """gram, template, spot, of, words: every group of every template."""
+    """gram, template, spot, of, same: every group of every template, with its words."""
     rows = [(name, text.split()) for name, text in templates.items()]
     if sum(len(words) for _, words in rows) > MAX_GRAMS:
         raise ValueError(f"templates of more than {MAX_GRAMS} words")
     table = spark.createDataFrame(rows, "template string, words array<string>")
     return table.select(
-        "template", (F.size("words") - k + 1).alias("of"), F.posexplode(rolling(F.col("words"), k)).alias("spot", "gram")
-    )
+        "template", "words", (F.size("words") - k + 1).alias("of"),
+        F.posexplode(rolling(F.col("words"), k)).alias("spot", "gram"),
+    ).select("gram", "template", "spot", "of", F.slice("words", F.col("spot") + 1, F.lit(k)).alias("same"))
 
 
 def spans(
@@ -105,14 +106,20 @@ def spans(
     """key, template, first, last, score of the verified spans of every distinct text.
 
     ``key`` is the digest of the text (see ``key_of``), ``first`` and ``last`` the span's
-    words, ``score`` the share of the template's groups found in order.
+    words, ``score`` the share of the template's groups found in it. A hit is verified where
+    it is found, while its text is at hand: its words must be the template's, so an agreement
+    of hashes alone does not count. Only verified hits, numbers by then, are shuffled.
     """
     templates = TEMPLATES if templates is None else templates
     grams = template_grams(docs.sparkSession, templates, k)
     text = text_of(text_col)
+    read = docs.select(key_of(text).alias("key"), words_of(lower_ascii(text)).alias("words"))
+    # Compared word by word after the join: as one more join key it would be built for every group.
+    mine = F.slice("words", F.col("pos") + 1, F.lit(k))
     hits = (
-        docs.select(key_of(text).alias("key"), F.posexplode(rolling(words_of(lower_ascii(text)), k)).alias("pos", "gram"))
+        read.select("key", "words", F.posexplode(rolling(F.col("words"), k)).alias("pos", "gram"))
         .join(F.broadcast(grams), "gram")
+        .filter(F.forall(F.zip_with(mine, "same", lambda a, b: a == b), lambda same: same))
         .select("key", "template", "of", "pos", "spot", (F.col("pos") - F.col("spot")).alias("diagonal"))
         .distinct()
     )
@@ -130,43 +137,9 @@ def spans(
             F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"),
             F.size(F.array_distinct(F.flatten(F.collect_list("spots")))).alias("found"),
         )
-        .filter(F.col("found") >= share * F.col("of"))
+        .withColumn("score", F.col("found") / F.col("of"))
     )
-    return merged.select("key", "template", "first", "last", (F.col("found") / F.col("of")).alias("votes"))
-
-
-def verified(
-    docs: DataFrame, found: DataFrame, text_col: str = "text", templates: dict[str, str] | None = None, share: float = SHARE
-) -> DataFrame:
-    """The spans whose words hold enough of the template's, compared as words; adds score.
-
-    Words are compared as sets of neighbouring pairs of the span and of the template, so a
-    chance agreement of hashes does not count.
-    """
-    templates = TEMPLATES if templates is None else templates
-    spark, text = docs.sparkSession, text_of(text_col)
-    pairs_of = spark.createDataFrame(
-        [(name, text_.split()) for name, text_ in templates.items()], "template string, template_words array<string>"
-    )
-    keyed = docs.select(key_of(text).alias("key"), text.alias("text"))
-    wanted = keyed.join(found.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
-    words = wanted.select("key", words_of(lower_ascii(F.col("text"))).alias("words"))
-    width = F.col("last") - F.col("first") + 1
-    rows = found.join(words, "key").join(F.broadcast(pairs_of), "template")
-    rows = rows.withColumn("words", F.slice("words", F.col("first") + 1, width))
-    mine, theirs = _pairs(F.col("words")), _pairs(F.col("template_words"))
-    score = F.size(F.array_intersect(mine, theirs)) / F.size(F.array_distinct(theirs))
-    return rows.withColumn("score", F.least(F.lit(1.0), score)).filter(F.col("score") >= share).select(
-        "key", "template", "first", "last", "score"
-    )
-
-
-def _pairs(words: Column) -> Column:
-    return F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
+    return merged.filter(F.col("score") >= share).select("key", "template", "first", "last", "score")
 
 
 def key_of(text: Column) -> Column:
@@ -202,9 +175,7 @@ def scan(
     """id, n_words, places: array<struct<at, label>>, spans: array<struct<template, first, last, score>>."""
     phrases = PHRASES if phrases is None else phrases
     text = text_of(text_col)
-    found = stored(spans(docs, text_col, templates))
-    checked = stored(verified(docs, found, text_col, templates))
-    per_text = checked.groupBy("key").agg(
+    per_text = spans(docs, text_col, templates).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("template", "first", "last", "score"))).alias("spans")
     )
     rows = stored(
