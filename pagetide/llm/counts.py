@@ -42,17 +42,15 @@ def version_of(tokenizer: str) -> str:
         return hashlib.file_digest(file, "sha256").hexdigest()
 
 
-def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame:
-    """Counts of one tokenizer version; empty where nothing has been stored."""
+def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame | None:
+    """Counts of one tokenizer version; None where nothing has been stored."""
     try:
-        stored_counts = spark.read.schema(CACHE).parquet(path)
+        known = spark.read.schema(CACHE).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], CACHE).select("digest", "n_tokens")
-    return (
-        stored_counts.filter(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    )
+        return None
+    return known.filter(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 class Counter:
@@ -106,18 +104,20 @@ def count_tokens(
     spark, version = docs.sparkSession, version_of(tokenizer)
     cache = cache or scratch(spark, "token-counts")
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    digest = F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest")
-    keyed = stored(rows.select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), digest))
-    distinct = keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-    # Texts travel once, and only those that are missing; equal ones meet before they do.
-    missing = (
-        rows.select(digest, "text")
-        .join(read_cache(spark, cache, version), "digest", "left_anti")
-        .groupBy("digest")
-        .agg(F.any_value("text").alias("text"))
-    )
+    digest = F.unhex(F.sha2(normalised(F.col("text")), 256))
+    keyed = stored(rows.select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), digest.alias("digest")))
+    total = keyed.count()
+    spread = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    distinct = stored(keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("n")))
+    texts = rows.withColumn("digest", digest)
+    known = read_cache(spark, cache, version)
+    if known is not None:
+        # Only texts that are missing travel; with most of them known that is few.
+        missing = stored(distinct.join(known, "digest", "left_anti"))
+        texts = join_counted(texts, missing, ["digest"], "n", total, spread)
+    # Equal texts meet within their task first.
+    missing = texts.groupBy("digest").agg(F.any_value("text").alias("text"))
     new = encode_counts(missing, tokenizer)
     new.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)
     counts = stored(distinct.join(read_cache(spark, cache, version), "digest"))
-    spread = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    return join_counted(keyed, counts, ["digest"], "n", keyed.count(), spread).select("id", "n_bytes", "n_tokens")
+    return join_counted(keyed, counts, ["digest"], "n", total, spread).select("id", "n_bytes", "n_tokens")
