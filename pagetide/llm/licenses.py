@@ -114,12 +114,20 @@ def spans(
     grams = template_grams(docs.sparkSession, templates, k)
     text = text_of(text_col)
     read = docs.select(key_of(text).alias("key"), words_of(lower_ascii(text)).alias("words"))
-    # Compared word by word after the join: as one more join key it would be built for every group.
-    mine = F.slice("words", F.col("pos") + 1, F.lit(k))
+    # The groups are a column of their own, so that exploding and joining them is one piece of
+    # generated code, in which a text's words are referred to and not copied. (The outer form
+    # adds no filter that would build the groups twice.) There the words are compared, as
+    # pairs of bounds: an equation would become one more join key, built for
+    # every group and not for the hits alone.
+    alike = F.lit(True)
+    for j in range(k):
+        mine, theirs = F.get("words", F.col("pos") + j), F.get("same", F.lit(j))
+        alike = alike & (mine <= theirs) & (mine >= theirs)
     hits = (
-        read.select("key", "words", F.posexplode(rolling(F.col("words"), k)).alias("pos", "gram"))
+        read.select("key", "words", rolling(F.col("words"), k).alias("grams"))
+        .select("key", "words", F.posexplode_outer("grams").alias("pos", "gram"))
         .join(F.broadcast(grams), "gram")
-        .filter(F.forall(F.zip_with(mine, "same", lambda a, b: a == b), lambda same: same))
+        .filter(alike)
         .select("key", "template", "of", "pos", "spot", (F.col("pos") - F.col("spot")).alias("diagonal"))
         .distinct()
     )
