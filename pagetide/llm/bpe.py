@@ -20,7 +20,9 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -57,12 +59,12 @@ class Vocabulary:
         self.words = regex.compile(split["pattern"]["Regex"])
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.byte = {b: c for c, b in byte_symbols().items()}
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.ids)
 
-    def symbols(self, word: str) -> tuple[str, ...]:
+    def symbols(self, word: str) -> list[str]:
         """The word's bytes as symbols, the last marked as the word's end."""
-        shown = [self.byte[b] for b in word.encode()]
-        return (*shown[:-1], shown[-1] + self.end)
+        shown = list(word) if word.isascii() and word.isprintable() else [self.byte[b] for b in word.encode()]
+        shown[-1] += self.end
+        return shown
 
     def merged(self, ids: list[int]) -> list[int]:
         """Plain merging, lowest rank first, of a short list of tokens."""
@@ -91,19 +93,27 @@ class Vocabulary:
 class Trie:
     """Encodes words; see the module's description. A node is (last token, its length)."""
 
-    def __init__(self, vocabulary: Vocabulary, keep: int = 2_000_000):
+    def __init__(self, vocabulary: Vocabulary, keep: int = 300_000):
         self.v, self.keep = vocabulary, keep
-        self.together: dict[tuple[int, int], bool] = {}
+        self.together: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
+        # The tokens as a trie of their symbols; "" holds the token that ends at a node.
+        self.tokens: dict = {}
+        for token in vocabulary.ids.values():
+            node = self.tokens
+            for part in vocabulary.parts(token):
+                node = node.setdefault(vocabulary.tokens[part], {})
+            node[""] = token
 
     def may_meet(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are where they stand next to each other."""
-        known = self.together.get((left, right))
+        pair = left << 32 | right
+        known = self.together.get(pair)
         if known is None:
             if len(self.together) > self.keep:
                 self.together.clear()
             known = self.v.merged(self.v.parts(left) + self.v.parts(right)) == [left, right]
-            self.together[(left, right)] = known
+            self.together[pair] = known
         return known
 
     def stays(self, token: int) -> bool:
@@ -116,61 +126,73 @@ class Trie:
     def encode(self, words: set[str]) -> dict[str, list[int]]:
         """Encodings of the words, none of them empty."""
         root: dict = {}
+        longest = 0
         for word in words:
-            node = root
-            for symbol in self.v.symbols(word):
-                node = node.setdefault(symbol, {})
+            node, symbols = root, self.v.symbols(word)
+            longest = max(longest, len(symbols))
+            for symbol in symbols:
+                try:
+                    node = node[symbol]
+                except KeyError:
+                    below: dict = {}
+                    node[symbol] = below
+                    node = below
             node[""] = word
         out: dict[str, list[int]] = {}
-        # Depth first with the path's symbols and states in arrays that are cut back.
-        path: list[str] = []
-        last: list[int] = []
-        width: list[int] = []
+        # Depth first, with the states of the path in arrays that are written over: the last
+        # token, where it starts, and the starts from which a token may still go on.
+        last, begin = [0] * longest, [0] * longest
+        going: list[list] = [[]] * (longest + 1)
+        met, first = self.together, self.tokens
         stack = [(0, symbol, node) for symbol, node in root.items()]
         while stack:
             depth, symbol, node = stack.pop()
-            del path[depth:], last[depth:], width[depth:]
-            path.append(symbol)
-            self._step(path, last, width)
+            found, ongoing = -1, []
+            # Of the tokens that end here, the longest that may follow what stands before it.
+            for start, state in going[depth]:
+                below = state.get(symbol)
+                if below is None:
+                    continue
+                ongoing.append((start, below))
+                if found < 0 and "" in below:
+                    token = below[""]
+                    if start:
+                        left = last[start - 1]
+                        fits = met.get(left << 32 | token)
+                        if fits is None:
+                            fits = self.may_meet(left, token)
+                    else:
+                        fits = self.stays(token)
+                    if fits:
+                        found = start
+                        last[depth] = token
+            alone = first[symbol]
+            ongoing.append((depth, alone))
+            if found < 0:
+                found = depth
+                last[depth] = alone[""]
+            begin[depth] = found
+            going[depth + 1] = ongoing
             for key, below in node.items():
                 if key:
                     stack.append((depth + 1, key, below))
                 else:
-                    out[below] = self._back(last, width)
+                    ids, at = [], depth
+                    while at >= 0:
+                        ids.append(last[at])
+                        at = begin[at] - 1
+                    out[below] = ids[::-1]
         return out
 
-    def _step(self, path: list[str], last: list[int], width: list[int]) -> None:
-        """The last token of the path, longest candidate first."""
-        ids, n = self.v.ids, len(path)
-        for length in range(min(n, self.v.longest), 0, -1):
-            token = ids.get("".join(path[n - length :]))
-            if token is None:
-                continue
-            before = n - length
-            if before:
-                if self.may_meet(last[before - 1], token):
-                    break
-            elif self.stays(token):
-                break
-        last.append(token)
-        width.append(length)
-
-    @staticmethod
-    def _back(last: list[int], width: list[int]) -> list[int]:
-        out, at = [], len(last)
-        while at:
-            out.append(last[at - 1])
-            at -= width[at - 1]
-        return out[::-1]
-
 
 class Encoder:
     """Texts to ids. Keeps what pieces between white space and words were encoded to."""
 
-    def __init__(self, vocabulary: Vocabulary, keep: int = 150_000):
+    def __init__(self, vocabulary: Vocabulary, keep: int = 120_000):
         self.v, self.trie, self.keep = vocabulary, Trie(vocabulary), keep
-        self.words: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        # Ids as 32-bit numbers one after the other: small to keep, and joined as they are.
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         """Pieces between white space; no word and no special string crosses any."""
@@ -192,8 +214,8 @@ class Encoder:
             out += [self.v.special[part]] if part in self.v.special else self._plain(part) if part else []
         return out
 
-    def batch(self, texts: list[str]) -> list[list[list[int]]]:
-        """Per text the ids of its pieces, one list per piece."""
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as 32-bit numbers."""
         split = [self.split(t) for t in texts]
         if len(self.pieces) > self.keep:
             self.pieces.clear()
@@ -201,43 +223,56 @@ class Encoder:
             self.words.clear()
         new = {p: self._words(p) for p in set(chain.from_iterable(split)) - self.pieces.keys()}
         unseen = {w for words in new.values() for w in words if isinstance(w, str)} - self.words.keys()
-        self.words.update(self.trie.encode(unseen))
+        for word, ids in self.trie.encode(unseen).items():
+            self.words[word] = array("i", ids).tobytes()
         known = self.words
         for piece, words in new.items():
-            ids: list[int] = []
-            for w in words:
-                ids += known[w] if isinstance(w, str) else [w]
-            self.pieces[piece] = ids
+            self.pieces[piece] = b"".join(
+                [known[w] if isinstance(w, str) else array("i", [w]).tobytes() for w in words]
+            )
         look = self.pieces.__getitem__
-        return [list(map(look, pieces)) for pieces in split]
+        return [b"".join(map(look, pieces)) for pieces in split]
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(tokenizer: str) -> Encoder:
+    """One encoder per Python worker, for all tasks that it runs."""
+    return Encoder(Vocabulary(tokenizer))
+
 
-    def decode(self, ids: list[int]) -> str:
-        """Tokens as text, parted by a space; the vocabulary names no other decoder."""
-        return " ".join([self.v.tokens[i] for i in ids])
+@lru_cache(maxsize=1)
+def token_texts(tokenizer: str) -> dict[int, str]:
+    """Tokens by id, one table per Python worker that decodes."""
+    return Vocabulary(tokenizer).tokens
 
 
 def encode(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = 512
+    docs: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decode: bool = False,
+    slice_rows: int = 512,
 ) -> DataFrame:
-    """id, ids: array<int>, of every row."""
+    """id, ids: array<int>, of every row; with ``decode`` also the text of the ids, ``decoded``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(tokenizer))
+        encoder = shared_encoder(tokenizer)
+        look = encoder.v.tokens.__getitem__
         for whole in batches:
             for at in range(0, whole.num_rows, slice_rows):  # ids take more room than texts
                 batch = whole.slice(at, slice_rows)
                 found = encoder.batch(batch.column("text").to_pylist())
-                sizes = np.array([sum(map(len, pieces)) for pieces in found], np.int64)
-                flat = np.fromiter(
-                    chain.from_iterable(chain.from_iterable(found)), np.int32, int(sizes.sum())
-                )
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), ids], names=["id", "ids"])
-
-    id_type = docs.schema[id_col].dataType.simpleString()
+                offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(found), np.int32)
+                columns = [batch.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+                if decode:
+                    columns.append(pa.array([" ".join(map(look, array("i", x))) for x in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][: len(columns)])
+
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>"
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, ids array<int>")
+    return rows.mapInArrow(run, schema + ", decoded string" * decode)
 
 
 def decoded(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -245,8 +280,7 @@ def decoded(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = Vocabulary(tokenizer).tokens
-        look = tokens.__getitem__
+        look = token_texts(tokenizer).__getitem__
         for ids in batches:
             yield pd.Series([" ".join(map(look, i.tolist())) for i in ids], dtype=object)
 

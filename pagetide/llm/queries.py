@@ -82,7 +82,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
-    found = bpe.decoded(bpe.encode(documents(spark, sf_dir), path), path)
+    found = bpe.encode(documents(spark, sf_dir), path, decode=True)
     return found.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -168,6 +168,8 @@ def test_bpe(spark, docs, empty):
         (r["id"], len(r["ids"]), brute.sha(" ".join(map(str, r["ids"]))), brute.sha(r["decoded"])) for r in found
     ]
     assert expect(mine) == expect(brute.op3(PAIRS))
+    once = {r["id"]: r["decoded"] for r in bpe.encode(docs, path, decode=True).collect()}
+    assert once == {r["id"]: r["decoded"] for r in found}
     assert bpe.encode(empty, path).count() == 0
 
 
