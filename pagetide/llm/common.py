@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pagetide.sources.tables import stored
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -73,3 +75,27 @@ def keep_by_verdict(docs: DataFrame, kept: DataFrame, id_col: str, key: Column)
     right = kept.select(F.col("_id").alias("r_id"), F.col("_key").alias("r_key"))
     match = marked[name_id].eqNullSafe(right["r_id"]) & (marked[name_key] == right["r_key"])
     return marked.join(right, match, "left_semi").select(*docs.columns)
+
+
+def keep_one(docs: DataFrame, kept: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """One row of ``docs`` per (id, key of the text) in ``kept(_id, _key, _n)``.
+
+    ``_n`` is the number of rows that match; a pair is in ``kept`` once. Of rows that differ in
+    other columns the one with the smallest hash stays.
+    """
+    kept = stored(kept)
+    once = keep_by_verdict(docs, kept.filter("_n = 1"), id_col, key)
+    many = kept.filter("_n > 1")
+    if many.isEmpty():
+        return once
+    mark = lambda i, k: F.sha2(F.concat_ws(":", k, i.cast("string")), 256)
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    rows = docs.select(
+        mark(F.col(id_col), key).alias("_mark"), F.xxhash64(*hashed).alias("_order"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+    )
+    many = stored(many.select(mark(F.col("_id"), F.col("_key")).alias("_mark"), "_n"))
+    # Repeats may be a large part of the table: the join is cut, the choice begins in each task.
+    found = join_counted(rows, many, ["_mark"], "_n", docs.count(), F.monotonically_increasing_id())
+    one = found.groupBy("_mark").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
+    return once.unionByName(one)
