@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pagetide.llm.common import join_counted, lower_ascii, text_of
+from pagetide.llm.license_texts import TEXTS
 from pagetide.sources.tables import stored
 
 #: Phrase and label.
@@ -56,6 +57,89 @@ TEMPLATES = {
 }
 K = 4
 MAX_GRAMS = 100_000
+#: Words of a passage of a whole text, at least; each passage is a template.
+PASSAGE = 80
+#: The clauses that follow the openings, and notices of further licenses.
+CLAUSES = {
+    "mit-warranty": "the software is provided as is without warranty of any kind express or implied including but not "
+    "limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event "
+    "shall the authors or copyright holders be liable for any claim damages or other liability whether in an action "
+    "of contract tort or otherwise arising from out of or in connection with the software or the use or other "
+    "dealings in the software",
+    "bsd-endorsement": "neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission",
+    "bsd-warranty": "this software is provided by the copyright holders and contributors as is and any express or "
+    "implied warranties including but not limited to the implied warranties of merchantability and fitness for a "
+    "particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any "
+    "direct indirect incidental special exemplary or consequential damages including but not limited to procurement "
+    "of substitute goods or services loss of use data or profits or business interruption however caused and on any "
+    "theory of liability whether in contract strict liability or tort including negligence or otherwise arising in "
+    "any way out of the use of this software even if advised of the possibility of such damage",
+    "isc-warranty": "the software is provided as is and the author disclaims all warranties with regard to this "
+    "software including all implied warranties of merchantability and fitness in no event shall the author be liable "
+    "for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use "
+    "data or profits whether in an action of contract negligence or other tortious action arising out of or in "
+    "connection with the use or performance of this software",
+    "lgpl-notice": "the terms of the gnu lesser general public license as",
+    "agpl-notice": "the terms of the gnu affero general public license as",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+    "publish use compile sell or distribute this software either in source code form or as a compiled binary for any "
+    "purpose commercial or non commercial and by any means",
+    "zlib": "permission is granted to anyone to use this software for any purpose including commercial applications and "
+    "to alter it and redistribute it freely subject to the following restrictions the origin of this software must not "
+    "be misrepresented you must not claim that you wrote the original software",
+    "boost": "distributed under the boost software license version 1 0",
+    "epl": "made available under the terms of the eclipse public license",
+}
+#: Creative Commons notices: every kind and version, by its short and by its long name.
+CC_KINDS = {
+    "by": "attribution", "by sa": "attribution sharealike", "by nd": "attribution noderivatives",
+    "by nc": "attribution noncommercial", "by nc sa": "attribution noncommercial sharealike",
+    "by nc nd": "attribution noncommercial noderivatives",
+}
+
+
+def _cc_notices() -> dict[str, str]:
+    out = {}
+    for kind, long in CC_KINDS.items():
+        for version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
+            forms = [
+                f"licensed under cc {kind} {version}", f"under a cc {kind} {version}", f"under the cc {kind} {version}",
+                f"license cc {kind} {version}", f"creativecommons org licenses {kind} {version}",
+                f"creative commons {long} {version}",
+            ]
+            out |= {f"cc-{kind} {version} {n}": form for n, form in enumerate(forms)}
+    return out | {
+        "cc-notice": "licensed under a creative commons", "cc-notice the": "licensed under the creative commons",
+        "cc-zero": "creativecommons org publicdomain zero 1 0", "cc-zero 1": "licensed under cc0 1 0",
+    }
+
+
+def with_passages(templates: dict[str, str], texts: dict[str, str], k: int = K, words: int = PASSAGE) -> dict[str, str]:
+    """``templates`` and the passages of ``texts``, which are cut into equal parts.
+
+    A passage most of whose groups of words belong to a template of another license already,
+    as GNU licenses share clauses, is left to that one.
+    """
+    grams = lambda text: {tuple(w[i : i + k]) for w in [text.split()] for i in range(len(w) - k + 1)}
+    out, owners = dict(templates), {}
+    for name, text in templates.items():
+        for g in grams(text):
+            owners.setdefault(g, name.split("-")[0])
+    for name, text in texts.items():
+        all_words, label = text.split(), name.split("-")[0]
+        parts = max(1, len(all_words) // words)
+        for n in range(parts):
+            passage = " ".join(all_words[n * len(all_words) // parts : (n + 1) * len(all_words) // parts])
+            own = grams(passage)
+            if 2 * sum(owners.get(g, label) != label for g in own) <= len(own):
+                out[f"{name} {n}"] = passage
+        for g in grams(text):
+            owners.setdefault(g, label)
+    return out
+
+
+TEMPLATES = with_passages(TEMPLATES | CLAUSES | _cc_notices(), TEXTS)
 #: Diagonals up to so far apart belong to one span.
 DRIFT = 3
 #: A span counts if it holds this share of its template's groups of words.
