@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagetide.llm import bpe, counts, exact, langid, licenses, packing, quality, secrets, simhash, urls
+from pagetide.llm import bpe, counts, exact, langid, licenses, negatives, packing, phrases, quality, rotations, secrets, simhash, urls
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -168,3 +168,87 @@ select c.page_id, host, path, rule,
        coalesce(fit.verdict, case when canonical in (select canonical from listed) then 'block' else 'allow' end) as verdict
 from c left join fit on c.page_id = fit.page_id
 """
+
+
+@register
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+SQL["op11_phrase_mining"] = r"""
+with pieces as (
+  select row_number() over () as piece, lang, words from (
+    select lang, list_filter(regexp_split_to_array(part, '[ \t]+'), lambda w: w <> '') as words from (
+      select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) as part
+      from documents))
+), grams as (
+  select lang, k as length, unnest([array_to_string(words[i:i + k - 1], ' ') for i in range(1, len(words) - k + 2)]) as phrase
+  from pieces, (select unnest([1, 2, 3, 4]) as k) where len(words) >= k
+), counts as (
+  select lang, length, phrase, count(*) as f, string_split(phrase, ' ') as words from grams group by all
+), sizes as (
+  select lang, sum(f) as n from counts where length = 1 group by lang
+), frequent as (
+  select * from counts where length > 1 and f >= 30
+), inner_parts as (
+  select lang, array_to_string(words[i:i + k - 1], ' ') as phrase, f
+  from (select lang, words, f, length, k, unnest(range(1, length - k + 2)) as i
+        from frequent, (select unnest([2, 3]) as k) where k < length)
+), candidates as (
+  select * from frequent c where not exists (
+    select 1 from inner_parts p where p.lang = c.lang and p.phrase = c.phrase and 100 * p.f::hugeint >= 80 * c.f::hugeint)
+), cuts as (
+  select lang, phrase, f as a, k, array_to_string(words[1:k], ' ') as head, array_to_string(words[k + 1:length], ' ') as tail
+  from (select *, unnest(range(1, length)) as k from candidates)
+), scored as (
+  select c.lang, c.phrase, c.a, c.k, h.f as l, t.f as r, (2000000 * c.a::hugeint) // (h.f::hugeint + t.f::hugeint) as score
+  from cuts c join counts h on h.lang = c.lang and h.phrase = c.head join counts t on t.lang = c.lang and t.phrase = c.tail
+), best as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best
+)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked join sizes using (lang) where rank <= 2000
+"""
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.mine(rows.withColumn("label", moved), anchor=F.col("vec_id") % 50 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+SQL["op12_hard_negatives"] = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+         list_inner_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+), positives as (
+  select * from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, p.other_id as positive_id,
+       row_number() over (partition by p.anchor_id, p.other_id order by q.score desc, q.other_id)::int as rank,
+       q.other_id as negative_id, p.score as positive_score, q.score as negative_score
+from positives p join pairs q on p.anchor_id = q.anchor_id and not q.same
+  and 50 * p.score <= 100 * q.score and 100 * q.score <= 95 * p.score
+qualify rank <= 3
+"""
+
+
+@register
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = rotations.near_vectors(rows, "vec_id", "embedding")
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")

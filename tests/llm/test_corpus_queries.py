@@ -35,10 +35,10 @@ def as_sorted(expected):
 
 def test_all_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
-@pytest.mark.parametrize("name", ["op6_exact_dedup", "op10_url_filter"])
+@pytest.mark.parametrize("name", ["op6_exact_dedup", "op10_url_filter", "op11_phrase_mining", "op12_hard_negatives"])
 def test_sql(spark, name):
     assert compare(QUERIES[name](spark, SF), connect(SF), SQL[name]) is None
 
