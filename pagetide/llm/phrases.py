@@ -1,12 +1,12 @@
 """Frequent word pairs, triples and quadruples of each language, scored as collocations.
 
-Stripes: a prefix of one to three words keys an associative counter of the words that follow
+Stripes: a prefix of none to three words keys an associative counter of the words that follow
 it. A task gathers the stripes of its texts, the stripes of a prefix are merged elementwise,
 and everything else is read off the merged stripes:
 
 - an entry is the count of an extension, i.e. of a longer phrase,
-- the sum of a stripe is the count of its prefix, since occurrences at the end of a piece, and
-  those whose next word is too rare to matter, have an entry of their own (next word null),
+- the total of a prefix is the entry of its last word in the stripe of the words before it (the
+  stripe of the empty prefix counts single words),
 - the largest entry of a stripe, and of all stripes that end alike but for their first word,
   says whether a phrase lies inside a longer one that is nearly as frequent. Counts never grow
   with length, so the longer phrases with one more word decide.
@@ -15,7 +15,8 @@ A phrase is frequent only if all its parts are, so the table is read three times
 then stripes of one word with frequent words only, then stripes of two and three words whose
 pairs are frequent. What is frequent reaches the tasks as one bit per hash. A hash that is set by
 chance only costs work, never a result, so the bits have a size that the input cannot exceed
-(``MOST_BITS``). The stripe of a common word is merged in ``SHARDS`` parts by its next words.
+(``MOST_BITS``). Stripes whose prefix begins with a very common word are merged in ``SHARDS`` parts
+by their next words; there are at most 4 * spark.sql.shuffle.partitions such words.
 
 Defined cases: a null text is an empty one, a null language is ``und``; repeated rows count as
 often as they occur; an empty table, or one without frequent phrases, gives no rows; other
@@ -33,7 +34,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from pagetide.llm.common import UPPER, join_counted, text_of
+from pagetide.llm.common import UPPER, join_counted, part_rows, text_of
 from pagetide.sources.tables import stored
 
 #: Characters that end a piece become full stops, white space within one becomes a blank.
@@ -99,6 +100,18 @@ class Words:
         return codes, begins, names
 
 
+def joined(texts: list[bytes]) -> Iterator[bytes]:
+    """Texts one after the other with breaks between them, about ``SLICE`` bytes at a time."""
+    waiting, size = [], 0
+    for text in texts:
+        waiting.append(text)
+        size += len(text)
+        if size >= SLICE:
+            yield BREAK.join(waiting)
+            waiting, size = [], 0
+    yield BREAK.join(waiting)
+
+
 def gather(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]:
     """Runs ``count(lang, codes, begins, names)`` over the words of (lang, text) rows."""
     by_lang: dict[str, Words] = {}
@@ -113,7 +126,7 @@ def gather(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]
         for lang in pc.unique(table["lang"]).to_pylist():
             texts = table.filter(pc.equal(table["lang"], lang))["text"].cast(pa.binary()).to_pylist()
             words = by_lang.setdefault(lang, Words(lang))
-            for text in [BREAK.join(texts)] if sum(map(len, texts)) < SLICE else texts:
+            for text in joined(texts):
                 for part in pieces_of(text):
                     words.add(part)
                     if words.size > GATHERED:
@@ -210,20 +223,20 @@ STRIPES = "lang string, prefix string, length int, shard int, nexts array<string
 
 
 def stripe_batch(
-    lang: str, prefix: np.ndarray, following: np.ndarray, spelled, words: pa.Array, shard: np.ndarray, length: int
+    lang: str, prefix: np.ndarray, following: np.ndarray, spelled, words: pa.Array, shard, length: int
 ) -> pa.RecordBatch:
-    """The stripes of occurrences: ``prefix`` by dense numbers, ``following`` by codes, 0 for none.
+    """The stripes of occurrences: ``prefix`` by dense numbers, ``following`` by codes.
 
-    ``spelled(numbers)`` gives the prefixes as text. An entry has a shard by its next word.
+    ``spelled(numbers)`` gives the prefixes as text, ``shard(numbers, codes)`` an entry's shard.
     """
     keys, counts = np.unique(prefix * len(words) + following, return_counts=True)
     owner, after = np.divmod(keys, len(words))
-    part = shard[after]
+    part = shard(owner, after)
     order = np.lexsort((part, owner))
     owner, after, part, counts = owner[order], after[order], part[order], counts[order]
     starts = np.flatnonzero(np.diff(owner, prepend=-1) | np.diff(part, prepend=-1))
     offsets = pa.array(np.append(starts, len(owner)).astype(np.int32))
-    nexts = words.take(pa.array(after, mask=after == 0))
+    nexts = words.take(pa.array(after))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([lang] * len(starts), pa.string()), spelled(owner[starts]),
@@ -234,21 +247,23 @@ def stripe_batch(
     )
 
 
-def stripes(rows: DataFrame, words: Bits, pairs: Bits | None) -> DataFrame:
-    """Stripes of one-word prefixes; with ``pairs`` those of two and three words instead."""
+def stripes(rows: DataFrame, words: Bits, hot: Bits, pairs: Bits | None) -> DataFrame:
+    """Stripes of one-word prefixes; with ``pairs`` those of two and three words instead.
+
+    ``words`` and ``pairs`` hold what is frequent, ``hot`` the words whose stripes are cut.
+    """
 
     def count(lang: str, codes: np.ndarray, begins: int, names: list[bytes]) -> Iterator[pa.RecordBatch]:
         hashes, text = hashes_of(lang, names), as_strings(names)
         known = words.holds(hashes)
         known[0] = False
-        shard = (hashes % np.uint64(SHARDS)).astype(np.int64)
-        shard[0] = 0
+        many, own = hot.holds(hashes), (hashes % np.uint64(SHARDS)).astype(np.int64)
         ok = known[codes]
         if pairs is None:
-            at = np.flatnonzero(ok[:begins])
-            following = np.where(ok[at + 1], codes[at + 1], 0)
+            at = np.flatnonzero(ok[:begins] & ok[1 : begins + 1])
             if len(at):
-                yield stripe_batch(lang, codes[at], following, lambda n: text.take(pa.array(n)), text, shard, 1)
+                shard = lambda n, after: np.where(many[n], own[after], 0)
+                yield stripe_batch(lang, codes[at], codes[at + 1], lambda n: text.take(pa.array(n)), text, shard, 1)
             return
         # Numbers of the frequent pairs at each place, 0 for none; then the same for triples.
         both = np.flatnonzero(ok[:-1] & ok[1:])
@@ -258,36 +273,35 @@ def stripes(rows: DataFrame, words: Bits, pairs: Bits | None) -> DataFrame:
         at_place = np.zeros(len(codes), np.int64)
         at_place[both] = pair
         spell = lambda *parts: pc.binary_join_element_wise(*[text.take(pa.array(p)) for p in parts], " ")
-        at = np.flatnonzero(at_place[:begins])
+        at = np.flatnonzero((at_place[:begins] > 0) & (at_place[1 : begins + 1] > 0))
         if not len(at):
             return
-        on = np.where(at_place[at + 1] > 0, codes[at + 2], 0)
-        yield stripe_batch(lang, at_place[at], on, lambda n: spell(first[n - 1], second[n - 1]), text, shard, 2)
-        at = at[on > 0]
+        shard = lambda n, after: np.where(many[first[n - 1]], own[after], 0)
+        spelled = lambda n: spell(first[n - 1], second[n - 1])
+        yield stripe_batch(lang, at_place[at], codes[at + 2], spelled, text, shard, 2)
+        at = at[at_place[at + 2] > 0]
         if not len(at):
             return
         triple, number = np.unique(at_place[at] * (len(keys) + 1) + at_place[at + 1], return_inverse=True)
         left, right = np.divmod(triple, len(keys) + 1)
-        on = np.where(at_place[at + 2] > 0, codes[at + 3], 0)
+        shard = lambda n, after: np.where(many[first[left[n] - 1]], own[after], 0)
         spelled = lambda n: spell(first[left[n] - 1], second[left[n] - 1], second[right[n] - 1])
-        yield stripe_batch(lang, number, on, spelled, text, shard, 3)
+        yield stripe_batch(lang, number, codes[at + 3], spelled, text, shard, 3)
 
     return rows.mapInArrow(lambda b: gather(b, count), STRIPES)
 
 
 def merged(parts: DataFrame, least: int) -> DataFrame:
-    """lang, prefix, length, next, n: stripes added up elementwise.
+    """lang, prefix, length, next, n: stripes added up elementwise, their entries from ``least`` on.
 
-    Entries below ``least`` are added to the entry without a next word, which a prefix may have
-    once per shard. The stripes are dealt out by prefix and shard once; both sums keep to that.
+    The stripes are dealt out by prefix and shard; the sums keep to that.
     """
     keys = ["lang", "prefix", "length", "shard"]
     entries = parts.repartition(*[F.col(k) for k in keys]).select(
         *keys, F.explode(F.arrays_zip("nexts", "counts")).alias("e")
     )
     entries = entries.groupBy(*keys, F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
-    kept = F.when(F.col("n") >= least, F.col("next")).alias("next")
-    return entries.groupBy(*keys, kept).agg(F.sum("n").alias("n")).drop("shard")
+    return entries.filter(F.col("n") >= least).drop("shard")
 
 
 # ---------------------------------------------------------------- phrases
@@ -337,12 +351,15 @@ def collocations(
     """
     rows = texts(docs, lang_col, text_col)
     words = stored(word_counts(rows))
-    frequent = bits_of(words.filter(F.col("n") >= least), ["word"])
-    one = stored(merged(stripes(rows, frequent, None), least))
-    pairs = bits_of(one.filter("next is not null"), ["prefix", "next"])
-    more = stored(merged(stripes(rows, frequent, pairs), least))
-
-    entries = one.union(more).filter("next is not null")
+    single = words.filter(F.col("n") >= least)
+    frequent = bits_of(single, ["word"])
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = bits_of(words.filter(F.col("n") > part_rows(docs.sparkSession, total)), ["word"])
+    one = stored(merged(stripes(rows, frequent, hot, None), least))
+    pairs = bits_of(one, ["prefix", "next"])
+    more = stored(merged(stripes(rows, frequent, hot, pairs), least))
+
+    entries = one.union(more)
     longer = entries.select("lang", "prefix", phrase().alias("phrase"), F.col("n").alias("a"), (F.col("length") + 1).alias("length"))
     longer = stored(longer)
     around = longer.filter("length > 2")
@@ -354,7 +371,9 @@ def collocations(
     open_ = F.col("covered").isNull() | (hundred("covered", 100) < hundred("a", inside))
     candidates = stored(longer.join(covers, ["lang", "phrase"], "left").filter(open_).select("lang", "phrase", "a", "length"))
 
-    totals = one.union(more).groupBy("lang", F.col("prefix").alias("part")).agg(F.sum("n").alias("f"))
+    totals = single.select("lang", F.col("word").alias("part"), F.col("n").alias("f")).union(
+        longer.filter(F.col("length") < LONGEST).select("lang", "phrase", "a")
+    )
     best = scored(candidates, totals)
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     found = candidates.drop("length").join(best, ["lang", "phrase"])
