@@ -11,9 +11,9 @@ and everything else is read off the merged stripes:
   says whether a phrase lies inside a longer one that is nearly as frequent. Counts never grow
   with length, so the longer phrases with one more word decide.
 
-A phrase is frequent only if all its parts are, so the table is read three times: words first,
-then stripes of one word with frequent words only, then stripes of two and three words whose
-pairs are frequent. What is frequent reaches the tasks as one bit per hash. A hash that is set by
+A phrase is frequent only if all its parts are, so the table is read once per length: words
+first, then stripes of one word with frequent words only, then those of two words whose pairs are
+frequent, then those of three. What is frequent reaches the tasks as one bit per hash. A hash that is set by
 chance only costs work, never a result, so the bits have a size that the input cannot exceed
 (``MOST_BITS``). Stripes whose prefix begins with a very common word are merged in ``SHARDS`` parts
 by their next words; there are at most 4 * spark.sql.shuffle.partitions such words.
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -170,7 +171,7 @@ def hashes_of(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seed) for w in words), np.uint64, len(words))
 
 
-def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def joint_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     mixed = (first * np.uint64(0x9E3779B97F4A7C15)) ^ ((second << np.uint64(31)) | (second >> np.uint64(33)))
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -190,8 +191,8 @@ class Bits:
         return {"bits": self.bits, "shared": self.shared}
 
 
-def bits_of(found: DataFrame, names: list[str]) -> Bits:
-    """The filter of ``found(lang, *names)``: words, or pairs of words."""
+def bits_of(found: DataFrame) -> Bits:
+    """The filter of the phrases in ``found(lang, phrase)``, of any length."""
     spark = found.sparkSession
     bits = min(MOST_BITS, max(15, (32 * found.count()).bit_length()))
 
@@ -199,13 +200,12 @@ def bits_of(found: DataFrame, names: list[str]) -> Bits:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             for lang in pc.unique(table["lang"]).to_pylist():
-                own = table.filter(pc.equal(table["lang"], lang))
-                parts = [hashes_of(lang, own[n].cast(pa.binary()).to_pylist()) for n in names]
-                of = pair_hash(*parts) if len(parts) > 1 else parts[0]
+                own = table.filter(pc.equal(table["lang"], lang))["phrase"].cast(pa.binary()).to_pylist()
+                of = reduce(joint_hash, (hashes_of(lang, list(words)) for words in zip(*(p.split(b" ") for p in own))))
                 place = (of >> np.uint64(64 - bits)).astype(np.int64) + 1  # the functions count from 1
                 yield pa.RecordBatch.from_arrays([pa.array(place)], names=["place"])
 
-    placed = found.select("lang", *names).mapInArrow(places, "place bigint")
+    placed = found.select("lang", "phrase").mapInArrow(places, "place bigint")
     blocks = placed.groupBy(F.bitmap_bucket_number("place").alias("block")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")
     )
@@ -247,46 +247,34 @@ def stripe_batch(
     )
 
 
-def stripes(rows: DataFrame, words: Bits, hot: Bits, pairs: Bits | None) -> DataFrame:
-    """Stripes of one-word prefixes; with ``pairs`` those of two and three words instead.
+def stripes(rows: DataFrame, held: list[Bits], hot: Bits) -> DataFrame:
+    """Stripes of prefixes of ``len(held)`` words.
 
-    ``words`` and ``pairs`` hold what is frequent, ``hot`` the words whose stripes are cut.
+    ``held[k]`` tells which phrases of k + 1 words are frequent; an occurrence is looked at if those
+    it begins and ends with are. ``hot`` holds the words whose stripes are cut.
     """
 
     def count(lang: str, codes: np.ndarray, begins: int, names: list[bytes]) -> Iterator[pa.RecordBatch]:
         hashes, text = hashes_of(lang, names), as_strings(names)
-        known = words.holds(hashes)
-        known[0] = False
-        many, own = hot.holds(hashes), (hashes % np.uint64(SHARDS)).astype(np.int64)
-        ok = known[codes]
-        if pairs is None:
-            at = np.flatnonzero(ok[:begins] & ok[1 : begins + 1])
-            if len(at):
-                shard = lambda n, after: np.where(many[n], own[after], 0)
-                yield stripe_batch(lang, codes[at], codes[at + 1], lambda n: text.take(pa.array(n)), text, shard, 1)
-            return
-        # Numbers of the frequent pairs at each place, 0 for none; then the same for triples.
-        both = np.flatnonzero(ok[:-1] & ok[1:])
-        keys, pair = np.unique(codes[both] * len(names) + codes[both + 1], return_inverse=True)
-        first, second = np.divmod(keys, len(names))
-        pair = np.where(pairs.holds(pair_hash(hashes[first], hashes[second]))[pair], pair + 1, 0)
-        at_place = np.zeros(len(codes), np.int64)
-        at_place[both] = pair
-        spell = lambda *parts: pc.binary_join_element_wise(*[text.take(pa.array(p)) for p in parts], " ")
-        at = np.flatnonzero((at_place[:begins] > 0) & (at_place[1 : begins + 1] > 0))
-        if not len(at):
-            return
-        shard = lambda n, after: np.where(many[first[n - 1]], own[after], 0)
-        spelled = lambda n: spell(first[n - 1], second[n - 1])
-        yield stripe_batch(lang, at_place[at], codes[at + 2], spelled, text, shard, 2)
-        at = at[at_place[at + 2] > 0]
-        if not len(at):
-            return
-        triple, number = np.unique(at_place[at] * (len(keys) + 1) + at_place[at + 1], return_inverse=True)
-        left, right = np.divmod(triple, len(keys) + 1)
-        shard = lambda n, after: np.where(many[first[left[n] - 1]], own[after], 0)
-        spelled = lambda n: spell(first[left[n] - 1], second[left[n] - 1], second[right[n] - 1])
-        yield stripe_batch(lang, number, codes[at + 3], spelled, text, shard, 3)
+        own = (hashes % np.uint64(SHARDS)).astype(np.int64)
+        # Of the phrases of n words: the number of that at each place, and whether it may be
+        # frequent; by number its words and its hash.
+        fine = held[0].holds(hashes)
+        fine[0] = False
+        number, fits, words, of = codes, fine[codes], [np.arange(len(names))], hashes
+        for n, bits in enumerate(held[1:], 2):
+            at = np.flatnonzero(fits[:-1] & fits[1:])
+            keys, place = np.unique(number[at] * len(names) + codes[at + n - 1], return_inverse=True)
+            left, right = np.divmod(keys, len(names))
+            words, of = [*(w[left] for w in words), right], joint_hash(of[left], hashes[right])
+            number, fits = np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+            number[at], fits[at] = place, bits.holds(of)[place]
+        at = np.flatnonzero(fits[:begins] & fits[1 : begins + 1])
+        if len(at):
+            cut = hot.holds(hashes)[words[0]]
+            shard = lambda n, after: np.where(cut[n], own[after], 0)
+            spelled = lambda n: pc.binary_join_element_wise(*[text.take(pa.array(w[n])) for w in words], " ")
+            yield stripe_batch(lang, number[at], codes[at + len(held)], spelled, text, shard, len(held))
 
     return rows.mapInArrow(lambda b: gather(b, count), STRIPES)
 
@@ -352,16 +340,15 @@ def collocations(
     rows = texts(docs, lang_col, text_col)
     words = stored(word_counts(rows))
     single = words.filter(F.col("n") >= least)
-    frequent = bits_of(single, ["word"])
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = bits_of(words.filter(F.col("n") > part_rows(docs.sparkSession, total)), ["word"])
-    one = stored(merged(stripes(rows, frequent, hot, None), least))
-    pairs = bits_of(one, ["prefix", "next"])
-    more = stored(merged(stripes(rows, frequent, hot, pairs), least))
-
-    entries = one.union(more)
-    longer = entries.select("lang", "prefix", phrase().alias("phrase"), F.col("n").alias("a"), (F.col("length") + 1).alias("length"))
-    longer = stored(longer)
+    hot = bits_of(words.filter(F.col("n") > part_rows(docs.sparkSession, total)).select("lang", F.col("word").alias("phrase")))
+    found, held = [single.select("lang", F.lit("").alias("prefix"), F.col("word").alias("phrase"), F.col("n").alias("a"), F.lit(1).alias("length"))], []
+    for length in range(2, LONGEST + 1):
+        held.append(bits_of(found[-1]))
+        entries = merged(stripes(rows, held, hot), least)
+        found.append(stored(entries.select("lang", "prefix", phrase().alias("phrase"), F.col("n").alias("a"), F.lit(length).alias("length"))))
+
+    longer = reduce(DataFrame.union, found[1:])
     around = longer.filter("length > 2")
     covers = around.select("lang", F.col("prefix").alias("phrase"), "a").union(
         around.select("lang", F.expr("substr(phrase, instr(phrase, ' ') + 1)").alias("phrase"), "a")
@@ -371,9 +358,7 @@ def collocations(
     open_ = F.col("covered").isNull() | (hundred("covered", 100) < hundred("a", inside))
     candidates = stored(longer.join(covers, ["lang", "phrase"], "left").filter(open_).select("lang", "phrase", "a", "length"))
 
-    totals = single.select("lang", F.col("word").alias("part"), F.col("n").alias("f")).union(
-        longer.filter(F.col("length") < LONGEST).select("lang", "phrase", "a")
-    )
+    totals = reduce(DataFrame.union, found[:-1]).select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))
     best = scored(candidates, totals)
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     found = candidates.drop("length").join(best, ["lang", "phrase"])
