@@ -8,8 +8,8 @@ a word's end gives its tokens. Words that begin alike share these states, so the
 words of a batch are put into a trie and each of its nodes is worked out once, depth first.
 
 Texts are handled where they are read: nothing is shuffled. A task keeps the encodings it has
-found for the next batch, up to a bound, and starts anew beyond it; results never depend on
-what is kept.
+found, with their text, for the next batch, in two generations of bounded size; results never
+depend on what is kept.
 
 Defined cases: a null text is an empty one: no tokens, empty decoded text. Special strings of
 the vocabulary inside a text are single tokens. Repeated rows give repeated results.
@@ -60,11 +60,9 @@ class Vocabulary:
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.byte = {b: c for c, b in byte_symbols().items()}
 
-    def symbols(self, word: str) -> list[str]:
-        """The word's bytes as symbols, the last marked as the word's end."""
-        shown = list(word) if word.isascii() and word.isprintable() else [self.byte[b] for b in word.encode()]
-        shown[-1] += self.end
-        return shown
+    def shown(self, word: str) -> str:
+        """The word's bytes as symbols, one character each; the last is yet to be marked as the word's end."""
+        return word if word.isascii() and word.isprintable() else "".join([self.byte[b] for b in word.encode()])
 
     def merged(self, ids: list[int]) -> list[int]:
         """Plain merging, lowest rank first, of a short list of tokens."""
@@ -90,13 +88,23 @@ class Vocabulary:
         return [self.ids[s] for s in shown]
 
 
+NEVER = 1 << 62
+
+
 class Trie:
-    """Encodes words; see the module's description. A node is (last token, its length)."""
+    """Encodes words; see the module's description.
+
+    The trie of the words is walked depth first by taking the words in order: what a word
+    shares with the one before it is the path that both have in the trie, and its states stay.
+    """
 
     def __init__(self, vocabulary: Vocabulary, keep: int = 300_000):
         self.v, self.keep = vocabulary, keep
         self.together: dict[int, bool] = {}
-        self.whole: dict[int, bool] = {}
+        # How a token comes about: its two parts, the rank of the merge; None if its text is
+        # not encoded as the token.
+        self.made: dict[int, tuple[int, int, int] | None] = {}
+        self.plain: dict[int, bool] = {}
         # The tokens as a trie of their symbols; "" holds the token that ends at a node.
         self.tokens: dict = {}
         for token in vocabulary.ids.values():
@@ -105,94 +113,164 @@ class Trie:
                 node = node.setdefault(vocabulary.tokens[part], {})
             node[""] = token
 
+    def made_of(self, token: int) -> tuple[int, int, int] | None:
+        if token not in self.made:
+            ids, last = self.v.parts(token), (-1, -1, -1)
+            while len(ids) > 1:
+                best = min(
+                    ((m[0], i, m[1]) for i in range(len(ids) - 1) if (m := self.v.merges.get((ids[i], ids[i + 1])))),
+                    default=None,
+                )
+                if best is None:
+                    break
+                rank, i, joined = best
+                last = (ids[i], ids[i + 1], rank)
+                ids[i : i + 2] = [joined]
+            self.made[token] = last if ids == [token] else None
+        return self.made[token]
+
+    def ordered(self, token: int) -> bool:
+        """Whether each merge of the token has a higher rank than those of its parts."""
+        known = self.plain.get(token)
+        if known is None:
+            left, right, rank = self.made_of(token)
+            known = left < 0 or all(
+                self.made_of(p) is not None and self.made_of(p)[2] < rank and self.ordered(p) for p in (left, right)
+            )
+            self.plain[token] = known
+        return known
+
+    def edge(self, token: int, right: bool) -> list[tuple[int, int]]:
+        """What stands at a token's end while it is merged, from its symbol on, and the rank that ends it."""
+        out, after = [], NEVER
+        while True:
+            out.append((token, after))
+            made = self.made_of(token)
+            if made[0] < 0:
+                return out[::-1]
+            token, after = made[1 if right else 0], made[2]
+
     def may_meet(self, left: int, right: int) -> bool:
-        """Whether the two tokens stay as they are where they stand next to each other."""
+        """Whether the two tokens stay as they are where they stand next to each other.
+
+        They do unless the pair at the boundary is merged before one of it is merged away. Of
+        merges of one rank the leftmost comes first.
+        """
         pair = left << 32 | right
         known = self.together.get(pair)
         if known is None:
             if len(self.together) > self.keep:
                 self.together.clear()
-            known = self.v.merged(self.v.parts(left) + self.v.parts(right)) == [left, right]
-            self.together[pair] = known
+            known = self.together[pair] = self._may_meet(left, right)
         return known
 
+    def _may_meet(self, left: int, right: int) -> bool:
+        if self.made_of(left) is None or self.made_of(right) is None:
+            return False
+        if not (self.ordered(left) and self.ordered(right)):
+            return self.v.merged(self.v.parts(left) + self.v.parts(right)) == [left, right]
+        before, after, merges = self.edge(left, True), self.edge(right, False), self.v.merges
+        i = j = 0
+        while True:
+            (x, x_ends), (y, y_ends) = before[i], after[j]
+            met = merges.get((x, y))
+            if met is not None and met[0] < x_ends and met[0] <= y_ends:
+                return False
+            if x_ends == NEVER and y_ends == NEVER:
+                return True
+            if x_ends <= y_ends:
+                i += 1
+            else:
+                j += 1
+
     def stays(self, token: int) -> bool:
         """Whether the token's own text is encoded as the token."""
-        known = self.whole.get(token)
-        if known is None:
-            known = self.whole[token] = self.v.merged(self.v.parts(token)) == [token]
-        return known
+        return self.made_of(token) is not None
 
     def encode(self, words: set[str]) -> dict[str, list[int]]:
         """Encodings of the words, none of them empty."""
-        root: dict = {}
-        longest = 0
-        for word in words:
-            node, symbols = root, self.v.symbols(word)
-            longest = max(longest, len(symbols))
-            for symbol in symbols:
-                try:
-                    node = node[symbol]
-                except KeyError:
-                    below: dict = {}
-                    node[symbol] = below
-                    node = below
-            node[""] = word
         out: dict[str, list[int]] = {}
-        # Depth first, with the states of the path in arrays that are written over: the last
-        # token, where it starts, and the starts from which a token may still go on.
+        order = sorted((self.v.shown(w), w) for w in words)
+        longest = max((len(s) for s, _ in order), default=0)
+        # The states of the path: the last token, where it starts, and the starts from which a
+        # token may still go on.
         last, begin = [0] * longest, [0] * longest
         going: list[list] = [[]] * (longest + 1)
-        met, first = self.together, self.tokens
-        stack = [(0, symbol, node) for symbol, node in root.items()]
-        while stack:
-            depth, symbol, node = stack.pop()
-            found, ongoing = -1, []
-            # Of the tokens that end here, the longest that may follow what stands before it.
-            for start, state in going[depth]:
-                below = state.get(symbol)
-                if below is None:
-                    continue
-                ongoing.append((start, below))
-                if found < 0 and "" in below:
-                    token = below[""]
-                    if start:
-                        left = last[start - 1]
-                        fits = met.get(left << 32 | token)
-                        if fits is None:
-                            fits = self.may_meet(left, token)
-                    else:
-                        fits = self.stays(token)
-                    if fits:
-                        found = start
-                        last[depth] = token
-            alone = first[symbol]
-            ongoing.append((depth, alone))
-            if found < 0:
-                found = depth
-                last[depth] = alone[""]
-            begin[depth] = found
-            going[depth + 1] = ongoing
-            for key, below in node.items():
-                if key:
-                    stack.append((depth + 1, key, below))
-                else:
-                    ids, at = [], depth
-                    while at >= 0:
-                        ids.append(last[at])
-                        at = begin[at] - 1
-                    out[below] = ids[::-1]
+        met, first, end = self.together, self.tokens, self.v.end
+        path, known = "", 0
+        for shown, word in order:
+            top = len(shown) - 1
+            shared = min(known, top)
+            while not shown.startswith(path[:shared]):
+                shared -= 1
+            for depth in range(shared, top + 1):
+                symbol = shown[depth] if depth < top else shown[depth] + end
+                found, ongoing = -1, []
+                # Of the tokens that end here, the longest that may follow what stands before it.
+                for start, state in going[depth]:
+                    below = state.get(symbol)
+                    if below is None:
+                        continue
+                    ongoing.append((start, below))
+                    if found < 0 and "" in below:
+                        token = below[""]
+                        if start:
+                            left = last[start - 1]
+                            fits = met.get(left << 32 | token)
+                            if fits is None:
+                                fits = self.may_meet(left, token)
+                        else:
+                            fits = self.stays(token)
+                        if fits:
+                            found = start
+                            last[depth] = token
+                alone = first[symbol]
+                ongoing.append((depth, alone))
+                if found < 0:
+                    found = depth
+                    last[depth] = alone[""]
+                begin[depth] = found
+                going[depth + 1] = ongoing
+            ids, at = [], top
+            while at >= 0:
+                ids.append(last[at])
+                at = begin[at] - 1
+            out[word] = ids[::-1]
+            path, known = shown, top  # the last symbol was marked as the word's end
         return out
 
 
+class Kept(dict):
+    """A cache in two generations: what was not used for a while goes, the rest stays."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def missing(self, keys: set) -> list:
+        """The keys that neither generation has; the others are made young again."""
+        new, old = [], self.old
+        for key in keys - self.keys():
+            found = old.get(key)
+            if found is None:
+                new.append(key)
+            else:
+                self[key] = found
+        return new
+
+
 class Encoder:
     """Texts to ids. Keeps what pieces between white space and words were encoded to."""
 
-    def __init__(self, vocabulary: Vocabulary, keep: int = 120_000):
-        self.v, self.trie, self.keep = vocabulary, Trie(vocabulary), keep
-        # Ids as 32-bit numbers one after the other: small to keep, and joined as they are.
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+    def __init__(self, vocabulary: Vocabulary, keep: int = 100_000):
+        self.v, self.trie = vocabulary, Trie(vocabulary)
+        # Ids as 32-bit numbers one after the other, and their text.
+        self.words, self.pieces = Kept(keep), Kept(keep)
 
     def split(self, text: str) -> list[str]:
         """Pieces between white space; no word and no special string crosses any."""
@@ -214,24 +292,26 @@ class Encoder:
             out += [self.v.special[part]] if part in self.v.special else self._plain(part) if part else []
         return out
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as 32-bit numbers."""
+    def _kept(self, ids: list[int]) -> tuple[bytes, str]:
+        return array("i", ids).tobytes(), " ".join([self.v.tokens[i] for i in ids])
+
+    def batch(self, texts: list[str]) -> list[list[tuple[bytes, str]]]:
+        """The ids of each text, as 32-bit numbers, and their text, piece by piece."""
         split = [self.split(t) for t in texts]
-        if len(self.pieces) > self.keep:
-            self.pieces.clear()
-        if len(self.words) > self.keep:
-            self.words.clear()
-        new = {p: self._words(p) for p in set(chain.from_iterable(split)) - self.pieces.keys()}
-        unseen = {w for words in new.values() for w in words if isinstance(w, str)} - self.words.keys()
-        for word, ids in self.trie.encode(unseen).items():
-            self.words[word] = array("i", ids).tobytes()
+        self.pieces.turn()
+        self.words.turn()
+        new = {p: self._words(p) for p in self.pieces.missing(set(chain.from_iterable(split)))}
+        unseen = {w for words in new.values() for w in words if isinstance(w, str)}
+        for word, ids in self.trie.encode(set(self.words.missing(unseen))).items():
+            self.words[word] = self._kept(ids)
         known = self.words
         for piece, words in new.items():
-            self.pieces[piece] = b"".join(
-                [known[w] if isinstance(w, str) else array("i", [w]).tobytes() for w in words]
-            )
+            parts = [known[w] if isinstance(w, str) else self._kept([w]) for w in words]
+            self.pieces[piece] = parts[0] if len(parts) == 1 else (
+                b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+            )
         look = self.pieces.__getitem__
-        return [b"".join(map(look, pieces)) for pieces in split]
+        return [list(map(look, pieces)) for pieces in split]
 
 
 @lru_cache(maxsize=1)
@@ -258,16 +338,16 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer)
-        look = encoder.v.tokens.__getitem__
         for whole in batches:
             for at in range(0, whole.num_rows, slice_rows):  # ids take more room than texts
                 batch = whole.slice(at, slice_rows)
                 found = encoder.batch(batch.column("text").to_pylist())
-                offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(found), np.int32)
+                ids = [b"".join([p[0] for p in pieces]) for pieces in found]
+                offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids), np.int32)
                 columns = [batch.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
                 if decode:
-                    columns.append(pa.array([" ".join(map(look, array("i", x))) for x in found], pa.string()))
+                    columns.append(pa.array([" ".join([p[1] for p in pieces if p[1]]) for pieces in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][: len(columns)])
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>"

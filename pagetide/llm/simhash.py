@@ -133,36 +133,29 @@ PAIR = ["trie", "a", "b", "depth", "diff"]
 
 
 def _take_apart(rows: DataFrame, budget: int) -> DataFrame:
-    """The pairs of nodes STEP levels below, those within the budget."""
+    """The pairs of nodes STEP levels below that exist and are within the budget."""
     masks = [m for m in range(1 << STEP) if m.bit_count() <= budget]
-    deeper = rows.withColumn("own", F.shiftrightunsigned("leaf", 0))
-    at = F.expr(f"shiftrightunsigned(leaf, {BITS} - depth - {STEP})")
-    node = F.shiftrightunsigned(at, STEP)
-    # A leaf below ``a`` meets the partners of its node below ``b``, and the reverse.
-    side_a, side_b = node == F.col("a"), node == F.col("b")
-    low = at.bitwiseAND(F.lit((1 << STEP) - 1))
-    parts = []
-    for m in masks:
-        other = low.bitwiseXOR(F.lit(m))
-        from_a = F.struct(
-            at.alias("na"), F.shiftleft("b", STEP).bitwiseOR(other).alias("nb"), F.lit(m.bit_count()).alias("more")
-        )
-        from_b = F.struct(
-            F.shiftleft("a", STEP).bitwiseOR(other).alias("na"), at.alias("nb"), F.lit(m.bit_count()).alias("more")
-        )
-        parts += [F.when(side_a, from_a), F.when(side_b, from_b)]
-    same = F.col("a") == F.col("b")
-    return (
-        deeper.select("fp", "trie", "leaf", "depth", "diff", same.alias("same"), F.explode(F.array(*parts)).alias("p"))
-        .filter(F.col("p").isNotNull() & (F.col("diff") + F.col("p.more") <= budget))
-        .select(
-            "fp", "trie", "leaf",
-            F.when(F.col("same"), F.least("p.na", "p.nb")).otherwise(F.col("p.na")).alias("a"),
-            F.when(F.col("same"), F.greatest("p.na", "p.nb")).otherwise(F.col("p.nb")).alias("b"),
-            (F.col("depth") + STEP).alias("depth"), (F.col("diff") + F.col("p.more")).alias("diff"),
-        )
-        .distinct()
+    rows = rows.withColumn("kid", F.expr(f"shiftrightunsigned(leaf, {BITS} - depth - {STEP})"))
+    kids = rows.select(*PAIR, "kid").distinct()
+    parent = F.shiftrightunsigned("kid", STEP)
+    low = F.col("kid").bitwiseAND(F.lit((1 << STEP) - 1))
+    partners = F.transform(
+        F.lit(masks), lambda m: F.struct(F.shiftleft("b", STEP).bitwiseOR(low.bitwiseXOR(m)).alias("nb"), F.bit_count(m).alias("more"))
     )
+    below_a = kids.filter(parent == F.col("a")).select(*PAIR, F.col("kid").alias("na"), F.inline(partners))
+    below_b = kids.filter(parent == F.col("b")).select(*PAIR, F.col("kid").alias("nb"))
+    same = F.col("a") == F.col("b")
+    pairs = below_a.filter(F.col("diff") + F.col("more") <= budget).join(below_b, [*PAIR, "nb"]).select(
+        *PAIR, "more",
+        F.when(same, F.least("na", "nb")).otherwise(F.col("na")).alias("na"),
+        F.when(same, F.greatest("na", "nb")).otherwise(F.col("nb")).alias("nb"),
+    )
+    # A leaf goes to every pair that its own node is part of.
+    sides = pairs.select(*PAIR, "more", "na", "nb", F.explode(F.array("na", "nb")).alias("kid")).distinct()
+    return rows.join(sides, [*PAIR, "kid"]).select(
+        "fp", "trie", "leaf", F.col("na").alias("a"), F.col("nb").alias("b"),
+        (F.col("depth") + STEP).alias("depth"), (F.col("diff") + F.col("more")).alias("diff"),
+    )
 
 
 class Trie:

@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from test_pipeline_whole import groups  # noqa: E402
+
 from pagetide.llm import (  # noqa: E402
     bpe,
     components,
@@ -452,10 +454,30 @@ def test_pipeline_against_brute_force(spark):
     for d, t in kept:
         last[t] = max(d, last.get(t, d))
     kept = [(d, t) for d, t in kept if last[t] == d]
-    kept = [(d, t) for (d, t), (_, _, c) in zip(sorted(kept), brute.op8(kept)) if d == c]
+    kept.sort()
+    first, _ = groups([t for _, t in kept])
+    kept = [row for k, row in enumerate(kept) if first[k] == k]
     assert sorted(found) == sorted(d for d, _ in kept)
     spans = {d: joined for d, *_, joined in brute.op7(kept)}
     clean = [(d, t) for d, t in kept if not spans[d] and len(t) < 5000]
     for d, piece, start, length, crc in brute.op2_pieces(clean):
         row = next(r for r in found[d] if r["piece"] == piece)
         assert (row["start"], row["length"], row["ids_crc32"]) == (start, length, crc)
+
+
+def test_may_meet_is_merging():
+    """The test on merge trees says what merging the two tokens anew says."""
+    trie = bpe.Trie(bpe.Vocabulary(queries.tokenizer("word_bpe_49k.json")))
+    rng = random.Random(3)
+    tokens = [t for t in trie.v.ids.values() if not trie.v.tokens[t].endswith(trie.v.end)]
+    ends = list(trie.v.ids.values())
+    pairs = [(rng.choice(tokens), rng.choice(ends)) for _ in range(4000)]
+    for token in rng.sample(ends, 1500):  # where a token might be cut, and its neighbours
+        parts = trie.v.parts(token)
+        for cut in range(1, len(parts)):
+            left, right = trie.v.merged(parts[:cut]), trie.v.merged(parts[cut:])
+            pairs.append((left[-1], right[0]))
+    told = [trie.may_meet(a, b) for a, b in pairs]
+    assert told == [trie.v.merged(trie.v.parts(a) + trie.v.parts(b)) == [a, b] for a, b in pairs]
+    assert 0 < sum(told) < len(told)
+    assert sum(trie.made_of(t) is not None and trie.ordered(t) for t in ends) > 0.9 * len(ends)
