@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetide.functions.scalars import date_lit
-from pagetide.plans.skew import skew_join
+from pagetide.plans.skew import parts_of, skew_join
 
 UNKNOWN_ORIGIN = date(1900, 1, 1)
 
@@ -55,19 +55,77 @@ def filter_text_any(
 ) -> DataFrame:
     """Rows whose text holds any of the substrings, a list or a table of one column.
 
-    An empty list or table keeps all rows. A table is compared row by row, so it should be a
-    short one; a row is kept once however many of its substrings match.
+    An empty list or table keeps all rows; nulls in a table do not count. A row is kept once
+    however many substrings match. A table may be long: see ``matched_texts``.
     """
     if isinstance(substrings, DataFrame):
-        parts = substrings.select(F.col(substrings.columns[0]).alias("_part")).filter("_part is not null").distinct()
-        if parts.isEmpty():
-            return df
-        hit = F.ilike(F.coalesce(F.col(name), F.lit("")), F.concat(F.lit("%"), F.col("_part"), F.lit("%")))
-        return df.join(parts, hit, "left_semi")
+        parts = substrings.select(F.col(substrings.columns[0]).cast("string").alias("_part"))
+        texts = df.select(F.coalesce(F.col(name), F.lit("")).alias("_text")).distinct()
+        kept = matched_texts(texts, parts.filter("_part is not null").distinct())
+        marked = df.withColumn("_text", F.coalesce(F.col(name), F.lit("")))
+        return skew_join(marked, kept, ["_text"], "left_semi").select(*df.columns)
     substrings = list(substrings or [])
     return df.filter(text_matches(F.col(name), substrings)) if substrings else df
 
 
+#: Letters of the longest gram a substring is looked up by.
+GRAM = 3
+
+
+def _grams(text: Column, n: Column) -> Column:
+    """The pieces of ``n`` characters of a text; none if it is shorter."""
+    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+    return F.when((n > 0) & (F.length(text) >= n), F.transform(starts, lambda i: F.substring(text, i, n))).otherwise(F.array())
+
+
+def _patterns(parts: DataFrame) -> DataFrame:
+    """_part, _n, _grams, _wild: the grams a text must hold for ``_part`` to match.
+
+    ``_n`` is the length of the grams, GRAM or that of the longest literal run if shorter. A part
+    of wildcards alone has ``_n`` 0 and matches texts of ``_wild`` characters or more.
+    """
+    pattern = F.lower(F.concat(F.lit("%"), F.col("_part"), F.lit("%")))
+    literal = r"(?s)((?:[^%_\\]|\\.)+)"  # an escaped character is a literal
+    runs = F.transform(F.regexp_extract_all(pattern, F.lit(literal)), lambda r: F.regexp_replace(r, r"(?s)\\(.)", "$1"))
+    longest = F.coalesce(F.array_max(F.transform(runs, lambda r: F.length(r))), F.lit(0))
+    known = parts.select("_part", runs.alias("_runs"), F.least(longest, F.lit(GRAM)).alias("_n"),
+                         F.length(F.regexp_replace(F.regexp_replace(pattern, literal, ""), "%", "")).alias("_wild"))
+    grams = F.array_distinct(F.flatten(F.transform("_runs", lambda r: _grams(r, F.col("_n")))))
+    return known.select("_part", "_n", "_wild", grams.alias("_grams"))
+
+
+def matched_texts(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows of distinct ``texts(_text)`` that hold any of distinct ``parts(_part)``, all if there is none.
+
+    An inverted index: every part is looked up by that of its grams which the fewest texts hold,
+    and compared only with those texts. Parts with two literal characters or one are looked up by
+    that, parts of wildcards alone by length. Texts go to the index by digest; a text itself moves
+    once per part that it may hold. Grams that very many texts hold are cut into parts.
+    """
+    patterns = _patterns(parts)
+    # The lengths of grams in use, and the shortest text that passes by length alone.
+    sizes = patterns.agg(F.collect_set(F.when(F.col("_n") > 0, F.col("_n"))).alias("sizes")).scalar()
+    wild = F.when(F.count(F.lit(1)) == 0, F.lit(0)).otherwise(F.min(F.when(F.col("_n") == 0, F.col("_wild"))))
+    free = texts.filter(F.length("_text") >= patterns.agg(wild.alias("least")).scalar())
+
+    digest = F.unhex(F.md5(F.col("_text"))).alias("_digest")
+    own = F.flatten(F.transform("_sizes", lambda n: _grams(F.lower("_text"), n)))
+    held = texts.withColumn("_sizes", sizes).select(digest, F.explode(F.array_distinct(own)).alias("_gram"))
+    wanted = patterns.select("_part", F.explode("_grams").alias("_gram"))
+    # How many texts hold each gram of a part; a part with a gram in no text matches none.
+    counts = held.join(wanted.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_held"))
+    ranked = wanted.join(counts, "_gram", "left").groupBy("_part").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_held", F.lit(0)).alias("n"), "_gram")).alias("_gram"),
+        F.min(F.coalesce("_held", F.lit(0))).alias("_held"),
+    )
+    rarest = ranked.filter("_held > 0").select("_gram", "_part")
+    hot = counts.select("_gram", parts_of("_held")).toDF("_gram", "_parts").filter("_parts is not null")
+    maybe = skew_join(held, rarest, ["_gram"], spread=["_digest"], hot=hot).select("_digest", "_part")
+    hit = F.ilike(F.col("_text"), F.concat(F.lit("%"), F.col("_part"), F.lit("%")))
+    found = maybe.join(texts.withColumn("_digest", digest), "_digest").filter(hit).select("_text")
+    return free.union(found).distinct()
+
+
 def filter_origin_days(
     df: DataFrame, days: int | None, as_of: date, origin: str = "origin_date"
 ) -> DataFrame:

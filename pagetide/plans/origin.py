@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagetide.functions.scalars import as_ts, date_lit, duration_ratio, item_kind, micros, owner_key
 from pagetide.operators import filters as flt
-from pagetide.plans.skew import following, parts_of, running_max, salted_join, skew_join
+from pagetide.plans.skew import HOT_ROWS, following, parts_of, running_max, salted_join, skew_join
 from pagetide.sources.tables import stored
 
 OPEN_END = 99_999_999_999
@@ -226,23 +226,43 @@ def _day_bands_over_all(tops: DataFrame) -> DataFrame:
     )
 
 
-def band_join(items: DataFrame, bands: DataFrame) -> DataFrame:
-    """LEFT range join of items to the bands of their author; adds ``origin_date``.
+#: Bins are 2**0, 2**3, 2**6 ... ids wide.
+BIN_STEP = 3
+
+
+def binned(bands: DataFrame) -> DataFrame:
+    """Bands by bin: author_id, level, bin, first_id, last_id, posted_date.
 
-    Compares each item with every band of its author, so it suits bands small enough for
-    Catalyst to broadcast. ``band_lookup`` is the form for the rest.
+    A band goes to the level whose bins are the first at least as wide as itself, and so to one
+    or two bins there. Of bands that do not overlap, at most 2**BIN_STEP and two more meet in a bin.
     """
-    b = bands.select(
-        F.col("author_id").alias("_author"), "posted_date", "first_id", "last_id"
-    )
-    on = (
-        (F.col("author_id") == F.col("_author"))
-        & (F.col("media_id") >= F.col("first_id"))
-        & (F.col("media_id") < F.col("last_id"))
-    )
-    return items.join(b, on, "left").drop("_author", "first_id", "last_id").withColumnRenamed(
-        "posted_date", "origin_date"
+    width = F.log2((F.col("last_id") - F.col("first_id")).cast("double"))
+    levels = bands.filter("first_id < last_id").withColumn(
+        "level", (F.ceil(width / BIN_STEP) * BIN_STEP).cast("int")
     )
+    bins = F.expr("sequence(shiftright(first_id, level), shiftright(last_id - 1, level))")
+    return levels.select("author_id", "level", F.explode(bins).alias("bin"), "first_id", "last_id", "posted_date")
+
+
+def band_join(items: DataFrame, bands: DataFrame, rows: int = HOT_ROWS, distinct: bool = False) -> DataFrame:
+    """LEFT range join of items to the bands of their author; adds ``origin_date``.
+
+    Each distinct (author, item) is looked up by an equi join on author and bin, once per level
+    that bands have (at most 21, from one aggregated row), and compared with the bands of that
+    bin. No task holds an author; a bin with more than ``rows`` items is cut into parts. Bands
+    may overlap; an item gets a row for each that holds it. ``band_lookup`` is the form for
+    bands that do not overlap. ``distinct`` promises that no key occurs twice in ``items``.
+    """
+    by_bin = binned(bands)
+    levels = by_bin.agg(F.collect_set("level").alias("levels")).scalar()
+    keys = items.select(*KEY).filter("author_id is not null and media_id is not null")
+    keys = keys if distinct else keys.distinct()
+    at_level = keys.select(*KEY, F.explode(levels).alias("level"))
+    probes = at_level.withColumn("bin", F.expr("shiftright(media_id, level)"))
+    met = skew_join(probes, by_bin, ["author_id", "level", "bin"], spread=["media_id"], rows=rows)
+    found = met.filter("media_id >= first_id and media_id < last_id").select(*KEY, F.col("posted_date").alias("origin_date"))
+    both = items.join(found, KEY, "left") if distinct else skew_join(items, found, KEY, "left", rows=rows)
+    return both.select(*items.columns, "origin_date")
 
 
 def band_lookup(keys: DataFrame, bands: DataFrame, per_author: bool = True) -> DataFrame:
@@ -339,7 +359,7 @@ def _origins(
     keys = stored(items.groupBy(*KEY).agg(parts_of(F.count(F.lit(1))).alias("_parts")))
     hot = keys.filter(F.col("_parts").isNotNull())
     bands = day_bands(posts)
-    found = band_lookup(keys, stored(bands)) if lookup == "asof" else band_join(keys, bands)
+    found = band_lookup(keys, stored(bands)) if lookup == "asof" else band_join(keys, bands, distinct=True)
     if purchases is not None:
         found = found.join(distinct_items(purchases), "media_id", "left_anti")
     return (found.join(latest_posts(posts), KEY, "left") if wall else found), hot
