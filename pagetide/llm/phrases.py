@@ -1,8 +1,8 @@
 """Frequent word pairs, triples and quadruples of each language, scored as collocations.
 
 Stripes: a prefix of none to three words keys an associative counter of the words that follow
-it. A task gathers the stripes of its texts, the stripes of a prefix are merged elementwise,
-and everything else is read off the merged stripes:
+it. A task gathers the stripes of its texts, those of prefixes with one first word in one row,
+the stripes of a prefix are merged elementwise, and everything else is read off the merged stripes:
 
 - an entry is the count of an extension, i.e. of a longer phrase,
 - the total of a prefix is the entry of its last word in the stripe of the words before it (the
@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pagetide.llm.common import UPPER, join_counted, part_rows, text_of
 from pagetide.sources.tables import stored
@@ -219,31 +219,34 @@ def bits_of(found: DataFrame) -> Bits:
 # ---------------------------------------------------------------- stripes
 
 
-STRIPES = "lang string, prefix string, length int, shard int, nexts array<string>, counts array<bigint>"
+STRIPES = "lang string, first string, shard int, rests array<string>, counts array<bigint>"
 
 
 def stripe_batch(
-    lang: str, prefix: np.ndarray, following: np.ndarray, spelled, words: pa.Array, shard, length: int
+    lang: str, prefix: np.ndarray, following: np.ndarray, words: list[np.ndarray], names: pa.Array, own: np.ndarray, cut: np.ndarray
 ) -> pa.RecordBatch:
-    """The stripes of occurrences: ``prefix`` by dense numbers, ``following`` by codes.
+    """The stripes of occurrences: ``prefix`` by number, ``following`` by code.
 
-    ``spelled(numbers)`` gives the prefixes as text, ``shard(numbers, codes)`` an entry's shard.
+    ``words`` has the codes of a prefix's words by its number. The stripes of all prefixes with one
+    first word travel in one row, an entry as the text after that word; where the first word is to
+    be ``cut`` there is a row per shard, ``own`` by the next word.
     """
-    keys, counts = np.unique(prefix * len(words) + following, return_counts=True)
-    owner, after = np.divmod(keys, len(words))
-    part = shard(owner, after)
-    order = np.lexsort((part, owner))
-    owner, after, part, counts = owner[order], after[order], part[order], counts[order]
-    starts = np.flatnonzero(np.diff(owner, prepend=-1) | np.diff(part, prepend=-1))
+    keys, counts = np.unique(prefix * len(names) + following, return_counts=True)
+    owner, after = np.divmod(keys, len(names))
+    first = words[0][owner]
+    part = np.where(cut[first], own[after], 0)
+    order = np.lexsort((part, first))
+    owner, after, first, part, counts = owner[order], after[order], first[order], part[order], counts[order]
+    starts = np.flatnonzero((np.diff(first, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
     offsets = pa.array(np.append(starts, len(owner)).astype(np.int32))
-    nexts = words.take(pa.array(after))
+    rests = pc.binary_join_element_wise(*[names.take(pa.array(w)) for w in (*(w[owner] for w in words[1:]), after)], " ")
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([lang] * len(starts), pa.string()), spelled(owner[starts]),
-            pa.array(np.full(len(starts), length, np.int32)), pa.array(part[starts].astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, nexts), pa.ListArray.from_arrays(offsets, pa.array(counts)),
+            pa.array([lang] * len(starts), pa.string()), names.take(pa.array(first[starts])),
+            pa.array(part[starts].astype(np.int32)),
+            pa.ListArray.from_arrays(offsets, rests), pa.ListArray.from_arrays(offsets, pa.array(counts)),
         ],
-        names=["lang", "prefix", "length", "shard", "nexts", "counts"],
+        names=["lang", "first", "shard", "rests", "counts"],
     )
 
 
@@ -271,34 +274,27 @@ def stripes(rows: DataFrame, held: list[Bits], hot: Bits) -> DataFrame:
             number[at], fits[at] = place, bits.holds(of)[place]
         at = np.flatnonzero(fits[:begins] & fits[1 : begins + 1])
         if len(at):
-            cut = hot.holds(hashes)[words[0]]
-            shard = lambda n, after: np.where(cut[n], own[after], 0)
-            spelled = lambda n: pc.binary_join_element_wise(*[text.take(pa.array(w[n])) for w in words], " ")
-            yield stripe_batch(lang, number[at], codes[at + len(held)], spelled, text, shard, len(held))
+            yield stripe_batch(lang, number[at], codes[at + len(held)], words, text, own, hot.holds(hashes))
 
     return rows.mapInArrow(lambda b: gather(b, count), STRIPES)
 
 
 def merged(parts: DataFrame, least: int) -> DataFrame:
-    """lang, prefix, length, next, n: stripes added up elementwise, their entries from ``least`` on.
+    """lang, phrase, a: stripes added up elementwise, their entries from ``least`` on.
 
-    The stripes are dealt out by prefix and shard; the sums keep to that.
+    The stripes are dealt out by first word and shard; the sums keep to that.
     """
-    keys = ["lang", "prefix", "length", "shard"]
+    keys = ["lang", "first", "shard"]
     entries = parts.repartition(*[F.col(k) for k in keys]).select(
-        *keys, F.explode(F.arrays_zip("nexts", "counts")).alias("e")
+        *keys, F.explode(F.arrays_zip("rests", "counts")).alias("e")
     )
-    entries = entries.groupBy(*keys, F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
-    return entries.filter(F.col("n") >= least).drop("shard")
+    entries = entries.groupBy(*keys, F.col("e.rests").alias("rest")).agg(F.sum("e.counts").alias("a"))
+    return entries.filter(F.col("a") >= least).select("lang", F.concat_ws(" ", "first", "rest").alias("phrase"), "a")
 
 
 # ---------------------------------------------------------------- phrases
 
 
-def phrase() -> Column:
-    return F.concat_ws(" ", "prefix", "next")
-
-
 def scored(candidates: DataFrame, known: DataFrame) -> DataFrame:
     """lang, phrase, l, r, score: the lowest-scoring cut of ``candidates(lang, phrase, a, length)``.
 
@@ -342,15 +338,14 @@ def collocations(
     single = words.filter(F.col("n") >= least)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = bits_of(words.filter(F.col("n") > part_rows(docs.sparkSession, total)).select("lang", F.col("word").alias("phrase")))
-    found, held = [single.select("lang", F.lit("").alias("prefix"), F.col("word").alias("phrase"), F.col("n").alias("a"), F.lit(1).alias("length"))], []
+    found, held = [single.select("lang", F.col("word").alias("phrase"), F.col("n").alias("a"), F.lit(1).alias("length"))], []
     for length in range(2, LONGEST + 1):
         held.append(bits_of(found[-1]))
-        entries = merged(stripes(rows, held, hot), least)
-        found.append(stored(entries.select("lang", "prefix", phrase().alias("phrase"), F.col("n").alias("a"), F.lit(length).alias("length"))))
+        found.append(stored(merged(stripes(rows, held, hot), least).withColumn("length", F.lit(length))))
 
     longer = reduce(DataFrame.union, found[1:])
     around = longer.filter("length > 2")
-    covers = around.select("lang", F.col("prefix").alias("phrase"), "a").union(
+    covers = around.select("lang", F.expr("substring_index(phrase, ' ', length - 1)").alias("phrase"), "a").union(
         around.select("lang", F.expr("substr(phrase, instr(phrase, ' ') + 1)").alias("phrase"), "a")
     )
     covers = covers.groupBy("lang", "phrase").agg(F.max("a").alias("covered"))
