@@ -10,7 +10,8 @@ from pagetide import fixtures as fx, schemas as S
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import dimension as dm, load as ld, quality as ql
 from pagetide.plans.skew import number_versions
-from pagetide.sources.tables import stored
+from pagetide.sources import layout
+from pagetide.sources.tables import scratch, stored
 from pagetide.registry import registry
 
 Q, SQL, register = registry()
@@ -325,3 +326,42 @@ def _(spark, d):
     return number_versions(
         rows, ["o_custkey", "l_partkey"], "o_orderdate", ["l_quantity"], following="valid_to"
     )
+
+
+def _stored_history(spark, d):
+    """The history as a stored table, one partition per run."""
+    path = scratch(spark, "history")
+    history = stored(_history(spark, d))
+    for run in (RUN_1, RUN_2):
+        layout.add_runs(history.filter(F.col("extract_ts") == dm.wall_clock(dm.run_stamp(dm.ts_lit(run)))), path)
+    return path
+
+
+@register("history_by_run_partitioned", WITH + "select extract_ts, count(*) as n_rows from history group by 1")
+def _(spark, d):
+    runs = layout.runs(spark, _stored_history(spark, d))
+    return runs.select(F.timestamp_micros(layout.RUN).cast("timestamp_ntz").alias("extract_ts"), "n_rows")
+
+
+@register("history_prune_partitioned", SQL["history_prune"])
+def _(spark, d):
+    path = _stored_history(spark, d)
+    layout.prune_runs(spark, path, 1)
+    return layout.newest_runs(spark, path, 1).drop(layout.RUN)
+
+
+def _known(schema):
+    """How many values each column of a schema has in the dimension, in SQL."""
+    kinds = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    return " union all ".join(f"select '{c}' as column_name, '{k}' as kind, count({c}) as n_known from new_dim" for c, k in kinds)
+
+
+@register("dim_schema", WITH + _known(S.dim_schema()))
+def _(spark, d):
+    """The dimension's columns and types, with the number of values in each."""
+    schema, dim = S.dim_schema(), dm.scd2_rebuild(*_states(spark, d))
+    columns = [
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("kind"), F.count(F.col(f.name).cast(f.dataType)).alias("n_known"))
+        for f in schema.fields
+    ]
+    return dim.agg(F.array(*columns).alias("columns")).select(F.inline("columns"))

@@ -11,7 +11,7 @@ from pagetide.fixtures import FEEDS_SQL
 from pagetide.functions import scalars as sc
 from pagetide.operators import dimension as dm, load as ld, shape as sh
 from pagetide.sources import feeds, tables
-from pagetide.streaming import pages as pg
+from pagetide.streaming import keyed as kd, pages as pg
 from pagetide.registry import registry
 
 Q, SQL, register = registry()
@@ -361,6 +361,36 @@ def _(spark, d):
 )
 def _(spark, d):
     root = _folder(spark, "table")
-    tables.write_version(fx.messages(spark, d).select("id", "text", "price"), root)
-    tables.write_version(ld.delete_where(tables.read_version(spark, root), F.col("price") > 50), root)
+    tables.write_version(fx.messages(spark, d).select("id", "text", "price"), root, 1)
+    tables.write_version(ld.delete_where(tables.read_version(spark, root), F.col("price") > 50), root, 2)
     return tables.read_version(spark, root)
+
+
+WAVES = 4
+
+
+@register(
+    "stream_load_keyed",
+    WITH
+    + STREAM.format(table="messages")
+    + """, stop as (select min(batch_seq) as stop_seq from pages
+  where raw_max < timestamp '2024-01-12' or batch_seq = (select max(batch_seq) from pages))
+select i.id, i.author_id, i.ts as "createdAt", i.seq as batch_seq from inserted i, stop
+where i.ts >= timestamp '2024-01-12' and i.seq <= stop_seq""",
+)
+def _(spark, d):
+    """Pages that arrive in waves, each loaded by the state that earlier ones left; ended by the cutoff."""
+    rows = fx.messages(spark, d)
+    state = kd.begin(spark, pg.MESSAGES, _folder(spark, "state"), fx.load_target(rows, "createdAt"))
+    run = kd.KeyedRun(state, _folder(spark, "run"), "second", datetime(2024, 1, 12))
+    paged = tables.stored(_message_feed(fx.overlapping_pages(fx.shown(rows))))
+    whole, path = _folder(spark, "whole"), _folder(spark, "pages")
+    pg.write_pages(paged, whole, RUN, minutes=True)
+    pages = feeds.read_pages(spark, whole, pg.MESSAGES.row)
+    ends = paged.agg(F.min("batch_seq").alias("low"), F.max("batch_seq").alias("high")).first()
+    wide = (ends["high"] - ends["low"]) // WAVES + 1
+    for at in range(ends["low"], ends["high"] + 1, wide):
+        pages.filter(F.col("batch_seq").between(at, at + wide - 1)).write.mode("append").json(path)
+        run.load(path, per_trigger=1000)
+    loaded = run.loaded()
+    return loaded.select("id", F.col("fromUser.id").alias("author_id"), "createdAt", "batch_seq")

@@ -10,6 +10,7 @@ from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import load as ld
 from pagetide.registry import registry
+from pagetide.sources import layout, tables
 
 Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
@@ -263,3 +264,38 @@ where not (author_id = 5 and cast(ts as date) >= date '2024-01-15')""",
 def _(spark, d):
     kept = ld.delete_slice(fx.posts(spark, d), "author", 5, "postedAt", date(2024, 1, 15))
     return flat(kept, "author", "postedAt")
+
+
+# -- the same on tables partitioned by month ----------------------------------------------
+
+
+def _by_month(spark, rows, ts="ts"):
+    """Rows as a stored table, partitioned by month."""
+    path = tables.scratch(spark, "by-month")
+    layout.create(rows, path, layout.month_of(F.col(ts)), layout.MONTH)
+    return path
+
+
+@register("replace_keys_partitioned", SQL["replace_keys"])
+def _(spark, d):
+    def rows(df, owner, ts):
+        return df.select(F.col(f"{owner}.id").alias("author_id"), "id", "text", F.col(ts).alias("ts"))
+
+    path = _by_month(spark, rows(fx.messages(spark, d), "fromUser", "createdAt"))
+    changes = rows(fx.posts(spark, d), "author", "postedAt").filter("id % 7 = 3")
+    layout.replace_keys(spark, path, changes, ["author_id"], layout.month_of(F.col("ts")))
+    return layout.read(spark, path).select("author_id", "id", "text")
+
+
+@register("delete_slice_partitioned", SQL["delete_slice"])
+def _(spark, d):
+    path = _by_month(spark, fx.posts(spark, d), "postedAt")
+    layout.delete_slice(spark, path, "author", 5, "postedAt", date(2024, 1, 15))
+    return flat(layout.read(spark, path), "author", "postedAt")
+
+
+@register("batch_scoped_anti_partitioned", ANTI_SQL)
+def _(spark, d):
+    target, batch = _pair(fx.messages(spark, d), "createdAt")
+    table = layout.read(spark, _by_month(spark, target, "createdAt"))
+    return flat(layout.new_by_month(batch, table, ["id"], "createdAt"), "fromUser", "createdAt")

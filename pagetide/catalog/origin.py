@@ -359,3 +359,16 @@ left join bands b on b.author_id = 3 and k.media_id >= b.first_id and k.media_id
 def _(spark, d):
     bands = og.day_bands(og.post_rows(fx.posts(spark, d))).filter("author_id = 3")
     return og.band_join_unscoped(_keys(spark, d), bands)
+
+
+@register(
+    "report_order",
+    "with "
+    + MESSAGE_REPORT_SQL
+    + """select duration_ratio, duration, min(place) as place, count(*) as n
+from (select *, rank() over (order by duration_ratio desc nulls last, duration desc nulls last) as place from report)
+group by 1, 2""",
+)
+def _(spark, d):
+    """Where rows stand in the report's order, by the values that decide it."""
+    return og.report_ranks(og.origin_report_messages(*_feeds(spark, d), as_of=AS_OF, ordered=False))

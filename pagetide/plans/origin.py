@@ -380,6 +380,22 @@ def report_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*order)
 
 
+def report_ranks(df: DataFrame) -> DataFrame:
+    """duration_ratio, duration, place, n: the first place that rows of these values take in the report.
+
+    The order is one of the cluster: rows are sorted in ranges, and a range begins after the rows of
+    those before it, of which there is one number each.
+    """
+    placed = stored(report_order(df).select("duration_ratio", "duration", F.monotonically_increasing_id().alias("at")))
+    part = F.shiftright("at", 33)
+    ranges = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    at = placed.withColumn("part", part).join(ranges, "part").withColumn("place", F.col("before") + within + 1)
+    return at.groupBy("duration_ratio", "duration").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+
+
 def _latest_first() -> list[Column]:
     return [
         F.col("row_date").desc_nulls_last(),

@@ -1,16 +1,10 @@
-"""Tables kept as one parquet directory per version.
-
-A version is written to a directory of its own, which no other writer knows. Only when it is
-complete is a small pointer file created that gives it a number, and a number can be created
-once: of two writers, the second takes the next. The highest number is current.
-"""
+"""The shared work folder, tables stored in it for the length of a job, and numbered versions."""
 
 from __future__ import annotations
 
 import uuid
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Folder of a local run whose session names none.
 _local: dict[str, str] = {}
@@ -45,54 +39,17 @@ def _fs(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete versions, oldest first."""
-    path, fs = _fs(spark, f"{root}/_versions")
-    if not fs.exists(path):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return sorted(int(name) for name in names if name.isdigit())
-
-
-def _point(spark: SparkSession, root: str, version: int, folder: str, again: bool) -> bool:
-    """Create the pointer of a version; False if the number is taken."""
-    path, fs = _fs(spark, f"{root}/_versions/{version:08d}")
-    try:
-        out = fs.create(path, again)
-    except Py4JJavaError as error:
-        if "FileAlreadyExists" in str(error.java_exception) or "already exists" in str(error.java_exception):
-            return False
-        raise
-    out.write(folder.encode())
-    out.close()
-    return True
-
-
-def write_version(df: DataFrame, root: str, version: int | None = None, by: str | None = None) -> int:
-    """Write the next version, or a given one again after a replay; returns its number.
-
-    A replay points its number at the new directory; readers of the old one are not disturbed.
-    """
-    spark, folder = df.sparkSession, f"data-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(f"{root}/{folder}")
-    if version is not None:
-        _point(spark, root, version, folder, again=True)
-        return version
-    known = versions(spark, root)
-    version = known[-1] + 1 if known else 1
-    while not _point(spark, root, version, folder, again=False):
-        version += 1
-    return version
+def write_version(df: DataFrame, root: str, version: int) -> None:
+    """Write a version of a table to a folder of its own; its number is the caller's to give, once."""
+    df.write.parquet(f"{root}/version={int(version)}")
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    known = versions(spark, root)
-    if not known:
-        raise FileNotFoundError(f"no complete version under {root}")
-    version = known[-1] if version is None else version
-    folder = spark.read.text(f"{root}/_versions/{version:08d}").first()[0]
-    return spark.read.parquet(f"{root}/{folder}")
+    """A version of a table, by default the one with the highest number."""
+    if version is None:
+        numbers = spark.read.parquet(root).agg(F.max("version").alias("newest"))
+        version = numbers.first()["newest"]
+    return spark.read.parquet(f"{root}/version={int(version)}")
 
 
 def scratch(spark: SparkSession, kind: str = "stored") -> str:

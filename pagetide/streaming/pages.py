@@ -163,6 +163,16 @@ class Feed:
         schema = T.StructType([*self.table.fields, T.StructField("batch_seq", S.LONG)])
         return sh.align_to_schema(shaped, schema)
 
+    @property
+    def key_names(self) -> list[str]:
+        return [f"_k{i}" for i in range(len(self.keys))]
+
+    def keyed(self, rows: DataFrame) -> DataFrame:
+        """Rows with their key, ``_owner`` and time ``_at`` in micros; without an owner all have one."""
+        named = {k: owner_key(rows, c) if c == self.owner else F.col(c) for k, c in zip(self.key_names, self.keys)}
+        owner = owner_key(rows, self.owner) if self.owner else F.lit(0).cast("bigint")
+        return rows.withColumns({**named, "_owner": owner, "_at": micros(as_ts(rows, self.ts))})
+
 
 MESSAGES = Feed("messages", S.MESSAGE_FEED, S.MESSAGES, "createdAt", "fromUser", ("id",), True, True)
 POSTS = Feed("posts", S.POST_FEED, S.POSTS, "postedAt", "author", ("author", "id"), True, False)
@@ -283,24 +293,27 @@ def accepted(target: DataFrame, rows: DataFrame, feed: Feed) -> DataFrame:
     Rows that repeat within one page are all inserted, as a page is loaded at once. A null
     key is always new; a null owner has no range.
     """
-    owner = (lambda df: owner_key(df, feed.owner)) if feed.owner else (lambda df: F.lit(0).cast("bigint"))
-    keys = [f"_k{i}" for i in range(len(feed.keys))]
+    come, have = feed.keyed(rows), feed.keyed(target)
+    return accepted_after(owner_ranges(have), ld.existing_keys(have, come, feed.key_names), rows, feed)
+
+
+def owner_ranges(keyed: DataFrame) -> DataFrame:
+    """_owner, _min, _max: smallest and largest time of each owner."""
+    return keyed.groupBy("_owner").agg(F.min("_at").alias("_min"), F.max("_at").alias("_max"))
 
-    def keyed(df: DataFrame) -> DataFrame:
-        named = {k: owner_key(df, c) if c == feed.owner else F.col(c) for k, c in zip(keys, feed.keys)}
-        return df.withColumns({**named, "_owner": owner(df), "_at": micros(as_ts(df, feed.ts))})
 
-    come, have = keyed(rows), keyed(target)
+def accepted_after(known: DataFrame, before: DataFrame, rows: DataFrame, feed: Feed) -> DataFrame:
+    """``accepted`` after what is ``known`` of owners and the keys that came ``before``."""
+    come, keys = feed.keyed(rows), feed.key_names
     marks = [F.col("_owner"), F.col("_at").alias("_min"), F.col("_at").alias("_max")]
-    known = have.groupBy("_owner").agg(F.min("_at").alias("_min"), F.max("_at").alias("_max"))
     ranges = _earlier_range(
         known.withColumn("batch_seq", F.lit(-1).cast("bigint"))
         .unionByName(come.select(*marks, "batch_seq"))
         .filter("_owner is not null"),
         ["_owner"],
     )
-    # First page of each key; -1 if the table had it before the run.
-    before = ld.existing_keys(have, come, keys).withColumn("batch_seq", F.lit(-1).cast("bigint"))
+    # First page of each key; -1 if it came before.
+    before = before.withColumn("batch_seq", F.lit(-1).cast("bigint"))
     first = before.unionByName(come.select(*keys, "batch_seq")).groupBy(*keys).agg(F.min("batch_seq").alias("_first"))
     judged = come.join(ranges, ["_owner", "batch_seq"], "left")
     judged = judged.join(first, keys, "left")

@@ -421,14 +421,12 @@ def test_schema_growth_and_dry_run(spark):
     assert flt.filter_item_ids(df.withColumnRenamed("id", "media_id"), []).count() == 1
 
 
-def test_versions_are_numbered_once(spark, tmp_path):
+def test_versions_have_folders_of_their_own(spark, tmp_path):
     root = str(tmp_path / "table")
-    one, two = spark.range(1), spark.range(2)
-    assert tables.write_version(one, root) == 1 and tables.write_version(two, root) == 2
-    assert not tables._point(spark, root, 2, "data-of-another", again=False)
-    assert tables.write_version(one, root, version=2) == 2 and tables.versions(spark, root) == [1, 2]
-    assert tables.read_version(spark, root).count() == 1 and tables.read_version(spark, root, 1).count() == 1
-    with pytest.raises(FileNotFoundError):
-        tables.read_version(spark, str(tmp_path / "none"))
+    tables.write_version(spark.range(1), root, 1)
+    tables.write_version(spark.range(2), root, 2)
+    with pytest.raises(Exception, match="exists"):
+        tables.write_version(spark.range(3), root, 2)
+    assert tables.read_version(spark, root).count() == 2 and tables.read_version(spark, root, 1).count() == 1
     with pytest.raises(ValueError):
-        flt.filter_origin_years(one, 2024, None)
+        flt.filter_origin_years(spark.range(1), 2024, None)
