@@ -69,7 +69,8 @@ def _states(spark, d):
     messages = fx.messages(spark, d)
     empty = spark.createDataFrame([], S.dim_schema())
     first = dm.dim_increment(fx.load_target(messages, "createdAt"), empty, RUN_1, include_gaps=True)
-    dim = stored(dm.scd2_rebuild(empty, stored(first)))
+    # All versions are new: what scd2_rebuild makes of an empty dimension.
+    dim = stored(dm.versioned(first.select(*dm.BASE)))
     return dim, stored(dm.dim_increment(messages, dim, RUN_2))
 
 

@@ -73,6 +73,18 @@ def _(spark, d):
     return _item_rows(feeds.read_feed_json(spark, f"{path}/*", S.MESSAGE_FEED))
 
 
+@register("read_feed_union", WITH + ITEM_ROWS.replace("m.ts as", "case when m.id % 10 < 5 then m.ts end as"))
+def _(spark, d):
+    """Pages of which half lack a field, the other half have one more, and one is broken."""
+    path = _folder(spark, "mixed")
+    rows = _message_feed(fx.feed_pages(fx.messages(spark, d)))
+    feeds.write_feed_arrays(rows.filter("id % 10 >= 5").drop("createdAt"), f"{path}/without")
+    feeds.write_feed_arrays(rows.filter("id % 10 < 5").withColumn("pinned", F.lit(True)), f"{path}/more")
+    rows.limit(1).select(F.lit('[{"id": 1, "text": ').alias("value")).write.text(f"{path}/broken/batch_seq=0")
+    found, _ = feeds.read_feed_union(spark, f"{path}/*/*")
+    return _item_rows(found)
+
+
 def _streamed(spark, feed, rows, feed_rows, ts, window=WINDOW, dim=None, **options):
     """What a run over the pages of ``feed_rows`` makes of a table loaded earlier."""
     root, path = _folder(spark, "run"), _folder(spark, "pages")
@@ -366,7 +378,7 @@ def _(spark, d):
     return tables.read_version(spark, root)
 
 
-WAVES = 4
+WAVES = 2
 
 
 @register(

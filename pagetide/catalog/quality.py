@@ -142,6 +142,13 @@ def _(spark, d):
     return ql.table_parity(a, b, exclude=["id", "author_id", "ts"], bag=True)
 
 
+@register("table_parity_by_digest", SQL["table_parity_bag"])
+def _(spark, d):
+    a = _items(fx.messages(spark, d), "fromUser", "createdAt")
+    b = _items(fx.posts(spark, d), "author", "postedAt")
+    return ql.table_parity_by_digest(a, b, exclude=["id", "author_id", "ts"], bag=True)
+
+
 @register(
     "last_seen_date",
     WITH + "select author_id, media_id, max(cast(ts as date)) as last_seen from message_items group by 1, 2",

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pagetide.functions.scalars import as_ts, date_lit, duration_ratio, item_kind, micros, owner_key
 from pagetide.operators import filters as flt
 from pagetide.plans.skew import HOT_ROWS, following, parts_of, running_max, salted_join, skew_join
-from pagetide.sources.tables import stored
+from pagetide.sources.tables import stored, stored_with
 
 OPEN_END = 99_999_999_999
 KEY = ["author_id", "media_id"]
@@ -351,23 +351,25 @@ def dedup_latest(items: DataFrame, keys: Iterable[str], *order: Column) -> DataF
 
 def _origins(
     items: DataFrame, posts: DataFrame, purchases: DataFrame | None, lookup: str, wall: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """Per distinct (author, item): origin day and latest post; and the hot keys of the items.
+) -> tuple[DataFrame, DataFrame | None]:
+    """Per distinct (author, item): origin day and latest post; and the hot keys of the items, if any.
 
-    The keys are stored: the scan over bands, the hot keys and the join read them.
+    The keys are stored: the scan over bands, the hot keys and the join read them. Whether any is
+    hot is seen as they are written.
     """
-    keys = stored(items.groupBy(*KEY).agg(parts_of(F.count(F.lit(1))).alias("_parts")))
-    hot = keys.filter(F.col("_parts").isNotNull())
+    keys = items.groupBy(*KEY).agg(parts_of(F.count(F.lit(1))).alias("_parts"))
+    keys, seen = stored_with(keys, hot=F.count("_parts"))
+    hot = keys.filter(F.col("_parts").isNotNull()) if seen["hot"] else None
     bands = day_bands(posts)
-    found = band_lookup(keys, stored(bands)) if lookup == "asof" else band_join(keys, bands, distinct=True)
+    found = band_lookup(keys, bands) if lookup == "asof" else band_join(keys, bands, distinct=True)
     if purchases is not None:
         found = found.join(distinct_items(purchases), "media_id", "left_anti")
     return (found.join(latest_posts(posts), KEY, "left") if wall else found), hot
 
 
-def _with_origins(items: DataFrame, origins: DataFrame, hot: DataFrame) -> DataFrame:
+def _with_origins(items: DataFrame, origins: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Items with the origins of their keys. Without a hot key this is a plain join."""
-    if hot.isEmpty():
+    if hot is None:
         return items.join(origins.drop("_parts"), KEY)
     return salted_join(items, origins, hot, KEY, "inner", spread=["row_id"])
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagetide.sources.tables import stored
+from pagetide.sources.tables import stored_with
 
 HOT_ROWS = 5_000_000
 SLOT_MINUTES = 5
@@ -109,22 +109,25 @@ def number_versions(
 ) -> DataFrame:
     """``row_number()`` and ``lead(ts)`` per key in the order of ``ts`` and ``ties``, null times first.
 
-    The input is stored once and its keys are counted there. Without a hot key, which is
-    known then, the result is one window. Otherwise a hot key is cut into time slots; each
+    The input is stored once and counted as it is written; if it is large, its keys are counted
+    there. Without a hot key the result is one window. Otherwise a hot key is cut into time slots; each
     slot is numbered by itself and takes the row count of the slots before it and the first
     time of the slot after it from a table with one row per slot. Rows of one time share a
     slot: a key with more than ``rows`` of those is beyond this cut.
     """
     keys = list(keys)
-    df = stored(df)
-    hot = stored(hot_keys(df, keys, rows))
+    df, seen = stored_with(df, n=F.count(F.lit(1)))
 
     def plain(part: DataFrame) -> DataFrame:
         by_key = Window.partitionBy(*keys).orderBy(ts, *ties)
         out = part.withColumn(number, F.row_number().over(by_key).cast("bigint"))
         return out.withColumn(following, F.lead(ts).over(by_key)) if following else out
 
-    if hot.isEmpty():
+    # With no more rows than that in all, no key has more.
+    if seen["n"] <= rows:
+        return plain(df)
+    hot, seen = stored_with(hot_keys(df, keys, rows), n=F.count(F.lit(1)))
+    if not seen["n"]:
         return plain(df)
     marked = df.join(F.broadcast(hot), keys, "left")
     cold = plain(marked.filter("_parts is null").drop("_parts"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -10,6 +12,27 @@ def read_feed_json(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_feed_union(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of files that each hold one JSON array, with the union of their fields; and the files left out.
+
+    The schema of every page is worked out where it is read and merged by an aggregate, so that only
+    one schema reaches the driver, and a field that a few rows gained is a column of all. Numbers
+    with a fraction are doubles. A file
+    that is not a JSON array of objects goes to the second frame: file, value, reason.
+    """
+    pages = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value").filter(F.trim("value") != "")
+    pages = pages.withColumn("page", F.try_parse_json("value"))
+    kind = F.schema_of_variant("page")
+    fine = F.coalesce(kind.startswith("ARRAY<OBJECT<"), F.lit(False))
+    found = pages.filter(fine).agg(F.schema_of_variant_agg("page").alias("schema")).first()["schema"]
+    found = found if found is not None and found.startswith("ARRAY<OBJECT<") else "ARRAY<OBJECT<>>"
+    schema = re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    rows = pages.filter(fine).select(F.inline(F.from_json("value", schema)))
+    reason = F.when(F.col("page").isNull(), F.lit("not JSON")).when(~fine, F.lit("not an array of objects"))
+    left_out = pages.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("file", "value", "reason")
+    return rows, left_out
+
+
 def read_feed_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of a replay log with one JSON array per line."""
     lines = spark.read.text(path).filter(F.trim("value") != "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 #: Folder of a local run whose session names none.
 _local: dict[str, str] = {}
@@ -68,6 +68,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates of the rows that are worked out while they are written."""
+    seen = Observation()
+    frame = stored(df.observe(seen, *[value.alias(name) for name, value in counts.items()]))
+    return frame, seen.get
+
+
 def clean(spark: SparkSession) -> None:
     """Remove all that ``stored`` wrote in this application; frames that read it end here."""
     path, fs = _fs(spark, f"{work_dir(spark)}/pagetide-{spark.sparkContext.applicationId}")
