@@ -73,7 +73,7 @@ def _(spark, d):
     return _item_rows(feeds.read_feed_json(spark, f"{path}/*", S.MESSAGE_FEED))
 
 
-@register("read_feed_union", WITH + ITEM_ROWS.replace("m.ts as", "case when m.id % 10 < 5 then m.ts end as"))
+@register("read_feed_union", WITH + ITEM_ROWS.replace("m.ts as", "case when m.id % 10 < 5 then m.ts end as").replace("n_media as", "n_media::bigint as"))
 def _(spark, d):
     """Pages of which half lack a field, the other half have one more, and one is broken."""
     path = _folder(spark, "mixed")
