@@ -6,9 +6,10 @@ four, down to one. A text's scores are the sums over its words; the label is the
 with the highest sum and the score its share after normalisation.
 
 Training counts words on Spark over a sample of labelled rows: at most about ``sample_rows``
-of them, chosen by a hash of id and text. That bound and the sizes of the tables of words
-and n-grams are parameters, so the model that is broadcast has a fixed size bound
-((max_words + orders * max_grams) entries). Prediction covers every text whole.
+of them, chosen by a hash of id and text. That is the only bound: every word and n-gram of the
+sample is kept, in every language that has a word there, so the model is bounded by the sample's
+text. It is held as sorted 64-bit hashes with a row of 4-byte log rates each. Prediction covers
+every text whole.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every
 text where no labelled row was given. Rows with a null label or text are not learned from.
@@ -26,14 +27,13 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from xxhash import xxh64_intdigest
 
 from pagetide.llm.common import text_of
 from pagetide.sources.tables import stored
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 20_000
-MAX_WORDS = 100_000
-MAX_GRAMS = 40_000
 ORDERS = (5, 4, 3, 2, 1)
 #: Weight of an n-gram's evidence, as its grams overlap and it says less than a word.
 BACKOFF = 0.5
@@ -43,11 +43,23 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class Table:
-    """Keys with a row of log rates each, one per language."""
+    """Hashes of keys, sorted, with a row of log rates each, one per language."""
 
-    def __init__(self, rates: dict[str, np.ndarray], langs: int):
-        self.place = {key: i for i, key in enumerate(rates)}
-        self.rows = np.array([*rates.values()]).reshape(len(rates), langs)
+    def __init__(self, keys: np.ndarray, rows: np.ndarray):
+        self.keys, self.rows = keys, rows
+
+    def find(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``keys`` of those that the table has, and their rows' places."""
+        wanted = np.array([*map(hash_of, keys)], np.uint64).view(np.int64)
+        at = np.searchsorted(self.keys, wanted)
+        known = np.flatnonzero(at < len(self.keys))
+        known = known[self.keys[at[known]] == wanted[known]]
+        return known, at[known]
+
+
+def hash_of(key: str) -> int:
+    """What ``F.xxhash64`` gives for a string, unsigned."""
+    return xxh64_intdigest(key.encode(), 42)
 
 
 @dataclass
@@ -57,18 +69,20 @@ class Model:
     grams: dict[int, Table]  # by order
 
 
-def _log_rates(rows: list, langs: list[str]) -> Table:
+def _log_rates(counts: DataFrame, langs: list[str]) -> Table:
     """Log of every key's share in each language, mixed with a little of its mean share.
 
     Shares, unlike counts, do not favour the language with the most text where a key is
     unknown to a language.
     """
-    place = {lang: i for i, lang in enumerate(langs)}
-    counts: dict[str, np.ndarray] = {}
-    for row in rows:
-        counts.setdefault(row["key"], np.zeros(len(langs)))[place[row["lang"]]] += row["n"]
-    total = np.maximum(sum(counts.values(), np.zeros(len(langs))), 1)
-    return Table({k: np.log(c / total + MIXED * (c / total).mean()) for k, c in counts.items()}, len(langs))
+    found = counts.select(F.xxhash64("key").alias("key"), "lang", "n").toArrow()
+    keys, at = np.unique(found["key"].to_numpy(), return_inverse=True)
+    column = np.searchsorted(np.array(langs, object), found["lang"].to_numpy().astype(object))
+    rates = np.zeros((len(keys), len(langs)))
+    np.add.at(rates, (at, column), found["n"].to_numpy())
+    rates /= np.maximum(rates.sum(0), 1)
+    rates += MIXED * rates.mean(1, keepdims=True) if langs else 0
+    return Table(keys, np.log(rates).astype(np.float32))
 
 
 def train(
@@ -77,10 +91,8 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
-    max_words: int = MAX_WORDS,
-    max_grams: int = MAX_GRAMS,
 ) -> Model:
-    """Counts on Spark; only the bounded tables of the model come to the driver."""
+    """Counts on Spark; what comes to the driver is bounded by the text of ``sample_rows`` rows."""
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter("lang is not null and text is not null")
@@ -95,12 +107,7 @@ def train(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     words = stored(words)  # read once for words and once per order
-
-    def top(counts: DataFrame, most: int) -> list:
-        return counts.orderBy(F.desc("n"), "key", "lang").limit(most).collect()
-
-    known = top(words, max_words)
-    langs = sorted({r["lang"] for r in known})
+    langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     marked = words.select("lang", F.concat(F.lit("^"), "key", F.lit("$")).alias("w"), "n")
     grams = {}
     for order in ORDERS:
@@ -109,8 +116,8 @@ def train(
             "lang", "n", F.explode(F.transform(spots, lambda i: F.substring("w", i, F.lit(order)))).alias("key")  # noqa: B023
         )
         counts = cut.filter(~F.col("key").isin("^", "$")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
-        grams[order] = _log_rates([r for r in top(counts, max_grams) if r["lang"] in langs], langs)
-    return Model(langs, _log_rates(known, langs), grams)
+        grams[order] = _log_rates(counts, langs)
+    return Model(langs, _log_rates(words, langs), grams)
 
 
 class Scorer:
@@ -128,20 +135,18 @@ class Scorer:
     def score_words(self, words: list[str]) -> np.ndarray:
         """A row of scores per word: known words first, then the longest known n-grams."""
         out = np.zeros((len(words), len(self.model.langs)))
-        known = [(i, at) for i, w in enumerate(words) if (at := self.words.place.get(w)) is not None]
-        if known:
-            spots, at = np.array(known).T
-            out[spots] = self.words.rows[at]
-        done = {i for i, _ in known}
+        spots, at = self.words.find(words)
+        out[spots] = self.words.rows[at]
+        done = set(spots.tolist())
         left = [(i, f"^{w}$") for i, w in enumerate(words) if i not in done]
         for order in ORDERS:
-            place = self.grams[order].place.get
-            found = [
-                (i, g) for i, w in left for k in range(len(w) - order + 1) if (g := place(w[k : k + order])) is not None
-            ]
-            if found:
-                spots, at = np.array(found).T
-                rows = self.grams[order].rows[at]
+            cut = [(i, w[k : k + order]) for i, w in left for k in range(len(w) - order + 1)]
+            if not cut:
+                continue
+            owner = np.array([i for i, _ in cut])
+            found, at = self.grams[order].find([g for _, g in cut])
+            if len(found):
+                spots, rows = owner[found], self.grams[order].rows[at].astype(float)
                 starts = np.flatnonzero(np.r_[True, spots[1:] != spots[:-1]])
                 counts = np.diff(np.r_[starts, len(spots)])
                 out[spots[starts]] = np.add.reduceat(rows, starts) * (BACKOFF / counts)[:, None]
