@@ -2,21 +2,26 @@
 
 Only DataFrame functions are used. Fixed patterns give spans of known forms (``BASE``). Any
 other long token is judged by how random it looks. Its encoding is inferred (hexadecimal,
-base 32, letters and digits, base 64), each character becomes its place in that alphabet, and
-three tests give p-values under the assumption of independent, uniform characters:
+base 32, letters and digits, base 64, base 64 for URLs), padding is set aside, each character
+becomes its place in that alphabet, and five tests give p-values under the assumption of
+independent, uniform characters:
 
-* chi-squared of the counts of 16 classes of characters against uniformity,
+* chi-squared of the counts of 16 classes of characters, each against its number of symbols,
+* chi-squared of the counts of upper case, lower case and other characters,
+* the chance that those of the three which are absent are absent,
 * the number of runs above and below the middle of the alphabet,
 * the serial correlation of neighbouring characters.
 
-A token's value is the smallest of the three, times three. Words and structured names fail at
+A token's value is the smallest of the five, times five. Words and structured names fail at
 least one of the tests, the more surely the longer they are. Over the whole corpus, tokens are
 put into classes by length, and in each class the procedure of Benjamini and Hochberg at
 ``level / number of classes`` decides which tokens are not random; it runs on counts per class
-and p-value step, a table of fixed size. What it does not reject is reported, provided the
-token mixes letters and digits and, having few characters, was tested at all: where the class
-is too short for the tests to tell words from keys, a token must also have as many different
-characters as chance would give.
+and p-value step, a table of fixed size. What it does not reject is reported. So a random key is
+missed with a probability of at most ``level / number of classes`` or so, whatever its length,
+while a token that is not random is reported where it is too short to tell. Two rules keep such
+tokens few: one must have about as many different characters as chance would give, and one of
+fewer than ``SHORT`` characters must not be of one case or digits alone, as a word in capitals
+or a number is.
 
 Defined cases: a null text is empty and has no span; repeated rows are counted as often as they
 occur; overlapping spans of different kinds are all reported, except that a random token
@@ -42,15 +47,20 @@ BASE = [
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 ]
 KINDS = ["assign", "access", "hex", "random"]
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-#: Encodings as (name, pattern of a whole token, alphabet); the first that fits is taken.
+TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,6}"
+UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Encodings as (pattern of a whole token without padding, alphabet); the first that fits is taken.
 ENCODINGS = [
-    ("hex", "^[0-9a-f]+$", "0123456789abcdef"),
-    ("HEX", "^[0-9A-F]+$", "0123456789ABCDEF"),
-    ("base32", "^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("alnum", "^[A-Za-z0-9]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
-    ("base64", "^.*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_="),
+    ("^[0-9a-f]+$", DIGITS + "abcdef"),
+    ("^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    ("^[A-Z2-7]+$", UPPER + "234567"),
+    ("^[A-Za-z0-9]+$", DIGITS + UPPER + LOWER),
+    ("^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
+    ("^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
+    ("^.*$", UPPER + LOWER + DIGITS + "+/-_"),
 ]
+#: A shorter token must have characters of two cases, or of one and others.
+SHORT = 32
 CLASSES = 16
 #: Lower ends of the classes of length.
 LENGTHS = (20, 24, 32, 40, 64, 128)
@@ -129,32 +139,71 @@ def _normal_tail(z: Column) -> Column:
     return F.least(F.lit(1.0), poly * F.exp(-x * x))
 
 
+def _shares(alphabet: str) -> Column:
+    """An alphabet with the shares of its symbols in the classes and in the three cases."""
+    n = len(alphabet)
+    place = [(i * 2 + 1) * CLASSES // (2 * n) for i in range(n)]
+    kinds = [sum(c in UPPER for c in alphabet), sum(c in LOWER for c in alphabet)]
+    kinds.append(n - sum(kinds))
+    return F.struct(
+        F.lit(alphabet).alias("letters"),
+        F.array(*[F.lit(place.count(k) / n) for k in range(CLASSES)]).alias("classes"),
+        F.array(*[F.lit(k / n) for k in kinds]).alias("kinds"),
+    )
+
+
 def battery(token: Column) -> Column:
-    """struct(p, distinct): the combined p-value and the number of different characters."""
-    alphabet = F.lit(ENCODINGS[-1][2])
-    for _, pattern, letters in reversed(ENCODINGS[:-1]):
-        alphabet = F.when(token.rlike(pattern), F.lit(letters)).otherwise(alphabet)
+    """struct(p, distinct, cases): the combined p-value, the number of different characters and
+    how many of upper case, lower case and others occur."""
+    body = F.regexp_replace(token, "=+$", "")
+    return let(body, _judge)
+
+
+def _judge(token: Column) -> Column:
+    which = F.lit(len(ENCODINGS) - 1)
+    for k in range(len(ENCODINGS) - 2, -1, -1):
+        which = F.when(token.rlike(ENCODINGS[k][0]), F.lit(k)).otherwise(which)
+    encoding = F.get(F.array(*[_shares(alphabet) for _, alphabet in ENCODINGS]), which)
     chars = F.filter(F.split(token, ""), lambda c: c != "")
     # Places of the characters, scaled to the open interval from 0 to 1.
-    places = let(alphabet, lambda a: F.transform(chars, lambda c: (F.instr(a, c) - 0.5) / F.length(a)))
-    return F.struct(let(places, _combined).alias("p"), F.size(F.array_distinct(chars)).alias("distinct"))
+    places = lambda e: F.transform(chars, lambda c: (F.instr(e["letters"], c) - 0.5) / F.length(e["letters"]))
+    upper, lower = (F.length(F.regexp_replace(token, f"[^{c}]", "")) for c in ("A-Z", "a-z"))
+    cases = F.array(upper, lower, F.length(token) - upper - lower)
+    parts = let(
+        encoding, lambda e: F.struct(places(e).alias("at"), e["classes"].alias("classes"), e["kinds"].alias("kinds"))
+    )
+    p = let(parts, lambda x: let(cases, lambda c: _combined(x["at"], x["classes"], c, x["kinds"])))
+    return F.struct(
+        p.alias("p"),
+        F.size(F.array_distinct(chars)).alias("distinct"),
+        F.size(F.filter(cases, lambda c: c > 0)).alias("cases"),
+    )
 
 
-def _combined(at: Column) -> Column:
-    """Smallest p-value of the three tests, times three."""
+def _chi(counts: Column, shares: Column, n: Column) -> Column:
+    """p-value of chi-squared, as a normal score by Wilson and Hilferty; shares of 0 are left out."""
+    terms = F.zip_with(
+        counts, shares, lambda c, s: F.when(s > 0, (c - n * s) * (c - n * s) / (n * s)).otherwise(F.lit(0.0))
+    )
+    chi = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    df = (F.size(F.filter(shares, lambda s: s > 0)) - 1).cast("double")
+    z = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+    return let(z, lambda z: F.when(z > 0, _normal_tail(z) / 2).otherwise(F.lit(0.5)))
+
+
+def _combined(at: Column, classes: Column, cases: Column, kinds: Column) -> Column:
+    """Smallest p-value of the five tests, times five."""
     n = F.size(at).cast("double")
     pairs = F.sequence(F.lit(1), F.greatest(F.size(at) - 1, F.lit(1)))
-
-    # Counts in 16 classes of the alphabet, as a normal score by Wilson and Hilferty.
-    expected = n / CLASSES
     counts = F.transform(
         F.sequence(F.lit(0), F.lit(CLASSES - 1)),
         lambda k: F.size(F.filter(at, lambda x: F.floor(x * CLASSES) == k)),
     )
-    chi = F.aggregate(counts, F.lit(0.0), lambda a, c: a + (c - expected) * (c - expected) / expected)
-    df = CLASSES - 1
-    z_chi = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
-    p_chi = let(z_chi, lambda z: F.when(z > 0, _normal_tail(z) / 2).otherwise(F.lit(0.5)))
+    # Each of three cases may be absent: a small value comes up three times as often.
+    present = F.aggregate(
+        F.zip_with(cases, kinds, lambda c, s: F.when(c > 0, s).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, x: a + x
+    )
+    p_chi = F.least(_chi(counts, classes, n), _chi(cases, kinds, n), 3 * F.pow(present, n))
 
     def runs(high: Column) -> Column:
         """Runs above and below the middle."""
@@ -174,7 +223,7 @@ def _combined(at: Column) -> Column:
     )
     z_serial = 12 * products / F.sqrt(F.greatest(n - 1, F.lit(1.0)))
     tails = let(F.array(z_runs, z_serial), lambda z: F.transform(z, _normal_tail))
-    return F.least(F.lit(1.0), 3 * F.least(p_chi, F.array_min(tails)))
+    return F.least(F.lit(1.0), 5 * F.least(p_chi, F.array_min(tails)))
 
 
 def length_class(n: Column) -> Column:
@@ -190,22 +239,19 @@ def step_of(p: Column) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """Tokens that mix letters and digits, with place and test results."""
+    """All long tokens with their places and test results."""
     token = lambda s: F.substring(text, (s["at"] + 1).cast("int"), (s["to"] - s["at"]).cast("int"))
-    mixed = F.filter(
-        F.transform(matches(text, TOKEN), lambda s: F.struct(s["at"].alias("at"), s["to"].alias("to"), token(s).alias("token"))),
-        lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]"),
-    )
 
     def judged(s: Column) -> Column:
         return let(
-            battery(s["token"]),
+            battery(token(s)),
             lambda b: F.struct(
-                s["at"].alias("at"), s["to"].alias("to"), b["p"].alias("p"), b["distinct"].alias("distinct")
+                s["at"].alias("at"), s["to"].alias("to"),
+                b["p"].alias("p"), b["distinct"].alias("distinct"), b["cases"].alias("cases"),
             ),
-        )
+        )
 
-    return F.transform(mixed, judged)
+    return F.transform(matches(text, TOKEN), judged)
 
 
 def thresholds(docs: DataFrame, text_col: str = "text", level: float = LEVEL) -> list[int]:
@@ -254,7 +300,9 @@ def spans_of(docs: DataFrame, text_col: str = "text", level: float = LEVEL) -> C
     )
     # By chance a token of n characters has about 16 * (1 - (15/16)**n) different ones of 16;
     # one with fewer than half of that is not taken for random.
-    enough = lambda s: s["distinct"] >= 8 * (1 - F.pow(F.lit(15 / 16), s["to"] - s["at"]))
+    def enough(s: Column) -> Column:
+        n = s["to"] - s["at"]
+        return (s["distinct"] >= 8 * (1 - F.pow(F.lit(15 / 16), n))) & ((n >= SHORT) | (s["cases"] > 1))
 
     def all_spans(base: Column) -> Column:
         free = lambda s: ~F.exists(base, lambda b: (b["at"] < s["to"]) & (s["at"] < b["to"]))
