@@ -4,8 +4,10 @@ Every text's words are hashed in rolling groups of ``k``. All these hashes are j
 positions of the same groups in the license templates. A hit votes for a diagonal, its
 position in the text minus its position in the template: an unchanged copy puts all its hits
 on one diagonal, an inserted or dropped word moves the rest to the next. Hits are counted per
-diagonal, neighbouring diagonals are merged, and spans that hold enough of the template
-count. Every hit is verified by comparing its words with the template's.
+diagonal, run by run; runs on neighbouring diagonals are merged, and so are, after longer
+insertions and cuts, runs that go on in the template's order close together in the text. Runs that
+lie in the place of a longer one, as repeated phrases cause, are left out. Spans that hold enough
+of the template count. Every hit is verified by comparing its words with the template's.
 
 The templates are a parameter with a size bound (``MAX_GRAMS`` positions in all), so the
 table that is broadcast cannot grow with the input. Only hits are shuffled, after equal ones
@@ -142,6 +144,10 @@ def with_passages(templates: dict[str, str], texts: dict[str, str], k: int = K,
 TEMPLATES = with_passages(TEMPLATES | CLAUSES | _cc_notices(), TEXTS)
 #: Diagonals up to so far apart belong to one span.
 DRIFT = 3
+#: Words that may stand between two runs of one span whose diagonals are further apart.
+GAP = 50
+#: Hits of one diagonal that are so many words apart belong to two runs.
+BREAK = 2 * K
 #: A span counts if it holds this share of its template's groups of words.
 SHARE = 0.6
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -186,6 +192,7 @@ def spans(
     k: int = K,
     drift: int = DRIFT,
     share: float = SHARE,
+    gap: int = GAP,
 ) -> DataFrame:
     """key, template, first, last, score of the verified spans of every distinct text.
 
@@ -215,16 +222,35 @@ def spans(
         .select("key", "template", "of", "pos", "spot", (F.col("pos") - F.col("spot")).alias("diagonal"))
         .distinct()
     )
-    votes = hits.groupBy("key", "template", "of", "diagonal").agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("spot").alias("spots")
-    )
-    # A text and template: diagonals in order; a step of more than ``drift`` starts a span.
-    near = Window.partitionBy("key", "template").orderBy("diagonal", "first")
-    opened = F.when(F.col("diagonal") - F.lag("diagonal").over(near) <= drift, 0).otherwise(1)
+    one = Window.partitionBy("key", "template", "of", "diagonal").orderBy("pos")
+    broken = F.when(F.col("pos") - F.lag("pos").over(one) <= BREAK, 0).otherwise(1)
+    runs = (
+        hits.withColumn("broken", broken)
+        .withColumn("run", F.sum("broken").over(one.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("key", "template", "of", "diagonal", "run")
+        .agg(
+            F.min("pos").alias("first"), F.max("pos").alias("last"), F.min("spot").alias("low"),
+            F.max("spot").alias("high"), F.collect_list("spot").alias("spots"),
+        )
+    )
+    order = ["first", F.desc("last"), "diagonal"]
+    own = Window.partitionBy("key", "template").orderBy(*order)
+    covered = F.coalesce(F.col("last") <= F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    # Runs of a span follow each other in text and template. A single hit must be on a diagonal
+    # next to its neighbours', or it is by itself, like a run in the place of a longer one.
+    rest = Window.partitionBy("key", "template", "covered").orderBy(*order)
+    next_to = lambda other: F.coalesce(F.abs(F.col("diagonal") - other) <= drift, F.lit(False))
+    single = (F.size("spots") == 1) & ~next_to(F.lag("diagonal").over(rest)) & ~next_to(F.lead("diagonal").over(rest))
+    chain = Window.partitionBy("key", "template", "alone").orderBy(*order)
+    before = {c: F.lag(c).over(chain) for c in ("last", "high", "diagonal")}
+    follows = (F.col("first") > before["last"] - k) & (F.col("low") > before["high"] - k)
+    close = (F.col("first") - before["last"] <= gap + k) | next_to(before["diagonal"])
     merged = (
-        votes.withColumn("opened", opened)
-        .withColumn("span", F.sum("opened").over(near.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("key", "template", "of", "span")
+        runs.withColumn("covered", covered)
+        .withColumn("alone", F.col("covered") | single)
+        .withColumn("opened", F.when(~F.col("alone") & follows & close, 0).otherwise(1))
+        .withColumn("span", F.sum("opened").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("key", "template", "of", "alone", "span")
         .agg(
             F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"),
             F.size(F.array_distinct(F.flatten(F.collect_list("spots")))).alias("found"),

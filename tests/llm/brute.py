@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -141,3 +142,41 @@ def op9(docs):
         symbols = len(re.findall("[#*$%&|<>]", text))
         failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
         yield doc_id, len(words), sum(map(len, words)), symbols, dup, len(covered), failed
+
+
+def language(learned: list, text: str | None) -> tuple:
+    """Label and score of a text by words, then n-grams of 5 to 1, from (text, lang) pairs."""
+    langs = sorted({lang for t, lang in learned if any(c.isalpha() for c in t)})
+    counts: dict = {order: {} for order in range(6)}  # 0: words
+    for t, lang in learned:
+        for word in re.findall(r"[^\W\d_]+", t.lower()):
+            keys = [(0, word)]
+            w = f"^{word}$"
+            keys += [(n, w[k : k + n]) for n in range(1, 6) for k in range(len(w) - n + 1) if w[k : k + n] not in ("^", "$")]
+            for n, key in keys:
+                row = counts[n].setdefault(key, dict.fromkeys(langs, 0))
+                row[lang] += 1
+    total = {n: {g: max(1, sum(r[g] for r in rows.values())) for g in langs} for n, rows in counts.items()}
+
+    def rates(n: int, key: str) -> list | None:
+        row = counts[n].get(key)
+        if row is None:
+            return None
+        shares = [row[g] / total[n][g] for g in langs]
+        return [math.log(s + 0.01 * sum(shares) / len(shares)) for s in shares]
+
+    sums, letters = [0.0] * len(langs), False
+    for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        letters = letters or any(c.isalpha() for c in word)
+        found = rates(0, word)
+        for n in (5, 4, 3, 2, 1):
+            if found:
+                break
+            w = f"^{word}$"
+            rows = [r for k in range(len(w) - n + 1) if (r := rates(n, w[k : k + n]))]
+            found = [0.5 * sum(c) / len(rows) for c in zip(*rows)] if rows else None
+        sums = [a + b for a, b in zip(sums, found or [0.0] * len(langs))]
+    if not letters or not langs:
+        return "und", 0.0
+    best = max(range(len(langs)), key=lambda i: (sums[i], -i))
+    return langs[best], 1 / sum(math.exp(x - sums[best]) for x in sums)
