@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pagetide.llm.common import part_rows, text_of
 from pagetide.sources.tables import stored
 
+#: Column of a random number from 0 to 1, by which rows of one length are divided.
+SPREAD = "_spread"
 CAPACITY = 2048
 
 
@@ -247,9 +249,9 @@ def runs(forms: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
 
 
 def assign(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The pieces (id, piece, start, length, more columns) with sequence_id and offset.
+    """The pieces (id, piece, start, length, SPREAD, more columns) with sequence_id and offset.
 
-    ``parts`` is read several times: give a stored table.
+    ``parts`` is read several times: give a stored table, in which SPREAD is fixed.
     """
     spark = parts.sparkSession
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -277,20 +279,21 @@ def assign(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def _numbered(parts: DataFrame, rows: int) -> DataFrame:
     """``number`` of each piece among those of its length, from 0.
 
-    A frequent length is cut into parts by a hash of the row; a part is numbered by itself
-    and starts after the rows of the parts before it.
+    A frequent length is cut into parts by ``SPREAD``, a stored random number of the row that
+    rows without ids and repeated rows differ in too; a part is numbered by itself and starts
+    after the rows of the parts before it.
     """
     sizes = parts.groupBy("length").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("_parts"))
     # At most ``capacity`` rows, one per length.
     placed = parts.join(F.broadcast(sizes), "length").withColumn(
-        "_part", F.pmod(F.xxhash64("id", "piece", "start"), F.col("_parts")).cast("int")
+        "_part", F.floor(F.col(SPREAD) * F.col("_parts")).cast("int")
     )
     # At most capacity + 8 * shuffle partitions rows.
     before = placed.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n")).select(
         "length", "_part",
         (F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"),
     )
-    within = Window.partitionBy("length", "_part").orderBy("id", "piece", "start")
+    within = Window.partitionBy("length", "_part").orderBy(SPREAD, "id", "piece", "start")
     return (
         placed.withColumn("_row", F.row_number().over(within))
         .join(F.broadcast(before), ["length", "_part"])
@@ -301,7 +304,7 @@ def _numbered(parts: DataFrame, rows: int) -> DataFrame:
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The pieces, stored once, with their places."""
-    return assign(stored(parts), capacity)
+    return assign(stored(parts.withColumn(SPREAD, F.rand(7))), capacity).drop(SPREAD)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
