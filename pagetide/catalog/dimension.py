@@ -10,7 +10,7 @@ from pagetide import fixtures as fx, schemas as S
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import dimension as dm, load as ld, quality as ql
 from pagetide.plans.skew import number_versions
-from pagetide.sources import layout
+from pagetide.sources import buckets, layout
 from pagetide.sources.tables import scratch, stored
 from pagetide.registry import registry
 
@@ -123,6 +123,15 @@ def _(spark, d):
     return dm.scd2_rebuild(*_states(spark, d))
 
 
+@register("scd2_rebuild_bucketed", WITH + f"select {COLUMNS} from new_dim")
+def _(spark, d):
+    dim, increment = _states(spark, d)
+    path = scratch(spark, "dimension")
+    name = "dim_" + path[-12:]
+    buckets.create(dim, name, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return buckets.scd2_rebuild(spark, name, increment)
+
+
 @register("version_number", WITH + "select author_id, media_id, valid_from_ts, seen_count from rebuilt")
 def _(spark, d):
     return dm.rebuilt_versions(*_states(spark, d)).select(

@@ -10,7 +10,8 @@ from pagetide import fixtures as fx
 from pagetide.fixtures import FEEDS_SQL
 from pagetide.operators import load as ld
 from pagetide.registry import registry
-from pagetide.sources import layout, tables
+from pagetide.sources import footers, layout, tables
+from pagetide.sources.tables import scratch
 
 Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
@@ -58,6 +59,15 @@ def _(spark, d):
     return ld.watermark_bounds(fx.purchases(spark, d), "unlockAt", WINDOW, active=False)
 
 
+@register("watermark_bounds_footers", WITH + _bounds_sql("purchases", "true", IN_WINDOW))
+def _(spark, d):
+    path = scratch(spark, "purchases")
+    rows = footers.with_at(fx.purchases(spark, d), "unlockAt")
+    layout.create(rows, path, layout.month_of(F.col("unlockAt")), layout.MONTH)
+    found = footers.watermark_bounds(spark, path, WINDOW)
+    return spark.createDataFrame([tuple(found.values())], footers.FOUND)
+
+
 PAGED = (
     ", paged as (select *, " + fx.PAGE_SQL + " as batch_seq from {table})\n"
 )

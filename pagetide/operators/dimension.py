@@ -92,6 +92,7 @@ DIM_COLUMNS = [
     *KEY, *PAYLOAD, "seen_count", "valid_from_ts", "valid_to_ts", "is_current", "extract_ts"
 ]
 BASE = [*KEY, *PAYLOAD, "valid_from_ts", "extract_ts"]
+TIES = ["extract_ts", "media_blob", "media_duration"]
 
 
 def versioned(rows: DataFrame, rows_per_task: int = HOT_ROWS, by: Sequence[str] = ()) -> DataFrame:
@@ -100,11 +101,25 @@ def versioned(rows: DataFrame, rows_per_task: int = HOT_ROWS, by: Sequence[str]
     Equal times are ordered by run, then by payload, NULLs first. ``by`` adds columns to the
     key that are not returned.
     """
-    numbered = number_versions(
-        rows, [*KEY, *by], "valid_from_ts", ["extract_ts", "media_blob", "media_duration"],
-        number="seen_count", following="valid_to_ts", rows=rows_per_task,
+    return _shown(
+        number_versions(
+            rows, [*KEY, *by], "valid_from_ts", TIES, number="seen_count", following="valid_to_ts", rows=rows_per_task
+        )
+    )
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``versioned`` where no key is hot: one window, which keeps the place of the rows."""
+    by_key = Window.partitionBy(*KEY).orderBy("valid_from_ts", *TIES)
+    return _shown(
+        rows.withColumn("seen_count", F.row_number().over(by_key)).withColumn(
+            "valid_to_ts", F.lead("valid_from_ts").over(by_key)
+        )
     )
-    return numbered.select(
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    return rows.select(
         *KEY,
         *PAYLOAD,
         F.col("seen_count").cast("int").alias("seen_count"),
