@@ -37,7 +37,9 @@ def at_of(ts: Column) -> Column:
 
 
 def with_at(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn(AT, at_of(as_ts(df, ts)))
+    """The rows with ``AT`` in front: Spark looks extremes up by a column's place among the fields,
+    which nested columns before it would shift."""
+    return df.select(at_of(as_ts(df, ts)).alias(AT), *[c for c in df.columns if c != AT])
 
 
 def _us(ts: datetime) -> int:
@@ -71,6 +73,8 @@ def extremes(spark: SparkSession, path: str, where: Column | None = None) -> Dat
     Rows without a time have a partition of their own, whose footers hold no extremes.
     """
     table = spark.read.parquet(path).filter(F.col(MONTH).isNotNull())
+    if table.columns[0] != AT:
+        raise ValueError(f"the first column of {path} is not {AT}")
     table = table if where is None else table.filter(where)
     return table.groupBy(MONTH).agg(F.min(AT).alias("low"), F.max(AT).alias("high"), F.count(F.lit(1)).alias("n"))
 

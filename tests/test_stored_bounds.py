@@ -80,8 +80,9 @@ def test_rebuild_of_an_empty_table_and_by_an_empty_increment(spark, tmp_path):
 @pytest.fixture
 def timed(spark, tmp_path):
     at = datetime(2023, 11, 20, 7, 8, 9, 123456)
-    rows = [(i, i % 4, at + timedelta(days=i)) for i in range(150)] + [(900, 1, None)]
-    df = spark.createDataFrame(rows, "id bigint, owner bigint, unlockAt timestamp_ntz")
+    rows = [([(f"x{i}", i)], i, i % 4, at + timedelta(days=i)) for i in range(150)] + [([], 900, 1, None)]
+    kind = "media array<struct<name: string, id: bigint>>, id bigint, owner bigint, unlockAt timestamp_ntz"
+    df = spark.createDataFrame(rows, kind)
     path = str(tmp_path / "table")
     layout.create(footers.with_at(df, "unlockAt"), path, layout.month_of(F.col("unlockAt")), layout.MONTH)
     return df, path
@@ -96,6 +97,14 @@ def test_extremes_come_from_footers(spark, timed):
     assert spark.conf.get("spark.sql.sources.useV1SourceList") == kept
 
 
+def test_extremes_need_their_column_in_front(spark, timed, tmp_path):
+    df, _ = timed
+    late = df.withColumn(footers.AT, footers.at_of(F.col("unlockAt")))
+    layout.create(late, str(tmp_path / "late"), layout.month_of(F.col("unlockAt")), layout.MONTH)
+    with pytest.raises(ValueError, match="first column"):
+        footers.watermark_bounds(spark, str(tmp_path / "late"), None)
+
+
 @pytest.mark.parametrize(
     "start,end",
     [
