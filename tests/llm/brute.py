@@ -144,6 +144,17 @@ def op9(docs):
         yield doc_id, len(words), sum(map(len, words)), symbols, dup, len(covered), failed
 
 
+def quality_kept(text: str | None) -> bool:
+    """The verdict of all rules, each worked out by itself."""
+    text = text or ""
+    _, n, chars, signs, dup, _, failed = next(iter(op9([(0, text)])))
+    letters = [c for c in text if c.isalpha()]
+    lines = sum(1 for line in text.split("\n") if SPACED.search(line))
+    shouting = len([c for c in text if c.isupper()]) > 0.5 * max(1, len(letters))
+    same = dup > 3 and 10 * dup > 3 * lines
+    return not (failed or 10 * signs > n or shouting or same or chars < 2 * n or chars > 20 * n)
+
+
 def language(learned: list, text: str | None) -> tuple:
     """Label and score of a text by words, then n-grams of 5 to 1, from (text, lang) pairs."""
     langs = sorted({lang for t, lang in learned if any(c.isalpha() for c in t)})

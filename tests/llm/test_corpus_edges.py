@@ -489,12 +489,33 @@ def test_quality(spark, docs, empty):
 
 
 def test_quality_order_keeps_verdicts(spark, docs):
-    plain = {r["id"]: r["kept"] for r in quality.assess(docs).collect()}
-    turned = {r["id"]: r["kept"] for r in quality.assess(docs, quality.RULES[::-1], sample_rows=0).collect()}
-    assert plain == turned
-    rows = [{"name": "a", "seconds": 2.0, "rejected": 4}, {"name": "b", "seconds": 1.0, "rejected": 3}]
-    rules = [quality.Rule(n, bool) for n in "abc"]
-    assert [r.name for r in quality.ordered(rules, rows)] == ["b", "a", "c"]
+    want = {i: brute.quality_kept(t) for i, t in PAIRS}
+    assert {True, False} == set(want.values())
+    for found in (
+        quality.assess(docs),
+        quality.assess(docs, quality.RULES[::-1], sample_rows=0),
+        quality.assess(docs, measures=True, first=quality.BASE),
+    ):
+        assert {r["id"]: r["kept"] for r in found.collect()} == want
+    for r in found.collect():  # of the cascade with rules in front
+        assert r["first_failed"] == (r["rejected_by"] in ("short", "repeats"))
+        assert r["rules_run"] == 4 if r["kept"] else r["rules_run"] == 0 if r["first_failed"] else 1 <= r["rules_run"] <= 4
+
+
+def test_quality_order_by_further_cost_and_rejections():
+    a, b, c = quality.Rule("a", bool, ("m",)), quality.Rule("b", bool, ("m", "k")), quality.Rule("c", bool, ("j",))
+    seconds = {"measure m": 4.0, "measure k": 1.0, "measure j": 1.0, "rule a": 0.1, "rule b": 0.1, "rule c": 0.1}
+    names = lambda *args: [r.name for r in quality.ordered(*args)]
+    # b costs 5.1 by itself; once a has paid for m it is better than c
+    some = quality.Sampled(seconds, {frozenset("a"): 40, frozenset("b"): 6, frozenset("c"): 5, frozenset(): 9})
+    assert names([c, b, a], some) == ["a", "b", "c"]
+    # what b rejects, a has rejected already
+    some = quality.Sampled(seconds, {frozenset("ab"): 40, frozenset("a"): 1, frozenset("c"): 1})
+    assert names([b, c, a], some) == ["a", "c", "b"]
+    # measures at hand are free: b is the better then
+    some = quality.Sampled(seconds, {frozenset("b"): 6, frozenset("c"): 5})
+    assert names([c, b], some) == ["c", "b"] and names([c, b], some, ["m", "k", "j"]) == ["b", "c"]
+    assert names([c, b, a], quality.Sampled({}, {})) == ["c", "b", "a"]
 
 
 URLS = [
@@ -533,6 +554,17 @@ def test_bloom_has_no_false_negatives(spark):
     assert found.filter("listed <> (id < 3000)").count() == 0
 
 
+@pytest.mark.parametrize("words_alike", [False, True])
+def test_a_saturated_or_colliding_filter_changes_no_verdict(spark, monkeypatch, words_alike):
+    """One block for 3,000 URLs lets every URL through; with equal bits all of a block's URLs collide."""
+    monkeypatch.setattr(urls, "MAX_BLOCKS", 1)
+    if words_alike:
+        same = F.array(*[F.lit(5) for _ in range(urls.WORDS)])
+        monkeypatch.setattr(urls, "_place", lambda key, blocks: (F.lit(0).cast("bigint"), same))
+    test_bloom_has_no_false_negatives(spark)
+    test_urls(spark)
+
+
 # --- the pipeline
 
 
