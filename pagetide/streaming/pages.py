@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pagetide import schemas as S
 from pagetide.functions.scalars import as_ts, digits_id, micros, owner_key, parse_ts, ts_lit
 from pagetide.operators import dimension as dm, expiry as ex, load as ld, shape as sh
-from pagetide.plans.skew import running_max
+from pagetide.plans.skew import running_max, skew_join
 from pagetide.sources import feeds
 from pagetide.sources.tables import stored
 
@@ -188,7 +188,8 @@ PURCHASES = Feed(
 class Run:
     """One run over a feed's pages; ``root`` is a folder of its own on shared storage.
 
-    The tables before the run are only referred to: give stored versions.
+    The tables before the run are only referred to: give stored versions. A run of ``page_cap``
+    pages without a reason to stop ends there; as it has not seen the feed's end, the final sweep stays shut.
     """
 
     spark: SparkSession
@@ -203,6 +204,7 @@ class Run:
     historical: bool = False
     jump_seq: int | None = None
     retain_runs: int = dm.RETAIN_RUNS
+    page_cap: int | None = None
 
     def start(
         self, target: DataFrame, dim: DataFrame | None = None, history: DataFrame | None = None
@@ -251,6 +253,7 @@ class Outcome:
     loaded: DataFrame  # rows loaded, with their page
     pages: DataFrame  # summary and stop reason of each page, those after the stop included
     stop: DataFrame  # stop_seq, stop_reason, sweep: one row
+    cap_hit: bool = False  # ended by the cap on pages
     increment: DataFrame | None = None  # new versions, with the page that brought them
     dim: DataFrame | None = None
     history: DataFrame | None = None
@@ -344,7 +347,9 @@ def page_increments(run: Run, loaded: DataFrame) -> DataFrame:
     )
     marks = keyed.select("author_id", F.col("_at").alias("_min"), F.col("_at").alias("_max"), "batch_seq")
     ranges = _earlier_range(known.withColumn("batch_seq", F.lit(-1).cast("bigint")).unionByName(marks), ["author_id"])
-    new = keyed.join(ranges, ["author_id", "batch_seq"], "left").filter(_outside(F.col("_at")))
+    # All rows of the table stand on one page, so an author's are one key of this join.
+    ranged = skew_join(keyed, ranges, ["author_id", "batch_seq"], "left", spread=["id", "_at"])
+    new = ranged.filter(_outside(F.col("_at")))
     return dm.item_versions(new.select(*rows.columns), run.run_ts, keep=["batch_seq"])
 
 
@@ -356,6 +361,14 @@ def finish_run(run: Run) -> Outcome:
     rows in the window that were not shown. All of it is one pass over the table.
     """
     feed, (facts, rows) = run.feed, run.logged()
+    full = False
+    if run.page_cap is not None:
+        first = facts.select("batch_seq").orderBy("batch_seq").limit(run.page_cap)
+        last = first.agg(F.max("batch_seq").alias("seq"), F.count(F.lit(1)).alias("n")).first()
+        full = last["n"] == run.page_cap
+        if full:
+            until = F.coalesce(F.col("batch_seq") <= F.lit(last["seq"]), F.lit(False))
+            facts, rows = facts.filter(until), rows.filter(until)
     rows = stored(rows)
     inside = sh.in_window(rows, feed.ts, run.min_window)
     loaded = stored(accepted(run.target, inside, feed))
@@ -364,6 +377,7 @@ def finish_run(run: Run) -> Outcome:
         run.high_watermark, run.min_window, run.force_backfill, run.cutoff_reason, run.jump_seq,
     )
     summary = stored(summary)
+    # A run that the cap ends has no reason to stop, so its gate is shut.
     gate = sweep_gate(F.col("stop_reason"), run.force_backfill, historical=run.historical)
     stop = first_stop(summary).withColumn("sweep", gate)
     end = stop.first()
@@ -371,7 +385,7 @@ def finish_run(run: Run) -> Outcome:
     if end["stop_seq"] is not None:
         until = F.col("batch_seq") <= end["stop_seq"]
         pages, rows, loaded = summary.filter(until), rows.filter(until), loaded.filter(until)
-    out = Outcome(run.target.unionByName(loaded.drop("batch_seq")), loaded, summary, stop)
+    out = Outcome(run.target.unionByName(loaded.drop("batch_seq")), loaded, summary, stop, full and end["stop_seq"] is None)
     if feed.has_dim:
         out.increment = stored(page_increments(run, loaded))
         merged = out.increment.drop("batch_seq").distinct()

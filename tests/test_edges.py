@@ -4,7 +4,7 @@ import random
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from pagetide import schemas as S
 from pagetide.functions import scalars as sc
@@ -357,6 +357,25 @@ def test_run_does_not_depend_on_grouping(spark, tmp_path, name):
     assert [r.inserted for r in out.pages.orderBy("batch_seq").collect()] == [2, 0, 3, 1]
 
 
+@pytest.mark.parametrize("cap,n,stop,hit", [(1, 1, (None, None, False), True), (3, 3, (2, "hasMore", True), False),
+                                            (9, 3, (2, "hasMore", True), False)])
+def test_run_ends_at_the_cap_on_pages(spark, tmp_path, cap, n, stop, hit):
+    """Pages after the cap count for nothing, and what they would show is not swept."""
+    at = datetime(2024, 1, 20)
+    rows = [(7 - s, (1,), f"m{s}", 1.0, 0, [], f"2024-01-{20 - s:02d}T00:00:00Z", s) for s in range(3)]
+    kind = T.StructType([*S.MESSAGE_FEED.fields, T.StructField("batch_seq", S.LONG)])
+    pg.write_pages(spark.createDataFrame(rows, kind), str(tmp_path / "pages"), at)
+    target = messages(spark, [(7 - s, 1, "old", [], f"2024-01-{20 - s:02d} 00:00:00", None) for s in range(5)])
+    run = pg.Run(spark, pg.MESSAGES, str(tmp_path / "run"), datetime(2024, 1, 1), datetime(2024, 2, 1),
+                 author=1, force_backfill=True, page_cap=cap)
+    run.start(target)
+    pg.stream_load(run, str(tmp_path / "pages"), 10)
+    out = pg.finish_run(run)
+    assert tuple(out.stop.first()) == stop and out.cap_hit == hit and out.pages.count() == n
+    expired = {r.id for r in out.target.filter("expired_ts is not null").collect()}
+    assert expired == (set() if hit else {3, 4})
+
+
 def test_run_grows_an_empty_dimension_page_by_page(spark, tmp_path):
     """Each page that loads rows refreshes the dimension and adds to the history."""
     def page(seq, rows):
