@@ -88,7 +88,7 @@ def _(spark, d):
 def _streamed(spark, feed, rows, feed_rows, ts, window=WINDOW, dim=None, **options):
     """What a run over the pages of ``feed_rows`` makes of a table loaded earlier."""
     root, path = _folder(spark, "run"), _folder(spark, "pages")
-    pg.write_pages(feed_rows, path, RUN, minutes=True)
+    pg.write_pages(feed_rows, path, RUN, minutes=True, per_file=fx.PAGES_PER_FILE)
     run = pg.Run(spark, feed, root, window, RUN, **options)
     run.start(fx.load_target(rows, ts), dim, dim)
     pg.stream_load(run, path, PER_TRIGGER)

@@ -122,6 +122,8 @@ def load_target(rows: DataFrame, ts: str) -> DataFrame:
 # Ids follow time, so counting them down from a fixed number gives newest-first pages of at
 # most this many rows, however long the feed.
 PAGE_ROWS, PAGE_BASE = 300, 2**40
+#: Pages that share a file where a whole feed is written: some megabytes.
+PAGES_PER_FILE = 128
 PAGE_SQL = f"cast(({PAGE_BASE} - id) // {PAGE_ROWS} as bigint)"
 
 

@@ -409,22 +409,28 @@ def finish_run(run: Run) -> Outcome:
     return out
 
 
-def write_pages(rows: DataFrame, path: str, processed_at: datetime, minutes: bool = False) -> None:
-    """Page files from rows with a ``batch_seq``: one file of one line per page.
+def write_pages(
+    rows: DataFrame, path: str, processed_at: datetime, minutes: bool = False, per_file: int = 1
+) -> None:
+    """Page files from rows with a ``batch_seq``: a file has one line for each of ``per_file`` pages.
 
     A page is one response of the feed, so its rows fit one line; the last page by number
     has ``hasMore`` false. With ``minutes`` page n is stamped n minutes after ``processed_at``.
+    Every file costs some milliseconds where it is written, listed and opened, and a stream takes files by
+    their number, so a long feed is better kept with many pages to a file.
     """
     cols = [c for c in rows.columns if c != "batch_seq"]
     last = rows.agg(F.max("batch_seq").alias("_last"), F.min("batch_seq").alias("_from"))
     after = F.col("batch_seq") - F.col("_from") if minutes else F.lit(0)
     at = F.timestamp_add("MINUTE", after.cast("int"), F.lit(processed_at).cast("timestamp_ntz"))
     (
-        rows.groupBy("batch_seq")
+        rows.withColumn("_file", F.expr(f"batch_seq div {int(per_file)}"))
+        .repartition("_file")
+        .groupBy("_file", "batch_seq")
         .agg(F.collect_list(F.struct(*cols)).alias("list"))
         .join(F.broadcast(last))
         .select(
-            F.col("batch_seq").alias("page"),
+            F.col("_file").alias("page"),
             "batch_seq",
             F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss").alias("processed_at"),
             (F.col("batch_seq") < F.col("_last")).alias("hasMore"),

@@ -10,7 +10,7 @@ from pagetide import schemas as S
 from pagetide.functions import scalars as sc
 from pagetide.operators import dimension as dm, expiry as ex, filters as flt, load as ld, quality as ql, shape as sh
 from pagetide.plans import origin as og
-from pagetide.sources import tables
+from pagetide.sources import feeds, tables
 from pagetide.streaming import pages as pg
 
 
@@ -408,6 +408,30 @@ def test_stream_reads_one_page_per_trigger(spark, tmp_path):
     assert pg.finish_run(run).target.count() == 39
 
 
+@pytest.mark.parametrize("per_file,files", [(1, 40), (16, 3)])
+def test_pages_that_share_files_are_the_same_run(spark, tmp_path, per_file, files):
+    """Micro-batches take files by number, so their count must follow the feed's size and not its pages."""
+    rows = spark.range(401).select(
+        "id", F.struct((F.col("id") % 3).alias("id")).alias("fromUser"), F.lit("t").alias("text"), F.lit(1.0).alias("price"),
+        F.lit(0).alias("mediaCount"), F.array().cast(S.ITEMS).alias("media"),
+        F.concat(F.lit("2024-01-"), F.lpad(F.expr("string(1 + id div 14)"), 2, "0"), F.lit("T00:00:00Z")).alias("createdAt"),
+        F.expr("(400 - id) div 10 + 5").alias("batch_seq"),
+    ).filter("id > 0")
+    pg.write_pages(rows, str(tmp_path / "pages"), datetime(2024, 2, 1), minutes=True, per_file=per_file)
+    pages = feeds.read_pages(spark, str(tmp_path / "pages"), S.MESSAGE_FEED)
+    assert len(pages.inputFiles()) == files and pages.count() == 40
+    run = pg.Run(spark, pg.MESSAGES, str(tmp_path / "run"), datetime(2024, 1, 20), datetime(2024, 2, 1))
+    run.start(messages(spark, [(30, 1, "old", [], "2024-01-22 00:00:00", None)]))
+    pg.stream_load(run, str(tmp_path / "pages"), 8)
+    assert spark.read.parquet(f"{run.root}/facts").select("batch_id").distinct().count() == -(-files // 8)
+    out = pg.finish_run(run)
+    judged = sorted((r.batch_seq, r.processed_at, r.n_rows, r.inserted, r.stop_reason) for r in out.pages.filter("batch_seq < 19").collect())
+    assert [j[0] for j in judged] == [*range(5, 19)] and judged[3][1] == datetime(2024, 2, 1, 0, 3)
+    assert [j[2] for j in judged] == [10] * 14 and {j[4] for j in judged} == {None}
+    assert tuple(out.stop.first()) == (19, "cutoff", False)
+    assert sorted(r.id for r in out.target.collect()) == [30, *range(266, 401)]
+
+
 def test_overlaps_without_pairs(spark):
     def at(day):
         return None if day is None else datetime(2024, 1, day)
