@@ -397,7 +397,7 @@ def _(spark, d):
     run = kd.KeyedRun(state, _folder(spark, "run"), "second", datetime(2024, 1, 12))
     paged = tables.stored(_message_feed(fx.overlapping_pages(fx.shown(rows))))
     whole, path = _folder(spark, "whole"), _folder(spark, "pages")
-    pg.write_pages(paged, whole, RUN, minutes=True)
+    pg.write_pages(paged, whole, RUN, minutes=True, per_file=fx.PAGES_PER_FILE)
     pages = feeds.read_pages(spark, whole, pg.MESSAGES.row)
     ends = paged.agg(F.min("batch_seq").alias("low"), F.max("batch_seq").alias("high")).first()
     wide = (ends["high"] - ends["low"]) // WAVES + 1
