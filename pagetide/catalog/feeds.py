@@ -69,7 +69,7 @@ def _(spark, d):
 def _(spark, d):
     path = _folder(spark, "array")
     rows = _message_feed(fx.feed_pages(fx.messages(spark, d)))
-    feeds.write_feed_arrays(rows, path)
+    feeds.write_feed_arrays(rows, path, per_file=fx.PAGES_PER_FILE)
     return _item_rows(feeds.read_feed_json(spark, f"{path}/*", S.MESSAGE_FEED))
 
 
@@ -78,8 +78,8 @@ def _(spark, d):
     """Pages of which half lack a field, the other half have one more, and one is broken."""
     path = _folder(spark, "mixed")
     rows = _message_feed(fx.feed_pages(fx.messages(spark, d)))
-    feeds.write_feed_arrays(rows.filter("id % 10 >= 5").drop("createdAt"), f"{path}/without")
-    feeds.write_feed_arrays(rows.filter("id % 10 < 5").withColumn("pinned", F.lit(True)), f"{path}/more")
+    feeds.write_feed_arrays(rows.filter("id % 10 >= 5").drop("createdAt"), f"{path}/without", per_file=fx.PAGES_PER_FILE)
+    feeds.write_feed_arrays(rows.filter("id % 10 < 5").withColumn("pinned", F.lit(True)), f"{path}/more", per_file=fx.PAGES_PER_FILE)
     rows.limit(1).select(F.lit('[{"id": 1, "text": ').alias("value")).write.text(f"{path}/broken/batch_seq=0")
     found, _ = feeds.read_feed_union(spark, f"{path}/*/*")
     return _item_rows(found)

@@ -65,11 +65,15 @@ def write_feed_log(df: DataFrame, path: str, batch: str = "batch_seq", mode: str
     lines.select("value").write.mode(mode).text(path)
 
 
-def write_feed_arrays(df: DataFrame, path: str, batch: str = "batch_seq") -> None:
-    """One folder per page with a file that holds the page's rows as a JSON array."""
+def write_feed_arrays(df: DataFrame, path: str, batch: str = "batch_seq", per_file: int = 1) -> None:
+    """One folder per ``per_file`` pages with a file that holds their rows as a JSON array.
+
+    A file is one text to its reader, so it should stay at some megabytes.
+    """
     cols = [c for c in df.columns if c != batch]
-    pages = df.groupBy(batch).agg(F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
-    pages.write.partitionBy(batch).text(path)
+    pages = df.groupBy(F.expr(f"`{batch}` div {int(per_file)}").alias(batch))
+    files = pages.agg(F.to_json(F.collect_list(F.struct(*cols))).alias("value"))
+    files.write.partitionBy(batch).text(path)
 
 
 def read_pages(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:

@@ -27,6 +27,15 @@ def test_union_of_record_schemas(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("per_file,files", [(1, 30), (8, 4)])
+def test_pages_that_share_a_file(spark, tmp_path, per_file, files):
+    rows = spark.range(300).select("id", F.expr("id div 10").alias("batch_seq"), F.when(F.col("id") > 290, "late").alias("note"))
+    feeds.write_feed_arrays(rows, str(tmp_path / "pages"), per_file=per_file)
+    found, left_out = feeds.read_feed_union(spark, str(tmp_path / "pages" / "*"))
+    assert len(found.inputFiles()) == files and left_out.count() == 0
+    assert sorted(map(tuple, found.select("id", "note").collect())) == [(i, "late" if i > 290 else None) for i in range(300)]
+
+
 @pytest.mark.parametrize("bag", [True, False])
 def test_parity_by_digest(spark, bag):
     rng = random.Random(2)
