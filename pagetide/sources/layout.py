@@ -33,9 +33,17 @@ def run_of(stamp: Column) -> Column:
     return F.unix_micros(stamp.cast("timestamp")).cast("bigint")
 
 
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """The rows of each partition together; adaptive execution cuts a large one into parts of even size.
+
+    So a partition is few files, and no task holds a whole month or run however many rows that has.
+    """
+    return df.hint("rebalance", name)
+
+
 def create(df: DataFrame, path: str, part: Column, name: str) -> None:
     """A new table with ``part`` as its partition column ``name``."""
-    df.withColumn(name, part).repartition(name).write.partitionBy(name).parquet(path)
+    placed(df.withColumn(name, part), name).write.partitionBy(name).parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +64,7 @@ def replace_parts(new: DataFrame, path: str, name: str, concerned: Sequence) ->
     """Give the partitions ``concerned`` the rows of ``new``; they may have been read from the table."""
     spark, new = new.sparkSession, stored(new)
     (
-        new.repartition(name)
+        placed(new, name)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(name)
@@ -119,7 +127,7 @@ def new_by_month(batch: DataFrame, table: DataFrame, keys: Sequence[str], ts: st
 def add_runs(rows: DataFrame, path: str, stamp: str = "extract_ts") -> None:
     """Add a run's rows to the history; a run that is written again replaces itself."""
     rows = rows.withColumn(RUN, run_of(F.col(stamp)))
-    rows.repartition(RUN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
+    placed(rows, RUN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
 
 
 def runs(spark: SparkSession, path: str) -> DataFrame:

@@ -94,3 +94,26 @@ def test_history_by_run(spark, tmp_path):
     assert layout.prune_runs(spark, path, 2) == 2
     after = files_by_part(spark, path, "run")
     assert layout.read(spark, path).count() == 8 and all(after[r] == before[r] for r in after)
+
+
+def test_a_large_month_is_cut_into_parts_of_even_size(spark, tmp_path):
+    """No task holds all rows of a month; small months stay one file."""
+    rows = spark.range(0, 200_000, 1, 8).select("id", F.xxhash64("id").alias("noise"), F.expr("if(id % 1000 = 0, 7, 8)").alias("m"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "200k")
+    try:
+        path, runs = str(tmp_path / "table"), str(tmp_path / "runs")
+        layout.create(rows.drop("m"), path, F.expr("if(id % 1000 = 0, 7, 8)"), layout.MONTH)
+        stamps = rows.select("id", "noise", F.lit("2024-01-01").cast("timestamp_ntz").alias("extract_ts"))
+        layout.add_runs(stamps, runs)
+        layout.replace_parts(layout.read(spark, path).withColumn("noise", -F.col("noise")), path, layout.MONTH, [7, 8])
+    finally:
+        spark.conf.unset(size)
+    for table, name, part in ((path, layout.MONTH, 8), (runs, layout.RUN, None)):
+        files = layout.read(spark, table).groupBy(name, F.input_file_name().alias("f")).count().collect()
+        large = [r["count"] for r in files if part is None or r[name] == part]
+        assert len(large) >= 4 and max(large) < 60_000
+    assert len([r for r in files_by_part(spark, path, "month")[7]]) == 1
+    found = layout.read(spark, path).agg(F.count("id").alias("n"), F.sum("id").alias("s"), F.sum(F.col("noise").cast("decimal(38,0)")).alias("t")).first()
+    want = rows.agg(F.count("id").alias("n"), F.sum("id").alias("s"), F.sum(-F.col("noise").cast("decimal(38,0)")).alias("t")).first()
+    assert found == want
