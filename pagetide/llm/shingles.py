@@ -3,13 +3,15 @@
 Two texts are linked if the sets of their groups of ``width`` words have a Jaccard similarity
 of at least ``similar``. Every link is verified on the sets themselves.
 
-Candidates share a bucket: the smallest values of the set under ``ROWS`` hash functions, taken
-together, for one of ``BANDS`` choices of functions. Two sets of similarity s share one with
-probability 1 - (1 - s**ROWS)**BANDS: all but 7 pairs in 100,000 at 0.8, fewer above.
-(A SimHash of 64 bits differs in about 10 bits at 0.8, and unrelated prints are within such a
-budget so often that walking them grows with the square of the corpus.)
-
-First each text of a bucket is compared with the bucket's smallest. Buckets that this leaves
+Candidates come from the SimHash trie self-join (``simhash.near_links``, here on shingles of
+``WIDTH`` words): fingerprints within its budget. A SimHash of 64 bits differs in about 10 bits at 0.8,
+and unrelated prints are within such a budget so often that walking them grows with the square of
+the corpus. So the pairs beyond the budget come from buckets: the smallest values of the set under
+``ROWS`` hash functions, taken together, for one of ``BANDS`` choices of functions. Two sets of
+similarity s share one with probability 1 - (1 - s**ROWS)**BANDS: all but 7 pairs in 100,000 at 0.8,
+fewer above.
+
+First the pairs of the tries, and each text of a bucket with the bucket's smallest, are compared. Buckets that this leaves
 in more than one component are compared in full, in blocks of bounded size, and give links
 that span what is connected. Pairs are never listed; buckets with equal members are compared once.
 
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetide.llm.common import join_counted, text_of
 from pagetide.llm.components import components
-from pagetide.llm.simhash import LOWER, WORD
+from pagetide.llm.simhash import LOWER, WORD, fingerprints, near_links
 from pagetide.sources.tables import stored
 
 WIDTH = 5
@@ -139,24 +141,39 @@ def _open_links(rows: DataFrame, similar: tuple[int, int]) -> DataFrame:
     return rows.groupBy("band", "i", "j").applyInPandas(of, "u binary, v binary")
 
 
+def trie_pairs(rows: DataFrame) -> DataFrame:
+    """(t, lead): pairs of texts that span the groups of near fingerprints of ``rows(t, fp)``."""
+    texts = stored(rows.select("t", "fp").distinct())
+    prints = stored(texts.groupBy("fp").agg(F.min("t").alias("lead"), F.count(F.lit(1)).alias("n")))
+    same = join_counted(texts, prints, ["fp"], "n", texts.count(), F.col("t")).select("t", "lead")
+    links = stored(near_links(prints.select("fp")))
+    # One print may be linked to very many.
+    leads = prints.select(F.col("fp").alias("v"), "lead").join(links.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "v")
+    across = join_counted(links, stored(leads), ["v"], "n", links.count(), F.col("u")).select(F.col("u").alias("fp"), "lead")
+    across = across.join(prints.select("fp", F.col("lead").alias("t")), "fp").select("t", "lead")
+    return same.union(across).filter("t <> lead")
+
+
 def similar_links(
     docs: DataFrame, rows: DataFrame, text_col: str, width: int, similar: tuple[int, int], block: int
 ) -> DataFrame:
-    """(u, v): links that span the components of the texts of ``rows(t, bands)``."""
+    """(u, v): links that span the components of the texts of ``rows(t, fp, bands)``."""
     over, under = similar
+    pairs = stored(trie_pairs(rows))
     members = stored(rows.select("t", F.explode("bands").alias("band")).distinct())
     buckets = members.groupBy("band").agg(F.min("t").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(
         join_counted(members, stored(buckets), ["band"], "n", members.count(), F.col("t")).select("band", "t", "lead")
     )
     texts = docs.select(name_of(text_of(text_col)).alias("t"), text_of(text_col).alias("text")).dropDuplicates(["t"])
-    sets = texts.join(shared.select("t").distinct(), "t", "left_semi").select(
+    asked = shared.select("t").union(pairs.select("t")).union(pairs.select("lead")).distinct()
+    sets = texts.join(asked, "t", "left_semi").select(
         "t", shingles_of(F.col("text"), width).alias("grams")
     )
     sets = stored(sets.withColumn("size", F.size("grams")))
 
-    # Every text with the smallest of its buckets.
-    stars = stored(shared.filter("t <> lead").select("t", "lead").distinct())
+    # The pairs of the tries, and every text with the smallest of its buckets.
+    stars = stored(pairs.union(shared.filter("t <> lead").select("t", "lead")).distinct())
     leads = sets.withColumnsRenamed({"t": "lead", "grams": "lead_grams", "size": "lead_size"}).join(
         stars.groupBy("lead").agg(F.count(F.lit(1)).alias("n")), "lead"
     )
@@ -212,14 +229,14 @@ def near_copies(
     read = stored(
         docs.select(
             F.col(id_col).alias("id"), name_of(text).alias("t"), F.sha2(text, 256).alias("text_key"),
-            buckets_of(text, width, bands, rows).alias("bands"),
+            fingerprints(text, width).alias("fp"), buckets_of(text, width, bands, rows).alias("bands"),
         )
     )
     groups = components(similar_links(docs, read, text_col, width, similar, block))
     groups = groups.select(F.col("node").alias("t"), "label")
     counted = stored(groups.join(read.groupBy("t").agg(F.count(F.lit(1)).alias("n")), "t"))
     spread = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    return join_counted(read.drop("bands"), counted, ["t"], "n", read.count(), spread, "left").select(
+    return join_counted(read.drop("bands", "fp"), counted, ["t"], "n", read.count(), spread, "left").select(
         "id", "text_key", F.coalesce("label", "t").alias("label")
     )
 
