@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from itertools import chain
 
 import numpy as np
@@ -67,6 +67,7 @@ class Model:
     langs: list[str]
     words: Table
     grams: dict[int, Table]  # by order
+    scorer: Scorer | None = field(default=None, init=False, repr=False, compare=False)
 
 
 def _log_rates(counts: DataFrame, langs: list[str]) -> Table:
@@ -189,14 +190,14 @@ class Scorer:
         return self.model.langs[best], float(1 / np.exp(scores - scores[best]).sum())
 
 
-_latest: list[Scorer] = []
-
-
 def scorer_of(model: Model) -> Scorer:
-    """The scorer of this Python worker, for all its tasks with the model; a new model ends it."""
-    if not _latest or _latest[0].model is not model:
-        _latest[:] = [Scorer(model)]
-    return _latest[0]
+    """The scorer of this Python worker, for all its tasks with the model, with which it ends.
+
+    A worker drops a broadcast model when it takes a task of another query.
+    """
+    if model.scorer is None:
+        model.scorer = Scorer(replace(model))  # on a copy, so that the two do not hold each other
+    return model.scorer
 
 
 def predict(spark: SparkSession, model: Model, text: Column) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetide.llm.common import join_counted, text_of
 from pagetide.llm.components import components
-from pagetide.llm.simhash import LOWER, WORD, fingerprints, near_links
+from pagetide.llm.simhash import LOWER, WORD, fingerprint, near_links
 from pagetide.sources.tables import stored
 
 WIDTH = 5
@@ -70,11 +70,18 @@ def bucket_keys(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(least[k].tobytes(), k) for k in range(bands)], np.uint64).view(np.int64)
 
 
-def buckets_of(text: Column, width: int, bands: int, rows: int) -> Column:
-    @F.pandas_udf("array<bigint>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def signatures(text: Column, width: int, bands: int, rows: int) -> Column:
+    """struct(fp, bands): fingerprint and bucket keys of each text.
+
+    One function for both: each of two would have a Python worker of its own in every task.
+    """
+
+    @F.pandas_udf("fp bigint, bands array<bigint>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([bucket_keys(shingles(t, width), bands, rows) for t in texts], dtype=object)
+            prints = np.fromiter((fingerprint(t, width) for t in texts), np.uint64, len(texts))
+            keys = [bucket_keys(shingles(t, width), bands, rows) for t in texts]
+            yield pd.DataFrame({"fp": prints.view(np.int64), "bands": pd.Series(keys, dtype=object)})
 
     return of(text)
 
@@ -229,8 +236,8 @@ def near_copies(
     read = stored(
         docs.select(
             F.col(id_col).alias("id"), name_of(text).alias("t"), F.sha2(text, 256).alias("text_key"),
-            fingerprints(text, width).alias("fp"), buckets_of(text, width, bands, rows).alias("bands"),
-        )
+            signatures(text, width, bands, rows).alias("found"),
+        ).select("id", "t", "text_key", "found.*")
     )
     groups = components(similar_links(docs, read, text_col, width, similar, block))
     groups = groups.select(F.col("node").alias("t"), "label")

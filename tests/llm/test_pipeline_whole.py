@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import weakref
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from pagetide.llm import shingles  # noqa: E402
+from pagetide.llm import langid, shingles  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 SF = "/root/testdata/sf0.01"
@@ -93,6 +94,27 @@ def test_near_fingerprints_are_candidates(spark):
     assert same_groups([found[k] for k in range(len(texts))], groups(texts)[0])
 
 
+def test_one_worker_reads_the_texts_of_a_task(spark, monkeypatch):
+    """Every Python function of a task has a worker of its own, and a worker's memory is the executor's."""
+    plans, store = [], shingles.stored
+    monkeypatch.setattr(shingles, "stored", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or store(df))
+    found = shingles.near_copies(spark.createDataFrame([(1, "a b"), (2, None), (3, "A  b")], "doc_id int, text string"))
+    labels = {r["id"]: r["label"] for r in found.collect()}
+    assert labels[1] == labels[3] != labels[2]
+    first = plans[0].split("Initial Plan")[0]  # that of adaptive execution repeats the nodes
+    assert first.count("ArrowEvalPython") == 1
+
+
+def test_a_scorer_ends_with_its_model():
+    """A worker that goes on to other queries keeps neither the model nor the pieces it has scored."""
+    table = langid.Table(np.zeros(0, np.int64), np.zeros((0, 1), np.float32))
+    model = langid.Model(["en"], table, dict.fromkeys(langid.ORDERS, table))
+    scorer = weakref.ref(langid.scorer_of(model))
+    assert langid.scorer_of(model) is scorer()
+    del model
+    assert scorer() is None
+
+
 def test_spanning_skips_nothing():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 40, 80).astype(np.uint64)) for _ in range(60)]
