@@ -17,7 +17,7 @@ from pagetide.registry import registry
 Q, SQL, register = registry()
 WITH = "with " + FEEDS_SQL
 WINDOW, RUN = datetime(2024, 1, 5), datetime(2024, 2, 1, 10)
-PER_TRIGGER = 16  # page files per micro-batch; results do not depend on it
+BATCH_BYTES = 2**30  # page files of a micro-batch; results do not depend on it
 
 
 def _folder(spark, name):
@@ -91,7 +91,7 @@ def _streamed(spark, feed, rows, feed_rows, ts, window=WINDOW, dim=None, **optio
     pg.write_pages(feed_rows, path, RUN, minutes=True, per_file=fx.PAGES_PER_FILE)
     run = pg.Run(spark, feed, root, window, RUN, **options)
     run.start(fx.load_target(rows, ts), dim, dim)
-    pg.stream_load(run, path, PER_TRIGGER)
+    pg.stream_load(run, path, max_bytes=BATCH_BYTES)
     return pg.finish_run(run)
 
 

@@ -83,12 +83,14 @@ def read_pages(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
     return spark.read.schema(page_schema(row)).json(path)
 
 
-def stream_pages(spark: SparkSession, path: str, row: T.StructType, per_trigger: int = 1) -> DataFrame:
-    """Page files as a stream. Files come in modification order; use ``batch_seq`` for order."""
+def stream_pages(
+    spark: SparkSession, path: str, row: T.StructType, per_trigger: int = 1, max_bytes: int | None = None
+) -> DataFrame:
+    """Page files as a stream, so many files or bytes at a time.
+
+    Files come in modification order; use ``batch_seq`` for order.
+    """
     from pagetide.schemas import page_schema
 
-    return (
-        spark.readStream.schema(page_schema(row))
-        .option("maxFilesPerTrigger", per_trigger)
-        .json(path)
-    )
+    limit = ("maxFilesPerTrigger", per_trigger) if max_bytes is None else ("maxBytesPerTrigger", int(max_bytes))
+    return spark.readStream.schema(page_schema(row)).option(*limit).json(path)

@@ -230,16 +230,22 @@ class Run:
         self._write(facts, "facts", batch_id)
 
     def logged(self) -> tuple[DataFrame, DataFrame]:
-        """Facts and rows of all pages; of a page that was delivered again, the first delivery."""
+        """Facts and rows of all pages; of a page that was delivered again, the first delivery.
+
+        The rows are read from the log as it is, and stored anew only if some page is in it twice.
+        """
         facts = self.spark.read.parquet(f"{self.root}/facts")
         first = facts.groupBy("batch_seq").agg(
             F.min("batch_id").alias("batch_id"),
             F.min_by("processed_at", "batch_id").alias("processed_at"),
             F.min_by("has_more", "batch_id").alias("has_more"),
+            F.count(F.lit(1)).alias("n"),
         )
         rows = self.spark.read.parquet(f"{self.root}/rows")
-        rows = rows.join(first.select("batch_seq", "batch_id"), ["batch_seq", "batch_id"], "left_semi")
-        return first.drop("batch_id"), rows.drop("batch_id")
+        if not first.filter("n > 1 or batch_seq is null").isEmpty():
+            rows = rows.join(first.select("batch_seq", "batch_id"), ["batch_seq", "batch_id"], "left_semi")
+            rows = stored(rows)
+        return first.drop("batch_id", "n"), rows.drop("batch_id")
 
 
 FACTS = S.struct(batch_seq=S.LONG, processed_at=S.TS, has_more=S.BOOL)
@@ -259,9 +265,13 @@ class Outcome:
     history: DataFrame | None = None
 
 
-def stream_load(run: Run, pages_path: str, per_trigger: int = 1) -> None:
-    """Log all waiting page files, ``per_trigger`` at a time, and return when none is left."""
-    source = feeds.stream_pages(run.spark, pages_path, run.feed.row, per_trigger)
+def stream_load(run: Run, pages_path: str, per_trigger: int = 1, max_bytes: int | None = None) -> None:
+    """Log all waiting page files, ``per_trigger`` at a time, and return when none is left.
+
+    With ``max_bytes`` a micro-batch takes files up to that size instead: micro-batches come one after
+    the other, so a large one uses a cluster better.
+    """
+    source = feeds.stream_pages(run.spark, pages_path, run.feed.row, per_trigger, max_bytes)
     query = (
         source.writeStream.foreachBatch(run.on_batch)
         .option("checkpointLocation", f"{run.root}/_stream")
@@ -275,9 +285,9 @@ def _earlier_range(marks: DataFrame, part: list[str]) -> DataFrame:
     """Smallest and largest time of a part before each page: part, batch_seq, _low, _high.
 
     ``marks`` has the part, ``batch_seq``, ``_min`` and ``_max`` (micros), any number of rows per page;
-    page -1 stands for the tables before the run.
+    page -1 stands for the tables before the run. They are read once: each of the two scans has two readers.
     """
-    pages = marks.groupBy(*part, "batch_seq").agg(F.min("_min").alias("_min"), F.max("_max").alias("_max"))
+    pages = stored(marks.groupBy(*part, "batch_seq").agg(F.min("_min").alias("_min"), F.max("_max").alias("_max")))
     high = running_max(pages, part, "batch_seq", F.col("_max"), "_high", inclusive=False)
     low = running_max(pages, part, "batch_seq", -F.col("_min"), "_low", inclusive=False)
     return high.join(low, [*part, "batch_seq"]).select(*part, "batch_seq", (-F.col("_low")).alias("_low"), "_high")
@@ -369,7 +379,6 @@ def finish_run(run: Run) -> Outcome:
         if full:
             until = F.coalesce(F.col("batch_seq") <= F.lit(last["seq"]), F.lit(False))
             facts, rows = facts.filter(until), rows.filter(until)
-    rows = stored(rows)
     inside = sh.in_window(rows, feed.ts, run.min_window)
     loaded = stored(accepted(run.target, inside, feed))
     summary = batch_stop_reason(

@@ -432,6 +432,31 @@ def test_pages_that_share_files_are_the_same_run(spark, tmp_path, per_file, file
     assert sorted(r.id for r in out.target.collect()) == [30, *range(266, 401)]
 
 
+def test_a_run_reads_its_log_once_and_does_not_copy_it(spark, tmp_path, monkeypatch):
+    """Micro-batches by size; the rows of pages that came once are not written again, nor aggregated repeatedly."""
+    rows = spark.range(1, 401).select(
+        "id", F.struct((F.col("id") % 3).alias("id")).alias("fromUser"), F.lit("t").alias("text"), F.lit(1.0).alias("price"),
+        F.lit(0).alias("mediaCount"), F.array().cast(S.ITEMS).alias("media"),
+        F.concat(F.lit("2024-01-"), F.lpad(F.expr("string(1 + id div 14)"), 2, "0"), F.lit("T00:00:00Z")).alias("createdAt"),
+        F.expr("(400 - id) div 10").alias("batch_seq"),
+    )
+    pg.write_pages(rows, str(tmp_path / "pages"), datetime(2024, 2, 1))
+    size = sum(f.stat().st_size for f in (tmp_path / "pages").glob("*/*.json"))
+    written, store = [], pg.stored
+    monkeypatch.setattr(pg, "stored", lambda df: written.append(set(df.columns)) or store(df))
+    for k, (most, batches) in enumerate([(2**30, 1), (size // 4 + 1, 4)]):
+        run = pg.Run(spark, pg.MESSAGES, str(tmp_path / f"run{k}"), datetime(2024, 1, 20), datetime(2024, 2, 1))
+        run.start(messages(spark, [(30, 1, "old", [], "2024-01-22 00:00:00", None)]))
+        pg.stream_load(run, str(tmp_path / "pages"), max_bytes=most)
+        found = spark.read.parquet(f"{run.root}/facts").select("batch_id").distinct().count()
+        assert found == batches if batches == 1 else batches <= found <= batches + 2
+        written.clear()
+        out = pg.finish_run(run)
+        assert sorted(r.id for r in out.target.collect()) == [30, *range(266, 401)]
+        assert [w for w in written if "text" in w and "batch_seq" in w] == [{*S.MESSAGES.names, "batch_seq"}]  # the loaded ones
+        assert written.count({"_owner", "batch_seq", "_min", "_max"}) == 1
+
+
 def test_overlaps_without_pairs(spark):
     def at(day):
         return None if day is None else datetime(2024, 1, day)
