@@ -90,6 +90,14 @@ def digits_id(c: Column | str) -> Column:
     return F.nullif(digits, F.lit("")).try_cast("bigint")
 
 
+def numeric_id(df: DataFrame, name: str) -> Column:
+    """``digits_id`` of a column; a whole number that is not negative is its own digits."""
+    if not isinstance(df.schema[name].dataType, (T.LongType, T.IntegerType)):
+        return digits_id(name)
+    value = F.col(name).cast("bigint")
+    return F.when(value >= 0, value).otherwise(digits_id(name))
+
+
 def author_from_url(c: Column | str) -> Column:
     """Author id in a ``/chat/<id>`` URL, else in a trailing ``/<id>`` path part."""
     c = col(c)

@@ -10,7 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pagetide.functions.scalars import as_ts, digits_id, micros, owner_key, ts_lit
+from pagetide.functions.scalars import as_ts, digits_id, micros, numeric_id, owner_key, ts_lit
 from pagetide.plans.skew import running_max
 from pagetide.sources.tables import stored
 
@@ -22,7 +22,7 @@ def _null_ts() -> Column:
 def seen_ids(seen: DataFrame) -> DataFrame:
     """Distinct numeric ids of a seen table."""
     return (
-        seen.select(digits_id("id").alias("id"))
+        seen.select(numeric_id(seen, "id").alias("id"))
         .filter(F.col("id").isNotNull())
         .distinct()
     )
@@ -190,7 +190,7 @@ def progressive_expire(
 
     The target is read twice: once, in its narrow columns, for the open unseen rows of the
     pages' authors, whose stamps come from a running maximum over frontiers and those rows
-    by time; once for the result.
+    by time; once for the result. Rows of other authors leave before anything is shuffled.
     """
     when = as_ts(target, ts)
     owner = owner_key(target, owner_col)
@@ -201,21 +201,22 @@ def progressive_expire(
         micros("frontier").alias("_pos"),
         F.struct("frontier", "stamp").alias("_stop"),
     )
+    stops = stored(stops)
     unseen = (
         target.filter(is_open)
-        .select(F.col("id").cast("bigint").alias("_id"), owner.alias("_owner"), micros(when).alias("_pos"))
+        .select(F.col("id").cast("bigint").alias("_id"), owner.alias("_owner"), when.alias("_when"))
+        .join(stops.select("_owner").distinct(), "_owner", "left_semi")
         .join(ids, "_id", "left_anti")
         .distinct()
+        .withColumn("_pos", micros("_when"))
     )
-    both = stored(
-        unseen.join(stops.select("_owner").distinct(), "_owner", "left_semi").unionByName(stops, allowMissingColumns=True)
-    )
+    both = stored(unseen.unionByName(stops, allowMissingColumns=True))
     passed = running_max(both, ["_owner"], "_pos", F.col("_stop"), "_last", inclusive=False, bits=28)
     stamps = passed.filter("_id is not null and _last is not null").select(
-        "_id", "_owner", "_pos", F.col("_last.stamp").alias("_stamp")
+        "_id", "_owner", "_when", F.col("_last.stamp").alias("_stamp")
     )
-    rows = target.withColumns({"_id": F.col("id").cast("bigint"), "_owner": owner, "_pos": micros(when)})
-    flagged = rows.join(ids.withColumn("_seen", F.lit(True)), "_id", "left").join(stamps, ["_id", "_owner", "_pos"], "left")
+    rows = target.withColumns({"_id": F.col("id").cast("bigint"), "_owner": owner, "_when": when})
+    flagged = rows.join(ids.withColumn("_seen", F.lit(True)), "_id", "left").join(stamps, ["_id", "_owner", "_when"], "left")
     stamp = F.when(is_open, F.col("_stamp"))
     if sweep is not None:
         author, at = sweep

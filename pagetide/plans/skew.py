@@ -7,7 +7,7 @@ partial aggregate over the key columns alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -177,13 +177,29 @@ def running_max(
     that both a block and the list of blocks of a part fit a task. ``value`` may be any
     orderable type, structs included.
     """
+    return running_extremes(df, part, pos, {out: value}, {}, inclusive, bits)
+
+
+def running_extremes(
+    df: DataFrame,
+    part: Sequence[str],
+    pos: str,
+    highs: Mapping[str, Column],
+    lows: Mapping[str, Column],
+    inclusive: bool = True,
+    bits: int = 21,
+) -> DataFrame:
+    """``running_max`` of several values, and the running minimum of others, in one scan."""
     part = list(part)
-    blocked = df.withColumn("_v", value).withColumn("_block", F.shiftright(pos, bits))
+    kinds = [(out, value, F.max, F.greatest) for out, value in highs.items()]
+    kinds += [(out, value, F.min, F.least) for out, value in lows.items()]
+    blocked = df.withColumns({f"_v{i}": value for i, (_, value, _, _) in enumerate(kinds)})
+    blocked = blocked.withColumn("_block", F.shiftright(pos, bits))
     before = Window.partitionBy(*part).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         blocked.groupBy(*part, "_block")
-        .agg(F.max("_v").alias("_m"))
-        .select(*part, "_block", F.max("_m").over(before).alias("_carry"))
+        .agg(*[best(f"_v{i}").alias(f"_m{i}") for i, (_, _, best, _) in enumerate(kinds)])
+        .select(*part, "_block", *[best(f"_m{i}").over(before).alias(f"_m{i}") for i, (_, _, best, _) in enumerate(kinds)])
     )
     within = (
         Window.partitionBy(*part, "_block")
@@ -191,9 +207,9 @@ def running_max(
         .rangeBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     return (
-        blocked.withColumn("_v", F.max("_v").over(within))
+        blocked.withColumns({f"_v{i}": best(f"_v{i}").over(within) for i, (_, _, best, _) in enumerate(kinds)})
         .join(carry, [*part, "_block"])
-        .select(*df.columns, F.greatest("_v", "_carry").alias(out))
+        .select(*df.columns, *[better(f"_v{i}", f"_m{i}").alias(out) for i, (out, _, _, better) in enumerate(kinds)])
     )
 
 

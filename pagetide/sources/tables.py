@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 #: Folder of a local run whose session names none.
 _local: dict[str, str] = {}
@@ -52,6 +52,11 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(f"{root}/version={int(version)}")
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, known as empty to Catalyst; ``createDataFrame`` would start Python workers."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).limit(0)
+
+
 def scratch(spark: SparkSession, kind: str = "stored") -> str:
     """A new path under this application's part of the shared folder."""
     return f"{work_dir(spark)}/pagetide-{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"

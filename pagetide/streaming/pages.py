@@ -20,15 +20,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pagetide import schemas as S
-from pagetide.functions.scalars import as_ts, digits_id, micros, owner_key, parse_ts, ts_lit
+from pagetide.functions.scalars import as_ts, micros, numeric_id, owner_key, parse_ts, ts_lit
 from pagetide.operators import dimension as dm, expiry as ex, load as ld, shape as sh
-from pagetide.plans.skew import running_max, skew_join
+from pagetide.plans.skew import parts_of, running_extremes, skew_join
 from pagetide.sources import feeds
-from pagetide.sources.tables import stored
+from pagetide.sources.tables import empty, stored
 
 NATURAL_STOPS = ("hasMore", "cutoff")
 
@@ -159,7 +160,9 @@ class Feed:
         if self.name == "purchases":
             shaped = sh.normalize_purchases(rows, keep=["batch_seq"])
         else:
-            shaped = sh.trim_items(sh.drop_bulky(rows))
+            # The alignment keeps and types the fields of the items: they are not built twice.
+            items = F.coalesce("media", F.array().cast(self.row["media"].dataType))
+            shaped = sh.drop_bulky(rows).withColumn("media", items)
         schema = T.StructType([*self.table.fields, T.StructField("batch_seq", S.LONG)])
         return sh.align_to_schema(shaped, schema)
 
@@ -210,13 +213,12 @@ class Run:
         self, target: DataFrame, dim: DataFrame | None = None, history: DataFrame | None = None
     ) -> None:
         """Name the tables as they are before the run; the dimension defaults to an empty one."""
-        empty = self.spark.createDataFrame
         self.target = target
-        self.dim = dim if dim is not None else empty([], S.dim_schema())
-        self.history = history if history is not None else empty([], S.dim_schema())
+        self.dim = dim if dim is not None else empty(self.spark, S.dim_schema())
+        self.history = history if history is not None else empty(self.spark, S.dim_schema())
         rows = T.StructType([*self.feed.table.fields, T.StructField("batch_seq", S.LONG)])
-        self._write(empty([], rows), "rows", -1)
-        self._write(empty([], FACTS), "facts", -1)
+        self._write(empty(self.spark, rows), "rows", -1)
+        self._write(empty(self.spark, FACTS), "facts", -1)
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
@@ -253,16 +255,35 @@ FACTS = S.struct(batch_seq=S.LONG, processed_at=S.TS, has_more=S.BOOL)
 
 @dataclass
 class Outcome:
-    """The tables after a run, and what the run did. The parts are lazy, on stored logs."""
+    """The tables after a run, and what the run did. The parts are lazy, on stored logs.
 
+    Each of ``increment``, ``dim`` and ``history`` is worked out when it is first asked for.
+    """
+
+    run: Run
     target: DataFrame
     loaded: DataFrame  # rows loaded, with their page
     pages: DataFrame  # summary and stop reason of each page, those after the stop included
     stop: DataFrame  # stop_seq, stop_reason, sweep: one row
     cap_hit: bool = False  # ended by the cap on pages
-    increment: DataFrame | None = None  # new versions, with the page that brought them
-    dim: DataFrame | None = None
-    history: DataFrame | None = None
+
+    @cached_property
+    def increment(self) -> DataFrame | None:
+        """New versions, with the page that brought them; None for a feed without a dimension."""
+        return stored(page_increments(self.run, self.loaded)) if self.run.feed.has_dim else None
+
+    @cached_property
+    def dim(self) -> DataFrame | None:
+        if self.increment is None:
+            return None
+        return dm.scd2_rebuild(self.run.dim, self.increment.drop("batch_seq").distinct())
+
+    @cached_property
+    def history(self) -> DataFrame | None:
+        if self.increment is None:
+            return None
+        added = dm.versions_by_page(self.run.dim, self.increment)
+        return dm.history_prune(self.run.history.unionByName(added), self.run.retain_runs)
 
 
 def stream_load(run: Run, pages_path: str, per_trigger: int = 1, max_bytes: int | None = None) -> None:
@@ -281,16 +302,20 @@ def stream_load(run: Run, pages_path: str, per_trigger: int = 1, max_bytes: int
     query.awaitTermination()
 
 
-def _earlier_range(marks: DataFrame, part: list[str]) -> DataFrame:
-    """Smallest and largest time of a part before each page: part, batch_seq, _low, _high.
+def _page_marks(marks: DataFrame, part: list[str], *more: Column) -> DataFrame:
+    """Smallest and largest time of a part on each page, stored as it has several readers.
 
     ``marks`` has the part, ``batch_seq``, ``_min`` and ``_max`` (micros), any number of rows per page;
-    page -1 stands for the tables before the run. They are read once: each of the two scans has two readers.
+    page -1 stands for the tables before the run.
     """
-    pages = stored(marks.groupBy(*part, "batch_seq").agg(F.min("_min").alias("_min"), F.max("_max").alias("_max")))
-    high = running_max(pages, part, "batch_seq", F.col("_max"), "_high", inclusive=False)
-    low = running_max(pages, part, "batch_seq", -F.col("_min"), "_low", inclusive=False)
-    return high.join(low, [*part, "batch_seq"]).select(*part, "batch_seq", (-F.col("_low")).alias("_low"), "_high")
+    ends = [F.min("_min").alias("_min"), F.max("_max").alias("_max")]
+    return stored(marks.groupBy(*part, "batch_seq").agg(*ends, *more))
+
+
+def _earlier_range(pages: DataFrame, part: list[str]) -> DataFrame:
+    """Smallest and largest time of a part before each page: part, batch_seq, _low, _high."""
+    ends = running_extremes(pages, part, "batch_seq", {"_high": F.col("_max")}, {"_low": F.col("_min")}, inclusive=False)
+    return ends.select(*part, "batch_seq", "_low", "_high")
 
 
 def _outside(at: Column) -> Column:
@@ -319,12 +344,8 @@ def accepted_after(known: DataFrame, before: DataFrame, rows: DataFrame, feed: F
     """``accepted`` after what is ``known`` of owners and the keys that came ``before``."""
     come, keys = feed.keyed(rows), feed.key_names
     marks = [F.col("_owner"), F.col("_at").alias("_min"), F.col("_at").alias("_max")]
-    ranges = _earlier_range(
-        known.withColumn("batch_seq", F.lit(-1).cast("bigint"))
-        .unionByName(come.select(*marks, "batch_seq"))
-        .filter("_owner is not null"),
-        ["_owner"],
-    )
+    seen = known.withColumn("batch_seq", F.lit(-1).cast("bigint")).unionByName(come.select(*marks, "batch_seq"))
+    ranges = _earlier_range(_page_marks(seen.filter("_owner is not null"), ["_owner"]), ["_owner"])
     # First page of each key; -1 if it came before.
     before = before.withColumn("batch_seq", F.lit(-1).cast("bigint"))
     first = before.unionByName(come.select(*keys, "batch_seq")).groupBy(*keys).agg(F.min("batch_seq").alias("_first"))
@@ -356,9 +377,12 @@ def page_increments(run: Run, loaded: DataFrame) -> DataFrame:
         micros(F.min("valid_from_ts")).alias("_min"), micros(F.max("valid_from_ts")).alias("_max")
     )
     marks = keyed.select("author_id", F.col("_at").alias("_min"), F.col("_at").alias("_max"), "batch_seq")
-    ranges = _earlier_range(known.withColumn("batch_seq", F.lit(-1).cast("bigint")).unionByName(marks), ["author_id"])
-    # All rows of the table stand on one page, so an author's are one key of this join.
-    ranged = skew_join(keyed, ranges, ["author_id", "batch_seq"], "left", spread=["id", "_at"])
+    marks = known.withColumn("batch_seq", F.lit(-1).cast("bigint")).unionByName(marks)
+    pages = _page_marks(marks, ["author_id"], F.count(F.lit(1)).alias("_n"))
+    ranges = _earlier_range(pages.drop("_n"), ["author_id"])
+    # All rows of the table stand on one page, so an author's are one key of this join. The marks have counted them.
+    hot = pages.select("author_id", "batch_seq", parts_of("_n").alias("_parts")).filter("_parts is not null")
+    ranged = skew_join(keyed, ranges, ["author_id", "batch_seq"], "left", spread=["id", "_at"], hot=hot)
     new = ranged.filter(_outside(F.col("_at")))
     return dm.item_versions(new.select(*rows.columns), run.run_ts, keep=["batch_seq"])
 
@@ -394,15 +418,9 @@ def finish_run(run: Run) -> Outcome:
     if end["stop_seq"] is not None:
         until = F.col("batch_seq") <= end["stop_seq"]
         pages, rows, loaded = summary.filter(until), rows.filter(until), loaded.filter(until)
-    out = Outcome(run.target.unionByName(loaded.drop("batch_seq")), loaded, summary, stop, full and end["stop_seq"] is None)
-    if feed.has_dim:
-        out.increment = stored(page_increments(run, loaded))
-        merged = out.increment.drop("batch_seq").distinct()
-        out.dim = dm.scd2_rebuild(run.dim, merged)
-        added = dm.versions_by_page(run.dim, out.increment)
-        out.history = dm.history_prune(run.history.unionByName(added), run.retain_runs)
+    out = Outcome(run, run.target.unionByName(loaded.drop("batch_seq")), loaded, summary, stop, full and end["stop_seq"] is None)
     if feed.expires:
-        seen = rows.select("batch_seq", digits_id("id").alias("id")).filter("id is not null")
+        seen = rows.select("batch_seq", numeric_id(rows, "id").alias("id")).filter("id is not null")
         if not run.force_backfill or run.historical or run.author is None:
             out.target = ex.revive_seen(out.target, seen, feed.ts)[0]
         else:
