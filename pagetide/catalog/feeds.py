@@ -86,7 +86,7 @@ def _(spark, d):
 
 
 def _streamed(spark, feed, before, feed_rows, window=WINDOW, dim=None, **options):
-    """What a run over the pages of ``feed_rows`` makes of the table ``before`` it, a stored one."""
+    """What a run over the pages of ``feed_rows`` makes of the table ``before`` it."""
     root, path = _folder(spark, "run"), _folder(spark, "pages")
     pg.write_pages(feed_rows, path, RUN, minutes=True, per_file=fx.PAGES_PER_FILE)
     run = pg.Run(spark, feed, root, window, RUN, **options)
@@ -95,21 +95,18 @@ def _streamed(spark, feed, before, feed_rows, window=WINDOW, dim=None, **options
     return pg.finish_run(run)
 
 
-def _before(rows, ts):
-    """The table loaded earlier, stored: a run reads it several times."""
-    return tables.stored(fx.load_target(rows, ts))
-
-
 def _messages(spark, d, before=None, **options):
     rows = fx.messages(spark, d)
     paged = _message_feed(fx.overlapping_pages(fx.shown(rows)))
-    return _streamed(spark, pg.MESSAGES, _before(rows, "createdAt") if before is None else before, paged, **options)
+    # The table loaded earlier is some columns of the stored events wherever a run reads it: copying it whole costs more.
+    before = fx.load_target(rows, "createdAt") if before is None else before
+    return _streamed(spark, pg.MESSAGES, before, paged, **options)
 
 
 def _posts(spark, d, **options):
     rows = fx.posts(spark, d)
     paged = _post_feed(fx.overlapping_pages(fx.shown(rows)))
-    return _streamed(spark, pg.POSTS, _before(rows, "postedAt"), paged, **options)
+    return _streamed(spark, pg.POSTS, fx.load_target(rows, "postedAt"), paged, **options)
 
 
 # A row that two pages repeat is loaded once, by the first of them.
@@ -212,7 +209,7 @@ VERSIONS = ["author_id", "media_id", "valid_from_ts", "seen_count", "valid_to_ts
 
 def _with_dim(spark, d):
     empty = tables.empty(spark, S.dim_schema())
-    target = _before(fx.messages(spark, d), "createdAt")
+    target = tables.stored(fx.load_target(fx.messages(spark, d), "createdAt"))
     first = dm.dim_increment(target, empty, datetime(2024, 1, 20, 12, 30, 15))
     return _messages(spark, d, before=target, dim=tables.stored(dm.scd2_rebuild(empty, tables.stored(first))))
 
@@ -345,7 +342,7 @@ from loaded""",
 )
 def _(spark, d):
     paged = fx.overlapping_pages(fx.raw_purchases(spark, d))
-    out = _streamed(spark, pg.PURCHASES, _before(fx.purchases(spark, d), "unlockAt"), paged)
+    out = _streamed(spark, pg.PURCHASES, fx.load_target(fx.purchases(spark, d), "unlockAt"), paged)
     return out.target.select(
         "id", F.col("author.id").alias("author_id"), "responseType", "unlockSource", "unlockAt"
     )

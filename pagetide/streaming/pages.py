@@ -114,6 +114,11 @@ def page_summary(
     pages: DataFrame, rows: DataFrame, inserted: DataFrame, ts: str, min_window: datetime
 ) -> DataFrame:
     """One row per page: counts, newest times, inserted rows, the paging flag."""
+    return _with_inserted(_page_totals(pages, rows, ts, min_window), inserted)
+
+
+def _page_totals(pages: DataFrame, rows: DataFrame, ts: str, min_window: datetime) -> DataFrame:
+    """What a page's own rows tell of it, whatever was loaded before."""
     when = as_ts(rows, ts)
     inside = when >= ts_lit(min_window)
     per_page = rows.groupBy("batch_seq").agg(
@@ -122,24 +127,24 @@ def page_summary(
         F.max(when).alias("raw_max"),
         F.max(F.when(inside, when)).alias("in_window_max"),
     )
-    added = inserted.groupBy("batch_seq").agg(F.count(F.lit(1)).alias("inserted"))
     zero = F.lit(0).cast("bigint")
-    return (
-        pages.join(per_page, "batch_seq", "left")
-        .join(added, "batch_seq", "left")
-        .select(
-            "batch_seq",
-            "processed_at",
-            "has_more",
-            F.coalesce("n_rows", zero).alias("n_rows"),
-            F.coalesce("n_in_window", zero).alias("n_in_window"),
-            "raw_max",
-            "in_window_max",
-            F.coalesce("inserted", zero).alias("inserted"),
-        )
+    return pages.join(per_page, "batch_seq", "left").select(
+        "batch_seq",
+        "processed_at",
+        "has_more",
+        F.coalesce("n_rows", zero).alias("n_rows"),
+        F.coalesce("n_in_window", zero).alias("n_in_window"),
+        "raw_max",
+        "in_window_max",
     )
 
 
+def _with_inserted(totals: DataFrame, inserted: DataFrame) -> DataFrame:
+    added = inserted.groupBy("batch_seq").agg(F.count(F.lit(1)).alias("inserted"))
+    count = F.coalesce("inserted", F.lit(0).cast("bigint")).alias("inserted")
+    return totals.join(added, "batch_seq", "left").select(*totals.columns, count)
+
+
 # -- feeds -------------------------------------------------------------------------------
 
 
@@ -257,16 +262,27 @@ FACTS = S.struct(batch_seq=S.LONG, processed_at=S.TS, has_more=S.BOOL)
 class Outcome:
     """The tables after a run, and what the run did. The parts are lazy, on stored logs.
 
-    Each of ``increment``, ``dim`` and ``history`` is worked out when it is first asked for.
+    Each of ``pages``, ``stop``, ``increment``, ``dim`` and ``history`` is worked out when it is first asked for.
     """
 
     run: Run
     target: DataFrame
     loaded: DataFrame  # rows loaded, with their page
-    pages: DataFrame  # summary and stop reason of each page, those after the stop included
-    stop: DataFrame  # stop_seq, stop_reason, sweep: one row
+    judged: Judged
     cap_hit: bool = False  # ended by the cap on pages
 
+    @cached_property
+    def stop(self) -> DataFrame:
+        """stop_seq, stop_reason, sweep: one row."""
+        # A run that the cap ends has no reason to stop, so its gate is shut.
+        gate = sweep_gate(F.col("stop_reason"), self.run.force_backfill, historical=self.run.historical)
+        return first_stop(self.judged.summary).withColumn("sweep", gate)
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        """Summary and stop reason of each page, those after the stop included."""
+        return self.judged.summary
+
     @cached_property
     def increment(self) -> DataFrame | None:
         """New versions, with the page that brought them; None for a feed without a dimension."""
@@ -387,6 +403,51 @@ def page_increments(run: Run, loaded: DataFrame) -> DataFrame:
     return dm.item_versions(new.select(*rows.columns), run.run_ts, keep=["batch_seq"])
 
 
+@dataclass
+class Judged:
+    """The pages of a run in their order, and the rows that they load.
+
+    That the feed ends or is past the window, a page's own rows tell.
+    """
+
+    run: Run
+    totals: DataFrame  # of all pages, stored
+    rows: DataFrame  # of all pages
+    readers: int = 1
+
+    @cached_property
+    def natural(self):
+        """stop_seq and stop_reason of the first page whose own rows end the run; Nones if there is none."""
+        return first_stop(self.reasons(self.totals.withColumn("inserted", F.lit(1)))).first()
+
+    def reasons(self, summary: DataFrame) -> DataFrame:
+        run = self.run
+        return batch_stop_reason(
+            summary, run.high_watermark, run.min_window, run.force_backfill, run.cutoff_reason, run.jump_seq
+        )
+
+    def load(self, rows: DataFrame) -> DataFrame:
+        run = self.run
+        return accepted(run.target, sh.in_window(rows, run.feed.ts, run.min_window), run.feed)
+
+    @cached_property
+    def loaded(self) -> DataFrame:
+        """Rows that the pages load; stored where they have several readers."""
+        found = self.load(self.rows)
+        return stored(found) if self.readers > 1 else found
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Summary and stop reason of each page."""
+        return stored(self.reasons(_with_inserted(self.totals, self.loaded)))
+
+    def end(self):
+        """stop_seq and stop_reason of the run. Loaded rows are only counted where a reason asks for them."""
+        if self.run.high_watermark is None or self.run.force_backfill:
+            return self.natural
+        return first_stop(self.summary).first()
+
+
 def finish_run(run: Run) -> Outcome:
     """The tables after the run. A forced run that is not historical also expires rows.
 
@@ -403,37 +464,30 @@ def finish_run(run: Run) -> Outcome:
         if full:
             until = F.coalesce(F.col("batch_seq") <= F.lit(last["seq"]), F.lit(False))
             facts, rows = facts.filter(until), rows.filter(until)
-    inside = sh.in_window(rows, feed.ts, run.min_window)
-    loaded = stored(accepted(run.target, inside, feed))
-    summary = batch_stop_reason(
-        page_summary(facts, rows, loaded, feed.ts, run.min_window),
-        run.high_watermark, run.min_window, run.force_backfill, run.cutoff_reason, run.jump_seq,
-    )
-    summary = stored(summary)
-    # A run that the cap ends has no reason to stop, so its gate is shut.
-    gate = sweep_gate(F.col("stop_reason"), run.force_backfill, historical=run.historical)
-    stop = first_stop(summary).withColumn("sweep", gate)
-    end = stop.first()
-    pages = summary
+    totals = stored(_page_totals(facts, rows, feed.ts, run.min_window))
+    # Besides the table, the dimension and the count that the mark asks for read the loaded rows.
+    counted = run.high_watermark is not None and not run.force_backfill
+    judged = Judged(run, totals, rows, readers=1 + feed.has_dim + counted)
+    loaded, end, pages = judged.loaded, judged.end(), totals
     if end["stop_seq"] is not None:
         until = F.col("batch_seq") <= end["stop_seq"]
-        pages, rows, loaded = summary.filter(until), rows.filter(until), loaded.filter(until)
-    out = Outcome(run, run.target.unionByName(loaded.drop("batch_seq")), loaded, summary, stop, full and end["stop_seq"] is None)
+        pages, rows, loaded = totals.filter(until), rows.filter(until), loaded.filter(until)
+    target = run.target.unionByName(loaded.drop("batch_seq"))
     if feed.expires:
         seen = rows.select("batch_seq", numeric_id(rows, "id").alias("id")).filter("id is not null")
         if not run.force_backfill or run.historical or run.author is None:
-            out.target = ex.revive_seen(out.target, seen, feed.ts)[0]
+            target = ex.revive_seen(target, seen, feed.ts)[0]
         else:
             stamp = ts_lit(run.run_ts) if feed.has_dim else F.col("processed_at")
             passed = pages.select(
                 F.lit(run.author).cast("bigint").alias("author_id"), "batch_seq", F.col("raw_max").alias("page_max"),
                 stamp.alias("processed_at"),
             )
-            out.target, _ = ex.progressive_expire(
-                out.target, passed, seen, owner_col=feed.owner, ts=feed.ts, window_start=run.min_window,
-                sweep=(run.author, run.run_ts) if end["sweep"] else None,
+            target, _ = ex.progressive_expire(
+                target, passed, seen, owner_col=feed.owner, ts=feed.ts, window_start=run.min_window,
+                sweep=(run.author, run.run_ts) if end["stop_reason"] in NATURAL_STOPS else None,
             )
-    return out
+    return Outcome(run, target, loaded, judged, full and end["stop_seq"] is None)
 
 
 def write_pages(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from pagetide import schemas as S
+from pagetide.catalog import feeds as catalog
 from pagetide.functions import scalars as sc
 from pagetide.operators import expiry as ex
 from pagetide.plans import skew
@@ -16,6 +17,7 @@ from test_edges import item, messages
 from test_skew import rows_of
 
 AT = datetime(2024, 2, 1)
+SF = "/root/testdata/sf0.001"
 
 
 def run_of(spark, root):
@@ -101,3 +103,36 @@ def test_only_rows_of_the_pages_authors_are_compared_with_the_seen(spark, monkey
     out, _ = ex.progressive_expire(target, pages, seen, owner_col="fromUser", ts="createdAt", window_start=datetime(2024, 1, 3))
     assert sorted(r.id for r in out.filter("expired_ts is not null").collect()) == [6, 15, 18]
     assert plans[-1].index("Join LeftAnti") < plans[-1].index("Join LeftSemi")  # the plan is printed from the top
+
+
+def posts_run(spark, root, **options):
+    """Five pages of which the fourth is past the window; the table has posts 50 (shown) and 51 to 53."""
+    def page(seq, rows):
+        return (seq, f"2024-02-01T00:0{seq}:00Z", seq < 4,
+                [(i, (1,), "t", 1.0, [], f"2024-01-{day:02d}T00:00:00Z", None, None, None) for i, day in rows])
+
+    pages = [page(0, [(9, 20), (-7, 19)]), page(1, [(8, 18), (50, 17)]), page(2, [(8, 18), (7, 16)]),
+             page(3, [(6, 9)]), page(4, [(5, 28), (4, 8)])]
+    table = messages(spark, [(i, 1, "old", [], f"2024-01-{day} 00:00:00", None) for i, day in [(50, 17), (51, 18), (52, 15), (53, 19)]])
+    table = table.select("id", F.col("fromUser").alias("author"), "text", "price", "media", F.col("createdAt").alias("postedAt"), "expired_ts")
+    run = pg.Run(spark, pg.POSTS, str(root), datetime(2024, 1, 10), AT, **options)
+    run.start(table)
+    run.on_batch(spark.createDataFrame(pages, S.page_schema(S.POST_FEED)), 0)
+    return run
+
+
+def test_whole_rows_with_one_reader_are_not_copied(spark, tmp_path, monkeypatch):
+    """Neither those of the table before a run, which are columns of a stored one, nor those it loads."""
+    written, store = [], tables.stored
+
+    def note(df):
+        written.append(set(df.columns))
+        return store(df)
+
+    monkeypatch.setattr(tables, "stored", note)
+    monkeypatch.setattr(pg, "stored", note)
+    assert sorted(r.id for r in pg.finish_run(posts_run(spark, tmp_path / "run")).target.collect()) == [-7, 7, 8, 9, 50, 51, 52, 53]
+    assert written and not [w for w in written if "text" in w]
+    written.clear()
+    assert catalog.Q["stream_load_historical"](spark, SF).count() > 0
+    assert written and not [w for w in written if "text" in w]
