@@ -281,7 +281,7 @@ class Outcome:
     @cached_property
     def pages(self) -> DataFrame:
         """Summary and stop reason of each page, those after the stop included."""
-        return self.judged.summary
+        return self.judged.all_pages()
 
     @cached_property
     def increment(self) -> DataFrame | None:
@@ -407,7 +407,9 @@ def page_increments(run: Run, loaded: DataFrame) -> DataFrame:
 class Judged:
     """The pages of a run in their order, and the rows that they load.
 
-    That the feed ends or is past the window, a page's own rows tell.
+    That the feed ends or is past the window, a page's own rows tell. No page after the first such one
+    counts, so rows are judged up to it; what later pages would have loaded is worked out only
+    for a list of all pages.
     """
 
     run: Run
@@ -420,6 +422,10 @@ class Judged:
         """stop_seq and stop_reason of the first page whose own rows end the run; Nones if there is none."""
         return first_stop(self.reasons(self.totals.withColumn("inserted", F.lit(1)))).first()
 
+    def upto(self, df: DataFrame) -> DataFrame:
+        seq = self.natural["stop_seq"]
+        return df if seq is None else df.filter(F.col("batch_seq") <= seq)
+
     def reasons(self, summary: DataFrame) -> DataFrame:
         run = self.run
         return batch_stop_reason(
@@ -432,14 +438,14 @@ class Judged:
 
     @cached_property
     def loaded(self) -> DataFrame:
-        """Rows that the pages load; stored where they have several readers."""
-        found = self.load(self.rows)
+        """Rows that the pages up to ``natural`` load; stored where they have several readers."""
+        found = self.load(self.upto(self.rows))
         return stored(found) if self.readers > 1 else found
 
     @cached_property
     def summary(self) -> DataFrame:
-        """Summary and stop reason of each page."""
-        return stored(self.reasons(_with_inserted(self.totals, self.loaded)))
+        """Summary and stop reason of the pages up to ``natural``."""
+        return stored(self.reasons(_with_inserted(self.upto(self.totals), self.loaded)))
 
     def end(self):
         """stop_seq and stop_reason of the run. Loaded rows are only counted where a reason asks for them."""
@@ -447,6 +453,12 @@ class Judged:
             return self.natural
         return first_stop(self.summary).first()
 
+    def all_pages(self) -> DataFrame:
+        seq = self.natural["stop_seq"]
+        if seq is None or self.totals.filter(~F.coalesce(F.col("batch_seq") <= seq, F.lit(False))).isEmpty():
+            return self.summary
+        return stored(self.reasons(_with_inserted(self.totals, self.load(self.rows))))
+
 
 def finish_run(run: Run) -> Outcome:
     """The tables after the run. A forced run that is not historical also expires rows.

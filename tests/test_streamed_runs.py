@@ -136,3 +136,32 @@ def test_whole_rows_with_one_reader_are_not_copied(spark, tmp_path, monkeypatch)
     written.clear()
     assert catalog.Q["stream_load_historical"](spark, SF).count() > 0
     assert written and not [w for w in written if "text" in w]
+
+
+def test_rows_are_judged_up_to_the_page_that_ends_the_feed(spark, tmp_path, monkeypatch):
+    """Later pages count for nothing; what they would have loaded is worked out for a list of pages alone."""
+    judged, accept = [], pg.accepted
+
+    def note(target, rows, feed):
+        judged.append({r.batch_seq for r in rows.select("batch_seq").distinct().collect()})
+        return accept(target, rows, feed)
+
+    monkeypatch.setattr(pg, "accepted", note)
+    out = pg.finish_run(posts_run(spark, tmp_path / "run"))
+    assert sorted(r.id for r in out.target.collect()) == [-7, 7, 8, 9, 50, 51, 52, 53]
+    assert tuple(out.stop.first()) == (3, "cutoff", False)
+    assert judged == [{0, 1, 2}]
+    assert [(r.batch_seq, r.inserted, r.stop_reason) for r in out.pages.orderBy("batch_seq").collect()] == [
+        (0, 2, None), (1, 1, None), (2, 1, None), (3, 0, "cutoff"), (4, 1, "hasMore")]
+    assert judged == [{0, 1, 2}, {0, 1, 2, 4}]
+
+
+def test_a_mark_still_ends_a_run_before_the_feed_does(spark, tmp_path):
+    out = pg.finish_run(posts_run(spark, tmp_path / "run", high_watermark=datetime(2024, 1, 19)))
+    assert tuple(out.stop.first()) == (3, "cutoff", False) and out.pages.count() == 5
+    run = posts_run(spark, tmp_path / "more", high_watermark=datetime(2024, 1, 21))
+    twice = [(k, None, True, [(8, (1,), "t", 1.0, [], "2024-01-18T00:00:00Z", None, None, None)]) for k in (2,)]
+    run.on_batch(spark.createDataFrame(twice, S.page_schema(S.POST_FEED)), -1)  # page 2 came earlier, without post 7
+    out = pg.finish_run(run)
+    assert tuple(out.stop.first()) == (2, "high_watermark", False)
+    assert sorted(r.id for r in out.target.collect()) == [-7, 8, 9, 50, 51, 52, 53] and sorted(r.id for r in out.loaded.collect()) == [-7, 8, 9]
