@@ -465,7 +465,8 @@ def finish_run(run: Run) -> Outcome:
 
     Rows that any page showed are revived; the author's rows that pages passed by without
     showing them are stamped; if the gate for the final sweep is open, so are all the author's
-    rows in the window that were not shown. All of it is one pass over the table.
+    rows in the window that were not shown. All of it is one pass over the table before the run:
+    the rows it loads were shown, so there is nothing to revive or stamp among them.
     """
     feed, (facts, rows) = run.feed, run.logged()
     full = False
@@ -484,21 +485,22 @@ def finish_run(run: Run) -> Outcome:
     if end["stop_seq"] is not None:
         until = F.col("batch_seq") <= end["stop_seq"]
         pages, rows, loaded = totals.filter(until), rows.filter(until), loaded.filter(until)
-    target = run.target.unionByName(loaded.drop("batch_seq"))
+    before = run.target
     if feed.expires:
         seen = rows.select("batch_seq", numeric_id(rows, "id").alias("id")).filter("id is not null")
         if not run.force_backfill or run.historical or run.author is None:
-            target = ex.revive_seen(target, seen, feed.ts)[0]
+            before = ex.revive_seen(before, seen, feed.ts)[0]
         else:
             stamp = ts_lit(run.run_ts) if feed.has_dim else F.col("processed_at")
             passed = pages.select(
                 F.lit(run.author).cast("bigint").alias("author_id"), "batch_seq", F.col("raw_max").alias("page_max"),
                 stamp.alias("processed_at"),
             )
-            target, _ = ex.progressive_expire(
-                target, passed, seen, owner_col=feed.owner, ts=feed.ts, window_start=run.min_window,
+            before, _ = ex.progressive_expire(
+                before, passed, seen, owner_col=feed.owner, ts=feed.ts, window_start=run.min_window,
                 sweep=(run.author, run.run_ts) if end["stop_reason"] in NATURAL_STOPS else None,
             )
+    target = before.unionByName(loaded.drop("batch_seq"))
     return Outcome(run, target, loaded, judged, full and end["stop_seq"] is None)
 
 

@@ -165,3 +165,20 @@ def test_a_mark_still_ends_a_run_before_the_feed_does(spark, tmp_path):
     out = pg.finish_run(run)
     assert tuple(out.stop.first()) == (2, "high_watermark", False)
     assert sorted(r.id for r in out.target.collect()) == [-7, 8, 9, 50, 51, 52, 53] and sorted(r.id for r in out.loaded.collect()) == [-7, 8, 9]
+
+
+def test_a_forced_run_looks_for_missing_rows_in_the_table_before_it(spark, tmp_path, monkeypatch):
+    """Rows that it loads were shown, whatever their ids: they are not compared with the seen ones, nor stamped."""
+    given, expire = [], ex.progressive_expire
+
+    def note(target, *a, **k):
+        given.append({r.id for r in target.select("id").collect()})
+        return expire(target, *a, **k)
+
+    monkeypatch.setattr(ex, "progressive_expire", note)
+    out = pg.finish_run(posts_run(spark, tmp_path / "run", author=1, force_backfill=True))
+    assert tuple(out.stop.first()) == (3, "cutoff", True)
+    found = {r.id: r.expired_ts for r in out.target.collect()}
+    assert found == {-7: None, 7: None, 8: None, 9: None, 50: None,
+                     51: datetime(2024, 2, 1, 0, 3), 52: datetime(2024, 2, 1, 0, 3), 53: datetime(2024, 2, 1, 0, 1)}
+    assert given == [{50, 51, 52, 53}]
